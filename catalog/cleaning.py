@@ -113,3 +113,10 @@ def near_duplicates(spark, sf_dir):
 @query("near_duplicate_diffs")
 def near_duplicate_diffs(spark, sf_dir):
     return neardup.near_duplicate_diffs(_part_pairs(spark, sf_dir))
+
+
+@query("near_duplicate_documents")
+def near_duplicate_documents(spark, sf_dir):
+    """Whole texts of all documents."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_row_id"), "text")
+    return neardup.near_duplicates(docs, ["text"]).drop("diffs")

@@ -40,7 +40,7 @@ def _found(t: str) -> str:
 def _findings(table_name: str, key: str, column: str) -> str:
     return (
         f"SELECT {key}, position, f.pii_type AS pii_type, f.\"match\" AS \"match\" FROM ("
-        f"SELECT {key}, unnest(fs) AS f, generate_subscripts(fs, 1) - 1 AS position "
+        f"SELECT {key}, unnest(fs) AS f, (generate_subscripts(fs, 1) - 1)::int AS position "
         f"FROM (SELECT {key}, {_found(column)} AS fs FROM {table_name}))"
     )
 
