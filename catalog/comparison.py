@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.registry import plain, query, run_sql, table
 from catalog.views import ORDERS, PAIRS, RAW_ORDERS, TYPED_ORDERS
 from contractframe.operators import checks, cleaning, quality
-from contractframe.storage import ROW_ID
+from contractframe.storage import ROW_ID, materialize
 
 RAW = plain(RAW_ORDERS)
 _P = plain(PAIRS)
@@ -148,9 +148,9 @@ def qa_column_names(spark, sf_dir):
 
 
 def _typed_and_cleaned(spark, sf_dir):
-    raw = run_sql(spark, sf_dir, RAW_ORDERS)
+    raw = materialize(run_sql(spark, sf_dir, RAW_ORDERS), "raw")
     typed = checks.coerce_types(checks.rename_to_contract(raw, ORDERS), ORDERS)
-    return raw, cleaning.strip_whitespace(typed, ["priority"])
+    return raw, materialize(cleaning.strip_whitespace(typed, ["priority"]), "cleaned")
 
 
 @query("original_vs_final_diff", f"""

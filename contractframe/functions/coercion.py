@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contractframe.contract import Field
-from contractframe.functions.text import strip_text
+from contractframe.functions.text import CASTABLE_INTEGER, CASTABLE_NUMBER, strip_text
 
 _EXACT = float(2**53)  # whole doubles up to here are exact integers
 
@@ -60,6 +60,11 @@ def no_nan(c: Column, t: T.DataType) -> Column:
     return F.when(F.isnan(c), F.lit(None)).otherwise(c) if is_float(t) else c
 
 
+def text_to_double(text: Column) -> Column:
+    """A text that is a number as a double. The pattern first: a cast that fails costs an exception per row."""
+    return F.when(text.rlike(CASTABLE_NUMBER), text.try_cast("double"))
+
+
 def _whole(d: Column, truncate: bool) -> Column:
     fits = F.abs(d) <= _EXACT
     if not truncate:
@@ -79,11 +84,16 @@ def coerce(c: Column, source: T.DataType, f: Field, truncate: bool = False) -> C
         if is_number(source):
             return _whole(no_nan(c.cast("double"), T.DoubleType()), truncate)
         text = c.cast("string")
-        return F.coalesce(text.try_cast("bigint"), _whole(no_nan(text.try_cast("double"), T.DoubleType()), truncate))
+        # '3.0' is read as 3 without going through a double.
+        digits = F.when(text.rlike(r"\.0*\s*$"), F.regexp_replace(text, r"\.0*\s*$", "")).otherwise(text)
+        return F.coalesce(
+            F.when(digits.rlike(CASTABLE_INTEGER), digits.try_cast("bigint")),
+            _whole(no_nan(text_to_double(text), T.DoubleType()), truncate),
+        )
     if isinstance(target, T.DoubleType):
         if is_number(source) or isinstance(source, T.BooleanType):
             return no_nan(c.cast("double"), T.DoubleType())
-        return no_nan(c.cast("string").try_cast("double"), T.DoubleType())
+        return no_nan(text_to_double(c.cast("string")), T.DoubleType())
     if isinstance(target, T.BooleanType):
         if isinstance(source, T.BooleanType):
             return c
@@ -96,7 +106,10 @@ def coerce(c: Column, source: T.DataType, f: Field, truncate: bool = False) -> C
         return c.cast(name)
     text = strip_text(c.cast("string"))
     # ISO first, then month-first, then the declared format.
-    tries = [text.try_cast(name), F.try_to_timestamp(text, F.lit("MM/dd/yyyy")).cast(name)]
+    month_first = F.when(
+        text.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), F.try_to_timestamp(text, F.lit("M/d/yyyy")).cast(name)
+    )
+    tries = [text.try_cast(name), month_first]
     if f.parse_format:
         tries.append(F.try_to_timestamp(text, F.lit(datetime_pattern(f.parse_format))).cast(name))
     return F.coalesce(*tries)

@@ -22,6 +22,10 @@ NUMBER = (
     r"|inf(?:inity)?|nan)$"
 )
 
+# The number texts that the engine's own cast takes, with white space around.
+CASTABLE_NUMBER = r"(?i)^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf(?:inity)?|nan)\s*$"
+CASTABLE_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+
 # How a cell that a spreadsheet would run begins.
 FORMULA = r"(?U)^[=@]|^[+-](?!\d)"
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,41 +78,34 @@ def _bound(value, f: Field) -> Column:
     return F.lit(value)
 
 
-def check_failures(typed: Column, source: Column, source_type: T.DataType, f: Field) -> list[Column]:
-    """One expression per rule of ``f``: the failure as a struct, or null."""
-    # A floating-point NaN in the source is a missing value, not a failed cast.
+def check_failures(typed: Column, source: Column, source_type: T.DataType, f: Field) -> list[tuple[Column, Column]]:
+    """One (broken, failure) pair per rule of ``f``; ``broken`` is never null."""
+    # NaN, as a number or as text in a numeric column, is a missing value, not a failed cast.
     absent = missing(source, source_type)
-    out = [
-        F.when(~absent & typed.isNull() & ~_reads_as_nan(source, source_type, f),
-               _failure(f.name, f"coerce_dtype('{f.dtype}')", source))
-    ]
+    if is_number(f.spark_type) and isinstance(source_type, T.StringType):
+        absent = absent | (typed.isNull() & source.rlike(r"(?i)^\s*[+-]?nan\s*$"))
+    out = [(typed.isNull() & ~absent, _failure(f.name, f"coerce_dtype('{f.dtype}')", source))]
     if not f.accepts_null:
-        out.append(F.when(absent | (typed.isNull() & _reads_as_nan(source, source_type, f)),
-                          _failure(f.name, "not_nullable", F.lit(None))))
+        out.append((absent, _failure(f.name, "not_nullable", F.lit(None))))
+
+    def rule(holds: Column, check: str) -> None:
+        # A rule says nothing about nulls; one that cannot be evaluated is broken.
+        out.append((typed.isNotNull() & ~F.coalesce(holds, F.lit(False)), _failure(f.name, check, typed)))
+
     if f.allowed_values is not None:
-        hit = typed.isin(list(f.allowed_values)) if f.allowed_values else F.lit(False)
-        out.append(F.when(typed.isNotNull() & ~hit, _failure(f.name, "isin", typed)))
+        rule(typed.isin(list(f.allowed_values)) if f.allowed_values else F.lit(False), "isin")
     # Bounds compare numbers with numbers; text under a numeric bound must read as one.
-    ordered = typed if is_number(f.spark_type) or is_time(f.spark_type) else typed.cast("string").try_cast("double")
+    comparable = is_number(f.spark_type) or is_time(f.spark_type)
+    ordered = typed if comparable else typed.cast("string").try_cast("double")
     if f.min is not None:
-        ok = F.coalesce(ordered >= _bound(f.min, f), F.lit(False))
-        out.append(F.when(typed.isNotNull() & ~ok, _failure(f.name, f"greater_than_or_equal_to({f.min})", typed)))
+        rule(ordered >= _bound(f.min, f), f"greater_than_or_equal_to({f.min})")
     if f.max is not None:
-        ok = F.coalesce(ordered <= _bound(f.max, f), F.lit(False))
-        out.append(F.when(typed.isNotNull() & ~ok, _failure(f.name, f"less_than_or_equal_to({f.max})", typed)))
+        rule(ordered <= _bound(f.max, f), f"less_than_or_equal_to({f.max})")
     if f.pattern is not None:
-        ok = typed.cast("string").rlike(f"^(?:{f.pattern})")  # anchored at the start only
-        out.append(F.when(typed.isNotNull() & ~ok, _failure(f.name, "str_matches", typed)))
+        rule(typed.cast("string").rlike(f"^(?:{f.pattern})"), "str_matches")  # anchored at the start only
     return out
 
 
-def _reads_as_nan(source: Column, source_type: T.DataType, f: Field) -> Column:
-    """Text such as 'nan' in a numeric column is a missing value."""
-    if is_number(f.spark_type) and isinstance(source_type, T.StringType):
-        return F.coalesce(F.isnan(source.try_cast("double")), F.lit(False))
-    return F.lit(False)
-
-
 def check_contract(df: DataFrame, contract: Contract, truncate: bool = False, keep_extra: bool = False) -> DataFrame:
     """Typed columns plus ``_violations``, the failures of each row, in one projection.
 
@@ -118,25 +113,36 @@ def check_contract(df: DataFrame, contract: Contract, truncate: bool = False, ke
     dropped unless ``keep_extra``.
     """
     present = [f for f in contract.fields if f.name in df.columns]
-    failures, typed = [], []
-    for f in present:
-        source_type = df.schema[f.name].dataType
-        value = coerce(F.col(f.name), source_type, f, truncate)
-        typed.append(value.alias(f.name))
-        failures += check_failures(value, F.col(f.name), source_type, f)
-    if failures:
-        found = F.filter(F.array(*failures), lambda v: v.isNotNull())
-    else:
-        found = F.array().cast(f"array<{VIOLATION}>")
     names = {f.name for f in present}
     extra = [c for c in df.columns if c not in names and c != ROW_ID] if keep_extra else []
-    return df.select(*_carried(df), *typed, *extra, found.alias("_violations"))
+    # Values are cast in a projection of their own, so that the rules, which name
+    # them several times, do not cast again.
+    cast = df.select(
+        *_carried(df),
+        *[coerce(F.col(f.name), df.schema[f.name].dataType, f, truncate).alias(f.name) for f in present],
+        *extra,
+        *[F.col(f.name).alias(f"_source_{f.name}") for f in present],
+    )
+    rules: list[tuple[Column, Column]] = []
+    for f in present:
+        rules += check_failures(F.col(f.name), F.col(f"_source_{f.name}"), df.schema[f.name].dataType, f)
+    none = F.array().cast(f"array<{VIOLATION}>")
+    found = none
+    if rules:
+        # Failures are collected only for rows that have one.
+        any_broken = reduce(or_, [broken for broken, _ in rules])
+        failures = F.concat(*[F.when(broken, F.array(failure)).otherwise(none) for broken, failure in rules])
+        found = F.when(any_broken, failures).otherwise(none)
+    kept = [*_carried(df), *[f.name for f in present], *extra]
+    # Exploding a one-element array changes nothing, but no filter moves below it:
+    # a filter on the failures reads them instead of evaluating every rule again.
+    return cast.select(*kept, found.alias("_found")).select(*kept, F.explode(F.array("_found")).alias("_violations"))
 
 
 def violations_of(checked: DataFrame, contract: Contract | None = None, absent: list[str] | None = None) -> DataFrame:
     """The failure table: column, check, failing value and row."""
     row = F.col(ROW_ID) if ROW_ID in checked.columns else F.lit(None).cast("bigint").alias(ROW_ID)
-    rows = checked.where(F.size("_violations") > 0).select(row, F.inline("_violations"))
+    rows = checked.select(row, F.inline("_violations"))
     if absent:
         # At most one row per declared column.
         table = checked.sparkSession.createDataFrame(

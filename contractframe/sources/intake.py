@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contractframe.functions.text import looks_numeric, strip_text
+from contractframe.functions.text import CASTABLE_INTEGER, CASTABLE_NUMBER, looks_numeric, strip_text
 from contractframe.storage import ROW_ID, materialize, named, scratch_path
 
 HEADER_SCAN = 10
@@ -298,9 +298,9 @@ def infer_types(df: DataFrame) -> DataFrame:
     for i, c in enumerate(columns):
         v = named(c)
         aggs += [
-            F.bool_and(v.rlike(r"^\s*[+-]?[0-9]+\s*$") & v.try_cast("bigint").isNotNull()).alias(f"i{i}"),
-            F.bool_and(looks_plain_number(v)).alias(f"d{i}"),
-            F.bool_and(v.isin("True", "False", "TRUE", "FALSE", "true", "false") ).alias(f"b{i}"),
+            F.bool_and(F.when(v.rlike(CASTABLE_INTEGER), v.try_cast("bigint")).isNotNull() | v.isNull()).alias(f"i{i}"),
+            F.bool_and(v.rlike(CASTABLE_NUMBER)).alias(f"d{i}"),
+            F.bool_and(v.isin("True", "False", "TRUE", "FALSE", "true", "false")).alias(f"b{i}"),
             F.count(v).alias(f"n{i}"),
             F.count_if(v.isNull()).alias(f"z{i}"),
         ]
@@ -318,10 +318,6 @@ def infer_types(df: DataFrame) -> DataFrame:
     return df.select(*[(casts[c] if c in casts else named(c)).alias(c) for c in df.columns])
 
 
-def looks_plain_number(c: Column) -> Column:
-    return c.rlike(r"(?i)^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf(?:inity)?)\s*$")
-
-
 # -- after reading ----------------------------------------------------------------
 
 
