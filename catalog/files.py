@@ -89,8 +89,8 @@ def _many_files(spark: SparkSession, sf_dir: str) -> list[str]:
     ]
 
 
-@query("header_rows")
-def header_rows(spark, sf_dir):
+@query("header_row")
+def header_row(spark, sf_dir):
     heads = intake.header_rows(spark, _many_files(spark, sf_dir))
     return heads.select("header_row", "header_skip", F.array_join("columns", ",").alias("columns"))
 

@@ -140,7 +140,8 @@ def value_frequencies(df: DataFrame) -> DataFrame:
 
     Columns are unpivoted per kind, so keys keep their native type; a long text
     is keyed by its 256-bit digest with ``value`` left null.  Hot values collapse
-    before the shuffle.  Without ``_row_id``, ``first_row`` is null.
+    before the shuffle.  Without ``_row_id``, ``first_row`` is null and texts are
+    keyed whole.
     """
     columns = profiled_columns(df)
     has_id = ROW_ID in df.columns
@@ -156,10 +157,12 @@ def value_frequencies(df: DataFrame) -> DataFrame:
             (F.col(ROW_ID) if has_id else F.lit(None).cast("bigint")).alias("row"),
             *[named(c).cast(native).alias(f"c{i}") for i, c in enumerate(names)],
         )
-        tall = wide.unpivot(["row"], [f"c{i}" for i in range(len(names))], "k", "v")
+        cells = [x for i in range(len(names)) for x in (F.lit(i), F.col(f"c{i}"))]
+        tall = wide.select("row", F.stack(F.lit(len(names)), *cells).alias("k", "v"))
         t = T.DoubleType() if kind == "float" else df.schema[names[0]].dataType
         tall = tall.where(~missing(F.col("v"), t))
-        if kind == "text":
+        digested = kind == "text" and has_id  # without a row id there is no way back from the digest
+        if digested:
             long = F.octet_length("v") > LONG_TEXT
             tall = tall.select(
                 "row", "k",
@@ -170,12 +173,12 @@ def value_frequencies(df: DataFrame) -> DataFrame:
         else:
             keys = ["k", "v"]
         counted = tall.groupBy(*keys).agg(F.count("*").alias("n"), F.min("row").alias("first_row"))
-        name = F.element_at(F.array(*[F.lit(c) for c in names]), F.substring("k", 2, 10).cast("int") + 1)
+        name = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("k") + 1)
         parts.append(
             counted.select(
                 name.alias("column"),
                 _value_text(F.col("v"), kind, t).alias("value"),
-                (F.col("digest") if kind == "text" else F.lit(None).cast("binary")).alias("digest"),
+                (F.col("digest") if digested else F.lit(None).cast("binary")).alias("digest"),
                 "n",
                 "first_row",
             )

@@ -50,13 +50,8 @@ def raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def _files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Every file, empty ones too, without reading any content."""
-    return spark.read.format("binaryFile").load(list(paths)).select(F.col("_metadata.file_path").alias("file"))
-
-
 def file_encoding(spark: SparkSession, paths: list[str], fallback: str = "iso-8859-1") -> DataFrame:
-    """(file, has_bom, is_utf8, encoding) per file.
+    """(file, has_bom, is_utf8, encoding) per file that is not empty.
 
     A line is valid UTF-8 on its own when the file is, so validity is a plain
     aggregate over lines.  The reader drops a byte-order mark, which therefore
@@ -64,15 +59,14 @@ def file_encoding(spark: SparkSession, paths: list[str], fallback: str = "iso-88
     """
     per_file = raw_lines(spark, paths).groupBy("file").agg(
         (F.max("size") - F.sum(F.octet_length("value") + 1)).alias("rest"),  # -1: no final line feed
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"),
     )
-    has_bom = F.coalesce(F.col("rest").isin(2, 3), F.lit(False))
-    is_utf8 = F.coalesce("utf8", F.lit(True))
-    return _files(spark, paths).join(per_file, "file", "left").select(
+    has_bom = F.col("rest").isin(2, 3)
+    return per_file.select(
         "file",
         has_bom.alias("has_bom"),
-        is_utf8.alias("is_utf8"),
-        F.when(has_bom, "utf-8-sig").when(is_utf8, "utf-8").otherwise(fallback).alias("encoding"),
+        "is_utf8",
+        F.when(has_bom, "utf-8-sig").when(F.col("is_utf8"), "utf-8").otherwise(fallback).alias("encoding"),
     )
 
 
@@ -116,7 +110,8 @@ def header_rows(
     The guess is the first of ``max_scan`` lines with more than one non-empty
     cell that is not mostly numbers; row 0 when there is none.  ``header_skip``
     leaves out blank lines, as a table reader does; a given ``header_row``
-    already counts that way.  ``cells`` is the whole header, ``columns`` its non-empty names.
+    already counts that way.  ``cells`` is the whole header, ``columns`` its
+    non-empty names.  Empty files have no line and hence no row here.
     """
     lines = head_lines(spark, paths, max_scan if header_row is None else 2 * header_row + max_scan)
     by_suffix = F.when(F.lower("file").rlike(r"\.(tsv|tab)$"), "\t").otherwise(",")
@@ -145,13 +140,12 @@ def header_rows(
     names = F.transform(
         F.filter(best["cells"], lambda c: strip_text(c) != ""), lambda c: F.btrim(strip_text(c), F.lit('"'))
     )
-    none = F.array().cast("array<string>")
-    return _files(spark, paths).join(found, "file", "left").select(
+    return found.select(
         "file",
-        F.coalesce(best["ordinal"], F.lit(0)).cast("int").alias("header_row"),
-        F.greatest(F.coalesce(best["skip"], F.lit(0)), F.lit(0)).cast("int").alias("header_skip"),
-        F.coalesce(best["cells"], none).alias("cells"),
-        F.coalesce(names, none).alias("columns"),
+        best["ordinal"].cast("int").alias("header_row"),
+        F.greatest(best["skip"], F.lit(0)).cast("int").alias("header_skip"),
+        best["cells"].alias("cells"),
+        names.alias("columns"),
     )
 
 
