@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,6 +14,7 @@ from contractframe.storage import ROW_ID, materialize, named, scratch_path
 
 HEADER_SCAN = 10
 SAMPLE_ROWS = 50
+_BYTES = "iso-8859-1"
 BROADCAST_SEGMENTS = 100_000  # file blocks; beyond this Spark chooses the join itself
 
 # File suffixes and their separators.
@@ -198,9 +200,11 @@ def read_delimited(
 ) -> Intake:
     """Read delimited files of one schema as a single table, files in name order.
 
-    All cells land as text in Parquet, once; header removal, the row cap, row ids
-    and types are then applied to the landed table.  ``header_row`` counts
-    non-blank lines, or ``"auto"`` guesses it per file.  ``nrows`` caps each file.
+    The files are parsed once, into Parquet; header removal, encodings, the row
+    cap, row ids and types are then applied to the landed cells.  ``header_row``
+    counts non-blank lines, or ``"auto"`` guesses it per file, which reads the
+    lines once more.  ``nrows`` caps each file.  ``multiline`` allows line breaks
+    inside quotes, at the price of one task per file.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if sep is None:
@@ -209,77 +213,124 @@ def read_delimited(
             raise ValueError("files of one table must share their separator")
         sep = found.pop()
 
-    # One row per file on the driver.
-    fixed = None if header_row == "auto" else int(header_row)
-    heads = header_rows(spark, paths, header_row=fixed, sep=sep).orderBy("file").collect()
-    if not heads:
-        raise ValueError("no files to read")
-    names = next((column_names(list(h["cells"])) for h in heads if h["cells"]), [])
-    other = [h["file"] for h in heads if h["cells"] and column_names(list(h["cells"])) != names]
-    if other:
-        raise ValueError(f"files differ in their header: {other[:3]}")
-    if encoding:
-        by_encoding = {encoding: paths}
+    landed_path = landed_path or scratch_path(spark, "landed")
+    auto = header_row == "auto"
+    skips: dict[str, int] = {}
+    if auto:  # one row per file
+        guesses = header_rows(spark, paths, sep=sep).orderBy("file").collect()
+        skips = {g["file"]: g["header_skip"] for g in guesses}
+        width = len(guesses[0]["cells"]) if guesses else 0
     else:
-        by_encoding = {}
-        for row in file_encoding(spark, paths).collect():
-            by_encoding.setdefault(row["encoding"], []).append(row["file"])
+        width = _header_width(spark, paths[0], sep, int(header_row))
+
+    # Every byte is a character of ISO-8859-1, and separators, quotes and line
+    # ends are never part of a longer UTF-8 character: cells can be cut before
+    # the encoding of their file is known.
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    landed = materialize(
+        spark.read.schema(schema)
+        .option("sep", sep)
+        .option("header", False)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multiline)
+        .option("encoding", encoding or _BYTES)
+        .csv(paths)
+        .select(
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_id"),
+            *schema.fieldNames(),
+        ),
+        "landed",
+        landed_path,
+    )
 
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-    landed_path = landed_path or scratch_path(spark, "landed")
-    parts = None
-    for code, files in sorted(by_encoding.items()):
-        part = (
-            spark.read.schema(schema)
-            .option("sep", sep)
-            .option("header", False)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("multiLine", multiline)
-            .option("encoding", "utf-8" if code == "utf-8-sig" else code)
-            .csv(files)
-            .select(
-                F.col("_metadata.file_path").alias("_file"),
-                F.col("_metadata.file_block_start").alias("_block"),
-                F.monotonically_increasing_id().alias("_id"),
-                *schema.fieldNames(),
-            )
-        )
-        parts = part if parts is None else parts.unionByName(part)
-    landed = materialize(parts, "landed", landed_path)
-
-    # One row per file block: how many rows it holds and where they start.
-    blocks = landed.groupBy("_file", "_block").agg(F.min("_id").alias("first"), F.count("*").alias("n")).collect()
-    skips = {h["file"]: h["header_skip"] + 1 for h in heads}
-    segments, offset, taken, last = [], 0, 0, None
-    for b in sorted(blocks, key=lambda r: (r["_file"], r["_block"])):
+    # One row per file block: where its rows start, how many, and whether all cells are UTF-8.
+    is_utf8 = F.lit(True)
+    for c in schema.fieldNames():
+        is_utf8 = is_utf8 & F.coalesce(F.is_valid_utf8(F.encode(F.col(c), _BYTES).cast("string")), F.lit(True))
+    blocks = (
+        landed.groupBy("_file", "_block")
+        .agg(F.min("_id").alias("first"), F.count("*").alias("n"), F.bool_and(is_utf8).alias("utf8"))
+        .orderBy("_file", "_block")
+        .collect()
+    )
+    if not blocks:
+        raise ValueError("no rows to read")
+    utf8: dict[str, bool] = {}
+    for b in blocks:
+        utf8[b["_file"]] = utf8.get(b["_file"], True) and b["utf8"]
+    encodings = {f: encoding or ("utf-8" if ok else _BYTES) for f, ok in utf8.items()}
+
+    segments, heads, offset, taken, last = [], [], 0, 0, None
+    for b in blocks:
+        skip = 0
         if b["_file"] != last:
             last, taken = b["_file"], 0
-        skip = min(skips.get(last, 1), b["n"]) if b["_block"] == 0 else 0
+            skip = skips.get(last, 0 if auto else int(header_row))
+            heads.append((last, b["first"] + skip))
+            skip = min(skip + 1, b["n"])
         keep = b["n"] - skip
         if nrows is not None:
             keep = max(0, min(keep, nrows - taken))
         taken += keep
-        segments.append((b["_file"], b["_block"], b["first"] + skip, keep, offset))
+        recode = not encoding and utf8[last]
+        segments.append((b["_file"], b["_block"], b["first"] + skip, keep, offset, recode))
         offset += keep
-    where = spark.createDataFrame(segments, "_file string, _block bigint, _first bigint, _keep bigint, _offset bigint")
-    if len(segments) <= BROADCAST_SEGMENTS:
-        where = F.broadcast(where)
+
+    def sized(rows: list[tuple], columns: str) -> DataFrame:
+        small = spark.createDataFrame(rows, columns)
+        return F.broadcast(small) if len(rows) <= BROADCAST_SEGMENTS else small
+
+    head_cells = (
+        landed.join(sized(heads, "_file string, _id bigint"), ["_file", "_id"])
+        .select("_file", F.array(*schema.fieldNames()).alias("cells"))
+        .orderBy("_file")
+        .collect()  # one row per file
+    )
+    names: list[str] = []
+    for row in head_cells:
+        cells = [_decoded(c or "", encoding is None and utf8[row["_file"]]) for c in row["cells"]]
+        found_names = column_names(cells)
+        if names and found_names != names:
+            raise ValueError(f"files differ in their header: {row['_file']}")
+        names = found_names
+    if not names:
+        raise ValueError(f"no file has a header row {header_row}")
+
+    where = sized(segments, "_file string, _block bigint, _first bigint, _keep bigint, _offset bigint, _recode boolean")
     at = F.col("_id") - F.col("_first")
-    cells = [
-        F.when(~F.col(f"c{i}").isin(*MISSING_TEXTS), F.col(f"c{i}")).alias(name) for i, name in enumerate(names)
-    ]
+
+    def cell(c: str) -> Column:
+        text = F.when(F.col("_recode"), F.decode(F.encode(F.col(c), _BYTES), "UTF-8")).otherwise(F.col(c))
+        return F.when(~text.isin(*MISSING_TEXTS), text)
+
     table = (
         landed.join(where, ["_file", "_block"])
         .where((at >= 0) & (at < F.col("_keep")))
-        .select((F.col("_offset") + at).alias(ROW_ID), *cells)
+        .select((F.col("_offset") + at).alias(ROW_ID), *[cell(f"c{i}").alias(n) for i, n in enumerate(names)])
     )
     if infer:
         table = infer_types(table)
-    params = {"sep": sep, "header": header_row, "nrows": nrows, "encodings": sorted(by_encoding)}
+    params = {"sep": sep, "header": header_row, "nrows": nrows, "encodings": sorted(set(encodings.values()))}
     return Intake(table, landed_path, params)
 
 
+def _header_width(spark: SparkSession, path: str, sep: str, header_row: int) -> int:
+    """Cells in the header of one file; reads its first lines only."""
+    lines = (r["value"] for r in spark.read.text(path).limit(2 * header_row + SAMPLE_ROWS).collect())
+    parsed = [next(csv.reader([line], delimiter=sep)) for line in lines if line.strip()]
+    if not parsed:
+        raise ValueError(f"no rows to read in {path}")
+    return len(parsed[min(header_row, len(parsed) - 1)])
+
+
+def _decoded(cell: str, recode: bool) -> str:
+    out = cell.encode("iso-8859-1").decode("utf-8") if recode else cell
+    return out.removeprefix("\ufeff")
+
+
 def infer_types(df: DataFrame) -> DataFrame:
     """Give all-text columns the narrowest type all their values have: integer, double or boolean.
 
