@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.registry import query, table
+from catalog.privacy import findings_sql
 from catalog.views import ORDERS
 from contractframe.operators import privacy
 from contractframe.sources import changelog, deliver, intake
@@ -67,15 +68,20 @@ def intake_nrows(spark, sf_dir):
     return intake.read_delimited(spark, _write(events, ".csv"), nrows=100).table.drop(ROW_ID)
 
 
-@query("file_encoding")
+@query("file_encoding", """
+SELECT 'utf-8' AS written_as, true AS utf8, false AS bom, 'utf-8' AS encoding
+UNION ALL SELECT 'iso-8859-1', NOT bool_or(latin), false, CASE WHEN bool_or(latin) THEN 'iso-8859-1' ELSE 'utf-8' END
+FROM (SELECT regexp_matches(text, '[\\x{80}-\\x{ff}]') AS latin FROM documents)
+""")
 def file_encoding(spark, sf_dir):
-    """Documents as UTF-8 and as ISO-8859-1 files."""
+    """Documents as UTF-8 and as ISO-8859-1 files; the verdict on all files of each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", r"[^\x00-\xff]", "?").alias("text"))
     found = None
     for code in ("utf-8", "iso-8859-1"):
         path = _write(docs, ".csv", encoding=code)
-        one = intake.file_encoding(spark, [path]).groupBy("has_bom", "is_utf8", "encoding").agg(F.count("*").alias("files"))
-        one = one.select(F.lit(code).alias("written_as"), "has_bom", "is_utf8", "encoding", "files")
+        one = intake.file_encoding(spark, [path]).agg(
+            F.bool_and("is_utf8").alias("utf8"), F.bool_or("has_bom").alias("bom"), F.min("encoding").alias("encoding")
+        ).select(F.lit(code).alias("written_as"), "utf8", "bom", "encoding")
         found = one if found is None else found.unionByName(one)
     return found
 
@@ -89,16 +95,28 @@ def _many_files(spark: SparkSession, sf_dir: str) -> list[str]:
     ]
 
 
-@query("header_row")
+_PART_COLUMNS = "p_partkey,p_name,p_brand,p_type,p_size,p_retailprice"
+_CUSTOMER_COLUMNS = "c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment"
+
+
+@query("header_row", f"""
+SELECT 0 AS header_row, 0 AS header_skip, '{_PART_COLUMNS}' AS columns FROM part
+UNION SELECT 2, 1, '{_CUSTOMER_COLUMNS}' FROM customer
+""")
 def header_row(spark, sf_dir):
+    """Header places over all files; how many files there are depends on the writer's tasks."""
     heads = intake.header_rows(spark, _many_files(spark, sf_dir))
-    return heads.select("header_row", "header_skip", F.array_join("columns", ",").alias("columns"))
+    return heads.select("header_row", "header_skip", F.array_join("columns", ",").alias("columns")).distinct()
 
 
-@query("schema_groups")
+@query("schema_groups", f"""
+SELECT '{_PART_COLUMNS}' AS columns, 2 AS sources FROM part UNION SELECT '{_CUSTOMER_COLUMNS}', 1 FROM customer
+""")
 def schema_groups(spark, sf_dir):
+    """The groups, and how many of the written folders each covers."""
     groups = intake.schema_groups(intake.header_rows(spark, _many_files(spark, sf_dir)))
-    return groups.select("file_count", F.array_join("columns", ",").alias("columns"))
+    folders = F.array_distinct(F.transform("files", lambda f: F.regexp_replace(f, "/[^/]*$", "")))
+    return groups.select(F.array_join("columns", ",").alias("columns"), F.size(folders).alias("sources"))
 
 
 @query("bulk_union", """
@@ -209,7 +227,11 @@ def deliver_bundle(spark, sf_dir):
     return out
 
 
-@query("scan_text_files")
+@query("scan_text_files", f"""
+WITH f AS ({findings_sql("documents", "doc_id", "text")})
+SELECT pii_type, CASE WHEN length("match") > 6 THEN substr("match", 1, 3) || '...' ELSE '...' END AS preview, count(*) AS n
+FROM f GROUP BY ALL
+""")
 def scan_text_files(spark, sf_dir):
     """Documents as text files; findings counted per class and preview."""
     path = scratch_path(spark, "texts")

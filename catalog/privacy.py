@@ -37,7 +37,7 @@ def _found(t: str) -> str:
     return out
 
 
-def _findings(table_name: str, key: str, column: str) -> str:
+def findings_sql(table_name: str, key: str, column: str) -> str:
     return (
         f"SELECT {key}, position, f.pii_type AS pii_type, f.\"match\" AS \"match\" FROM ("
         f"SELECT {key}, unnest(fs) AS f, (generate_subscripts(fs, 1) - 1)::int AS position "
@@ -93,13 +93,13 @@ def person_name(spark, sf_dir):
     return run_sql(spark, sf_dir, VALUES).withColumn("is_name", pii.is_person_name(F.col("value")))
 
 
-@query("find_pii", _findings(f"({_N})", "doc_id", "text"))
+@query("find_pii", findings_sql(f"({_N})", "doc_id", "text"))
 def find_pii(spark, sf_dir):
     return privacy.find_in_column(run_sql(spark, sf_dir, NOTES), "doc_id", "text")
 
 
 @query("pii_counts_by_type", f"""
-WITH f AS ({_findings(f"({_N})", "doc_id", "text")}) SELECT pii_type, count(*) AS n FROM f GROUP BY pii_type
+WITH f AS ({findings_sql(f"({_N})", "doc_id", "text")}) SELECT pii_type, count(*) AS n FROM f GROUP BY pii_type
 """)
 def pii_counts_by_type(spark, sf_dir):
     return privacy.pii_summary(find_pii(spark, sf_dir))
@@ -115,7 +115,7 @@ def find_pii_conversations(spark, sf_dir):
 
 
 @query("redact_value", f"""
-WITH f AS ({_findings(f"({_N})", "doc_id", "text")})
+WITH f AS ({findings_sql(f"({_N})", "doc_id", "text")})
 SELECT doc_id, position, '[REDACTED_' || upper(pii_type) || ']' AS tag FROM f
 """)
 def redact_value(spark, sf_dir):
@@ -149,7 +149,7 @@ def looks_numeric(spark, sf_dir):
 
 
 @query("pii_summary", f"""
-WITH f AS ({_findings(f"({_N})", "doc_id", "text")}), c AS (SELECT pii_type, count(*) AS n FROM f GROUP BY pii_type)
+WITH f AS ({findings_sql(f"({_N})", "doc_id", "text")}), c AS (SELECT pii_type, count(*) AS n FROM f GROUP BY pii_type)
 SELECT coalesce(sum(n), 0) = 0 AS is_safe, coalesce(sum(n), 0)::bigint AS findings,
        CASE WHEN coalesce(sum(n), 0) = 0 THEN 'Safe (no PII detected)' ELSE
        'Unsafe (' || sum(n)::bigint || ' findings — ' || string_agg(pii_type || ':' || n, ', ' ORDER BY pii_type) || ')' END AS summary
