@@ -23,6 +23,9 @@ def attach_by_key(
     per row, so that a recomputed task routes its rows as before.
     """
     values = [c for c in per_key.columns if c not in (key, weight)]
+    # Always true, but it keeps the weight in both uses of the aggregate, whose
+    # shuffle is then the same and runs once.
+    per_key = per_key.where(F.col(weight) > 0)
     usable = F.col(key).isNotNull()
     if isinstance(per_key.schema[key].dataType, T.StringType):
         usable = usable & (F.octet_length(key) <= HEAVY_KEY_BYTES)

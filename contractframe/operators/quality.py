@@ -10,7 +10,7 @@ from contractframe.contract import Contract, Field
 from contractframe.functions.coercion import coerce, is_float, is_time, missing
 from contractframe.functions.text import strip_text
 from contractframe.operators.checks import rename_to_contract, revalidate, violation_counts
-from contractframe.storage import ROW_ID, named
+from contractframe.storage import ROW_ID, materialize, named
 
 SAMPLES = 5
 CROSS = "check string, columns string, violations bigint, sample_rows array<bigint>"
@@ -180,8 +180,9 @@ def _reference(df: DataFrame, ref: str, target: str) -> DataFrame:
         .agg(F.count("*").alias("n"), F.min(ROW_ID).alias("first"))
     )
     targets = df.where(~missing(named(target), df.schema[target].dataType)).select(named(target).cast("string").alias("t")).distinct()
-    # Both sides are one row per distinct value: a hot value is one row here.
-    dangling = refs.join(targets, F.col("v") == F.col("t"), "left_anti")
+    # Both sides are one row per distinct value: a hot value is one row here. An
+    # anti join would be moved below the grouping, to where it is many rows.
+    dangling = refs.join(targets, F.col("v") == F.col("t"), "left").where(F.col("t").isNull()).drop("t")
     total = dangling.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations"))
     # The first five violating rows hold at most five values, and those are the
     # values with the smallest first rows: five rows decide where to look.
@@ -218,7 +219,8 @@ def mutex_nulls(df: DataFrame) -> DataFrame:
     """
     columns = _data_columns(df)
     pattern = F.array(*[(~missing(named(c), df.schema[c].dataType)) for c in columns])
-    patterns = df.select(pattern.alias("p")).distinct()
+    # Stored: the few patterns are read three times, the table once.
+    patterns = materialize(df.select(pattern.alias("p")).distinct(), "patterns")
     at = F.posexplode("p").alias("i", "present")
     mixed = (
         patterns.select(at)

@@ -55,6 +55,13 @@ def test_referential_presence_with_a_hot_dangling_value(spark):
     assert checks_of(df)["referential_presence", "parent_id,id"] == (3001, [0, 1, 3, 6, 9])
 
 
+def test_references_are_compared_per_distinct_value(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).select(F.col("id").alias("_row_id"), "id", F.col("id").alias("parent_id")).write.parquet(path)
+    plan = plan_of(quality.referential_presence(spark.read.parquet(path)))
+    assert "LeftAnti" not in plan
+
+
 def test_exclusive_nulls(spark):
     rows = [(0, "a", None, "x"), (1, None, "b", "y"), (2, "c", None, None)]
     df = spark.createDataFrame(rows, "_row_id bigint, person string, company string, both string")
