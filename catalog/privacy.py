@@ -9,6 +9,7 @@ from catalog.views import VALUES
 from contractframe.contract import contract_from_dict
 from contractframe.functions import pii, text
 from contractframe.operators import privacy
+from contractframe.storage import evaluated_once
 
 _V = plain(VALUES)
 
@@ -110,8 +111,8 @@ SELECT conv_id, turn, f.pii_type AS pii_type, f."match" AS "match" FROM (
   SELECT conv_id, turn, unnest({_found("text")}) AS f FROM conversations)
 """)
 def find_pii_conversations(spark, sf_dir):
-    talks = table(spark, sf_dir, "conversations")
-    return talks.select("conv_id", "turn", F.inline(pii.find_pii(F.col("text"))))
+    found = evaluated_once(table(spark, sf_dir, "conversations"), "found", pii.find_pii(F.col("text")))
+    return found.select("conv_id", "turn", F.inline("found"))
 
 
 @query("redact_value", f"""

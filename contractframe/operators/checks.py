@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from contractframe.contract import Contract, Field
 from contractframe.functions.coercion import coerce, is_number, is_time, missing
-from contractframe.storage import ROW_ID, materialize
+from contractframe.storage import ROW_ID, evaluated_once, materialize
 
 VIOLATION = "struct<column:string,check:string,failure_case:string>"
 
@@ -134,9 +134,7 @@ def check_contract(df: DataFrame, contract: Contract, truncate: bool = False, ke
         failures = F.concat(*[F.when(broken, F.array(failure)).otherwise(none) for broken, failure in rules])
         found = F.when(any_broken, failures).otherwise(none)
     kept = [*_carried(df), *[f.name for f in present], *extra]
-    # Exploding a one-element array changes nothing, but no filter moves below it:
-    # a filter on the failures reads them instead of evaluating every rule again.
-    return cast.select(*kept, found.alias("_found")).select(*kept, F.explode(F.array("_found")).alias("_violations"))
+    return evaluated_once(cast.select(*kept, found.alias("_found")), "_violations", F.col("_found")).drop("_found")
 
 
 def violations_of(checked: DataFrame, contract: Contract | None = None, absent: list[str] | None = None) -> DataFrame:

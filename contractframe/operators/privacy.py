@@ -9,14 +9,15 @@ from pyspark.sql import types as T
 from contractframe.contract import Contract
 from contractframe.functions.pii import classify_pii, find_pii, masked, pii_in_values, redact_text
 from contractframe.functions.text import is_formula, strip_text
-from contractframe.storage import ROW_ID, named
+from contractframe.storage import ROW_ID, evaluated_once, named
 
 FINDINGS = "location string, pii_type string, value string"
 
 
 def find_in_column(df: DataFrame, key: str, column: str) -> DataFrame:
     """Every personal-data substring of a text column: (key, position, pii_type, match)."""
-    return df.select(key, F.posexplode(find_pii(named(column))).alias("position", "f")).select(
+    found = evaluated_once(df.select(key, named(column).alias("_text")), "_found", find_pii(F.col("_text")))
+    return found.select(key, F.posexplode("_found").alias("position", "f")).select(
         key, "position", F.col("f.pii_type").alias("pii_type"), F.col("f.match").alias("match")
     )
 
@@ -53,7 +54,7 @@ def formula_injection(df: DataFrame, columns: list[str] | None = None) -> DataFr
         ),
         lambda x: x.isNotNull(),
     )
-    return df.select(F.col(ROW_ID), F.inline(hits))
+    return evaluated_once(df, "_hits", hits).select(F.col(ROW_ID), F.inline("_hits"))
 
 
 # -- dictionaries -------------------------------------------------------------------
@@ -100,8 +101,8 @@ def dictionary_pii_scan(fields: DataFrame) -> DataFrame:
     ):
         parts.append(F.transform(found, _in_part(part)))
     return (
-        fields.where("shareable")
-        .select("dataset", "field_name", F.inline(F.concat(*parts)))
+        evaluated_once(fields.where("shareable"), "_found", F.concat(*parts))
+        .select("dataset", "field_name", F.inline("_found"))
         .select("dataset", F.concat_ws(".", F.lit("field"), "field_name", "part").alias("location"), "pii_type", "value")
     )
 
@@ -144,6 +145,7 @@ def scan_text_files(spark: SparkSession, root: str, glob: str = "*.{md,yaml,yml}
         .text(root, wholetext=True)
         .select("value", F.col("_metadata.file_path").alias("location"))
     )
-    return texts.select("location", F.inline(find_pii(F.col("value")))).select(
+    found = evaluated_once(texts, "_found", find_pii(F.col("value")))
+    return found.select("location", F.inline("_found")).select(
         "location", "pii_type", masked(F.col("match")).alias("preview")
     )

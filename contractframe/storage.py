@@ -101,6 +101,15 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def evaluated_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters read instead of computing again.
+
+    Exploding a one-element array changes nothing, but no filter moves below it,
+    neither a written one nor the one Spark infers from exploding ``name``.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 _shipped: set[str] = set()
 
 
