@@ -19,6 +19,11 @@ def _samples(df):
     return df.withColumn("sample_rows", F.array_join(F.transform("sample_rows", lambda x: x.cast("string")), ","))
 
 
+def _pairs(spark, sf_dir):
+    """The pairs as a stored table, as checks of a final table find it."""
+    return materialize(run_sql(spark, sf_dir, PAIRS), "pairs")
+
+
 def _sql_check(check: str, a: str, b: str, where: str, source: str = "p") -> str:
     return (
         f"SELECT '{check}' AS \"check\", '{a},{b}' AS columns, (SELECT count(*) FROM {source} WHERE {where}) AS violations, "
@@ -55,32 +60,32 @@ _SHIP = """ship AS (
 
 @query("date_ordering", f"WITH p AS ({_P}) {_DATES}")
 def date_ordering(spark, sf_dir):
-    return _samples(quality.date_ordering(run_sql(spark, sf_dir, PAIRS)))
+    return _samples(quality.date_ordering(_pairs(spark, sf_dir)))
 
 
 @query("numeric_range", f"WITH p AS ({_P}) {_RANGES}")
 def numeric_range(spark, sf_dir):
-    return _samples(quality.numeric_range(run_sql(spark, sf_dir, PAIRS)))
+    return _samples(quality.numeric_range(_pairs(spark, sf_dir)))
 
 
 @query("referential_presence", f"WITH p AS ({_P}) {_REFERENCES}")
 def referential_presence(spark, sf_dir):
-    return _samples(quality.referential_presence(run_sql(spark, sf_dir, PAIRS)))
+    return _samples(quality.referential_presence(_pairs(spark, sf_dir)))
 
 
 @query("mutex_nulls", f"WITH p AS ({_P}), {_SHIP} {_MUTEX}")
 def mutex_nulls(spark, sf_dir):
-    return _samples(quality.mutex_nulls(run_sql(spark, sf_dir, PAIRS)))
+    return _samples(quality.mutex_nulls(_pairs(spark, sf_dir)))
 
 
 @query("cross_field_checks", f"WITH p AS ({_P}), {_SHIP} {_DATES} UNION ALL {_RANGES} UNION ALL {_REFERENCES} UNION ALL {_MUTEX}")
 def cross_field_checks(spark, sf_dir):
-    return _samples(quality.cross_field_checks(run_sql(spark, sf_dir, PAIRS)))
+    return _samples(quality.cross_field_checks(_pairs(spark, sf_dir)))
 
 
 @query("violation_samples", f"WITH p AS ({_P}) SELECT _row_id FROM p WHERE low > high ORDER BY _row_id LIMIT 5")
 def violation_samples(spark, sf_dir):
-    return quality.violation_samples(run_sql(spark, sf_dir, PAIRS), F.col("low") > F.col("high"))
+    return quality.violation_samples(_pairs(spark, sf_dir), F.col("low") > F.col("high"))
 
 
 # Lines with an infinite ratio, whole numbers and odd column names.
