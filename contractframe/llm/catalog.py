@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from contractframe.llm import packing, token_store
+from contractframe.llm import code_search, decontaminate, minhash_forest, packing, pseudo_likelihood, substring_dedup, token_store, toxicity, warc
 from contractframe.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,7 +30,111 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(), 1024)
 
 
+@query
+def op2_code_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return code_search.search(vectors, vectors.where(F.col("vec_id") % 100 == 0), 10)
+
+
+ORACLES["op2_code_search"] = """
+WITH c AS (SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings),
+     p AS (SELECT q.vec_id AS query_id, r.vec_id AS id, list_sum(list_transform(list_zip(q.bits, r.bits), lambda z: CASE WHEN z[1] = z[2] THEN 0 ELSE 1 END)) AS distance
+           FROM c q, c r WHERE q.vec_id % 100 = 0),
+     k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, id, CAST(distance AS BIGINT) AS distance FROM k WHERE rank <= 10
+"""
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
+ORACLES["op5_warc"] = """
+WITH own AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+     told AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM own),
+     ranked AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM told)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND first <> page_id THEN first END AS refers_to
+FROM ranked
+"""
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_report(table(spark, sf_dir, "documents"), 35)
+
+
+ORACLES["op6_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+     p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM d WHERE len(ws) >= 35),
+     w AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h FROM p),
+     r AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+     gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM w JOIN r USING (h)),
+     flat AS (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS j FROM d),
+     kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS t, count(*) AS n FROM flat ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 @query
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_store.write_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"), vocabulary())
     return token_store.read_tokens(spark, manifest)
+
+
+@query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+    return found.drop("item_ids")
+
+
+ORACLES["op9_decontaminate"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+     b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+     s AS (SELECT item_id, ws, least(len(ws), 10) AS n, unnest(range(1, greatest(1, len(ws) - 9) + 1)) AS i FROM b WHERE len(ws) > 0),
+     w AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS win FROM s),
+     sizes AS (SELECT DISTINCT n FROM w),
+     p AS (SELECT doc_id, n, ws, unnest(range(1, len(ws) - n + 2)) AS i FROM d, sizes WHERE len(ws) >= n),
+     occ AS (SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS win FROM p),
+     hit AS (SELECT doc_id, i, o.n, item_id FROM occ o JOIN w ON o.win = w.win AND o.n = w.n),
+     words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY doc_id),
+     items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hit GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query
+def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"), 75)
+
+
+ORACLES["op10_minhash_forest"] = r"""
+WITH RECURSIVE
+     d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+     s AS (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - 4) + 1)) AS i FROM d WHERE len(ws) > 0),
+     g AS (SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 4], ' ')) AS h FROM s),
+     n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+     overlap AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY ALL),
+     links AS (SELECT x, y FROM overlap JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+     reach AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+     comp AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM comp LEFT JOIN n USING (doc_id)
+"""
