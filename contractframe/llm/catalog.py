@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractframe.llm import code_search, decontaminate, minhash_forest, packing, pseudo_likelihood, substring_dedup, token_store, toxicity, warc
+from contractframe.llm import code_search, cotraining, decontaminate, minhash_forest, packing, pseudo_likelihood, substring_dedup, token_store, toxicity, warc
 from contractframe.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,12 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+@query
+def op7_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cotraining.score_documents(docs, cotraining.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_store.write_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"), vocabulary())
