@@ -6,65 +6,62 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HEAVY_KEYS = 1000  # broadcast rows; any key outside holds at most 1/1000 of the table
-HEAVY_KEY_BYTES = 1024  # longer keys are never broadcast
-_SALTS = 4099
+from contractframe.storage import ROW_ID, materialize
 
+HEAVY_KEYS = 1000  # broadcast digests; any key outside holds at most 1/1000 of the table
+CHUNK_ROWS = 128  # rows of a heavy key that share one copy of its values
 
-def attach_by_key(
-    df: DataFrame, per_key: DataFrame, key: str, weight: str, spread: Column
-) -> DataFrame:
+
+def _token(key: Column, key_type: T.DataType) -> Column:
+    """What stands for a key in joins: long keys cost no more than short ones."""
+    if isinstance(key_type, (T.StringType, T.BinaryType)):
+        return F.unhex(F.sha2(key, 256))
+    return key
+
+
+def attach_by_key(df: DataFrame, per_key: DataFrame, key: str, weight: str) -> DataFrame:
     """Left-join ``per_key`` (unique on ``key``) to ``df``, whatever the key distribution.
 
-    The keys with the largest ``weight`` (their row count) are broadcast: at most
-    HEAVY_KEYS rows of bounded size.  Rows with such a key, or a null key, are
-    done there and are dealt over all tasks by ``spread`` in the second join,
-    which takes the remaining keys.  ``spread`` must be a deterministic integer
-    per row, so that a recomputed task routes its rows as before.
+    ``weight`` is the row count of a key.  The HEAVY_KEYS heaviest keys are dealt
+    into chunks of CHUNK_ROWS rows, and their values are copied once per chunk,
+    which adds one row for each 128; rows without a key are dealt by row and
+    match nothing.  Only digests and chunk counts are broadcast, never values.
+    Rows are dealt by ``_row_id``; without one by their place in a stored copy,
+    so that equal rows part and a task that runs again deals its rows as before.
     """
     values = [c for c in per_key.columns if c not in (key, weight)]
-    # Always true, but it keeps the weight in both uses of the aggregate, whose
-    # shuffle is then the same and runs once.
-    per_key = per_key.where(F.col(weight) > 0)
-    usable = F.col(key).isNotNull()
-    if isinstance(per_key.schema[key].dataType, T.StringType):
-        usable = usable & (F.octet_length(key) <= HEAVY_KEY_BYTES)
+    columns, spread = df.columns, ROW_ID
+    if ROW_ID not in columns:
+        spread = "_spread"
+        df = materialize(df.withColumn(spread, F.monotonically_increasing_id()), "dealt")
+    key_type = df.schema[key].dataType
+    stored = materialize(
+        per_key.where(F.col(key).isNotNull()).select(
+            _token(F.col(key), key_type).alias("_key"), F.col(weight).alias("_weight"), *[F.col(v).alias(f"_of_{v}") for v in values]
+        ),
+        "per-key",
+    )
     heavy = (
-        per_key.where(usable)
-        .orderBy(F.desc(weight), F.asc(key))
+        stored.where(F.col("_weight") > CHUNK_ROWS)
+        .select("_key", "_weight")
+        .orderBy(F.desc("_weight"), "_key")
         .limit(HEAVY_KEYS)
-        .select(
-            F.col(key).alias("_heavy_key"),
-            F.lit(True).alias("_heavy"),
-            *[F.col(v).alias(f"_heavy_{v}") for v in values],
-        )
+        .select(F.col("_key").alias("_heavy"), F.ceil(F.col("_weight") / CHUNK_ROWS).cast("bigint").alias("_chunks"))
     )
-    light = per_key.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("_light_key"),
-        F.lit(0).cast("bigint").alias("_light_salt"),
-        *[F.col(v).alias(f"_light_{v}") for v in values],
+    own = [f"_of_{v}" for v in values]
+    copies = stored.join(F.broadcast(heavy), F.col("_key") == F.col("_heavy")).select(
+        "_key", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_chunks"))).alias("_part"), *own
     )
-    done = F.col("_heavy").isNotNull()
-    open_key = F.when(~done, F.col(key))
-    salt = F.when(open_key.isNull(), F.pmod(spread, F.lit(_SALTS)) + 1).otherwise(0).cast("bigint")
-    staged = (
-        df.join(F.broadcast(heavy), F.col(key) == F.col("_heavy_key"), "left")
-        .withColumn("_open_key", open_key)
-        .withColumn("_salt", salt)
-    )
-    joined = staged.join(
-        light,
-        (F.col("_open_key") == F.col("_light_key")) & (F.col("_salt") == F.col("_light_salt")),
-        "left",
-    )
-    return joined.select(
-        *df.columns,
-        *[F.when(done, F.col(f"_heavy_{v}")).otherwise(F.col(f"_light_{v}")).alias(v) for v in values],
+    right = stored.select("_key", F.lit(0).cast("bigint").alias("_part"), *own).unionByName(copies)
+    dealt = (
+        df.withColumn("_token", _token(F.col(key), key_type))
+        .join(F.broadcast(heavy), F.col("_token") == F.col("_heavy"), "left")
+        .withColumn(
+            "_salt",
+            F.when(F.col("_chunks").isNotNull(), 1 + F.pmod(F.xxhash64(spread), F.col("_chunks")))
+            .when(F.col("_token").isNull(), -1 - F.pmod(F.xxhash64(spread), F.lit(1 << 40)))
+            .otherwise(0),
+        )
     )
-
-
-def row_spread(df: DataFrame) -> Column:
-    """A deterministic integer per row: the row id when there is one."""
-    if "_row_id" in df.columns:
-        return F.col("_row_id")
-    return F.xxhash64(*df.columns)
+    joined = dealt.join(right, (F.col("_token") == F.col("_key")) & (F.col("_salt") == F.col("_part")), "left")
+    return joined.select(*columns, *[F.col(f"_of_{v}").alias(v) for v in values])

@@ -29,14 +29,46 @@ def test_digest_tells_null_from_text(spark):
     assert tuple(cleaning.dedupe_counts(df).first()) == (3, 3, 0)
 
 
-@pytest.mark.parametrize("literals", [10_000, 0])
-def test_value_map(spark, rows, monkeypatch, literals):
-    monkeypatch.setattr(cleaning, "MAP_LITERALS", literals)
+def test_value_map(spark, rows):
     df = spark.createDataFrame([(0, "Kids Menu"), (1, "Kid's Menu"), (2, None), (3, "Drinks"), (4, "Kids Menu")], "_row_id bigint, c string")
     got = cleaning.apply_value_map(df, "c", {"Kids Menu": "kids", "Kid's Menu": "kids"})
     assert rows(got) == [(0, "kids"), (1, "kids"), (2, None), (3, "Drinks"), (4, "kids")]
 
 
+def test_value_map_entries(spark, rows):
+    df = spark.createDataFrame([(0, "a"), (1, "b")], "_row_id bigint, c string")
+    twice = spark.createDataFrame([("a", "x"), ("a", "x"), (None, "y")], "original string, canonical string")
+    assert rows(cleaning.apply_value_map(df, "c", twice)) == [(0, "x"), (1, "b")]
+    with pytest.raises(ValueError, match="more than one value.*'a'"):
+        cleaning.apply_value_map(df, "c", spark.createDataFrame([("a", "x"), ("a", "y")], "original string, canonical string"))
+    numbers = spark.createDataFrame([(0, 1.0), (1, 2.5)], "_row_id bigint, v double")
+    assert rows(cleaning.apply_value_map(numbers, "v", {1: 7})) == [(0, 7.0), (1, 2.5)]
+    assert rows(cleaning.apply_value_map(numbers, "v", {})) == [(0, 1.0), (1, 2.5)]
+
+
+KINDS = """
+    SELECT id AS _row_id, timestamp_micros(1700000000000000 + id % 7) AS t, CASE WHEN id % 2 = 0 THEN 0.0D WHEN id % 3 = 0 THEN double('NaN') ELSE -0.0D END AS d,
+           cast(id % 2 AS float) - 1 AS f, cast(concat('b', id % 3) AS binary) AS b, timestamp_ntz'2024-01-01 00:00:00.000001' AS n,
+           array(if(id % 5 = 0, null, '1:a'), '-') AS a, named_struct('x', -0.0D * (id % 2), 'y', if(id % 4 = 0, null, '')) AS s, if(id % 6 = 0, null, '-') AS z,
+           cast(id % 3 AS decimal(20, 4)) AS m, date_add(date'2024-01-01', cast(id % 2 AS int)) AS e
+    FROM range(400)
+"""
+
+
+@pytest.mark.parametrize("columns", [["t"], ["d"], ["f"], ["b"], ["n"], ["a"], ["s"], ["z"], ["m"], ["e"], ["d", "z"], ["a", "z", "t"], None])
+def test_counts_agree_with_the_rows_kept(spark, columns):
+    df = spark.sql(KINDS)
+    groups = df.select(*(columns or [c for c in df.columns if c != "_row_id"])).distinct().count()
+    kept = cleaning.exact_dedupe(df, columns)
+    assert kept.columns == df.columns and kept.count() == groups
+    assert tuple(cleaning.dedupe_counts(df, columns).first()) == (400, groups, 400 - groups)
+
+
+def test_dedupe_by_some_columns_keeps_whole_first_rows(spark, rows):
+    df = spark.createDataFrame([(4, "a", 1), (2, "a", 2), (3, "b", 3)], "_row_id bigint, s string, v int")
+    assert rows(cleaning.exact_dedupe(df, ["s"])) == [(2, "a", 2), (3, "b", 3)]
+
+
 def test_clean_strips_before_it_dedupes(spark, rows):
     c = Contract(fields=[Field("name", type="text"), Field("city", type="categorical")])
     df = spark.createDataFrame([(0, "Alice", "NYC"), (1, " Alice", "NYC"), (2, "Alce", "NYC")], "_row_id bigint, name string, city string")
@@ -109,18 +141,18 @@ def test_many_distinct_characters():
 # -- near duplicates ------------------------------------------------------------------
 
 
-def brute_force(records, columns, threshold, window):
-    order = sorted(records, key=lambda r: (r[columns[0]] is None, r[columns[0]] or "", r["_row_id"]))
-    joined = [" ".join("" if r[c] is None else r[c] for c in columns) for r in order]
-    out = []
-    for i in range(len(order)):
-        for j in range(i + 1, min(i + 1 + window, len(order))):
-            if all(order[i][c] == order[j][c] for c in columns):
-                continue
-            s = ratio(joined[i], joined[j])
-            if s >= threshold:
-                out.append((i, j, order[i]["_row_id"], order[j]["_row_id"], s))
-    return sorted(out)
+def expected_pairs(records, columns, threshold, window):
+    """By definition: rank distance within the window, some column different, similar enough."""
+    def key(r):
+        first = r[columns[0]]
+        return (first is None, first or "", r["_row_id"])
+
+    rank = {r["_row_id"]: i for i, r in enumerate(sorted(records, key=key))}
+    text = {r["_row_id"]: " ".join(r[c] or "" for c in columns) for r in records}
+    cells = {r["_row_id"]: tuple(r[c] for c in columns) for r in records}
+    near = {(a, b) for a in rank for b in rank if 0 < rank[b] - rank[a] <= window and cells[a] != cells[b]}
+    scored = {(a, b): ratio(text[a], text[b]) for a, b in near}
+    return {(rank[a], rank[b], a, b, s) for (a, b), s in scored.items() if s >= threshold}
 
 
 def test_near_pair(spark, rows):
@@ -158,7 +190,7 @@ def test_near_duplicates_against_brute_force(spark, rows, window, chunk, partiti
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
         got = neardup.near_duplicates(df, ["name", "city"], 70.0, window, chunk)
-        assert rows(got.drop("diffs")) == sorted(brute_force(records, ["name", "city"], 70.0, window), key=repr)
+        assert rows(got.drop("diffs")) == sorted(expected_pairs(records, ["name", "city"], 70.0, window), key=repr)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", 8)
 
