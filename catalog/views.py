@@ -66,7 +66,7 @@ ORDERS: Contract = contract_from_dict(
 
 def orders_rule(field: str, **rules) -> Contract:
     """A contract of the one orders field, with these rules alone."""
-    base = ORDERS.field_by_name(field)
+    base = ORDERS.names().fields[field]
     bare = dataclasses.replace(base, allowed_values=None, min=None, max=None, pattern=None, nullable=True)
     return Contract(fields=[dataclasses.replace(bare, **rules)])
 

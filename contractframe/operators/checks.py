@@ -35,17 +35,17 @@ class Enforced:
 
 def rename_to_contract(df: DataFrame, contract: Contract) -> DataFrame:
     """Source names to field names; unmapped columns survive."""
-    return df.withColumnsRenamed(contract.source_to_field_map())
+    return df.withColumnsRenamed(contract.names().renames)
 
 
 def project_to_contract(df: DataFrame, contract: Contract) -> DataFrame:
     """Declared columns only (with the row id), in contract order."""
-    keep = [c for c in contract.field_names() if c in df.columns]
+    keep = [c for c in contract.names().fields if c in df.columns]
     return df.select(*_carried(df), *keep)
 
 
 def missing_columns(df: DataFrame, contract: Contract) -> list[str]:
-    return [c for c in contract.field_names() if c not in df.columns]
+    return [c for c in contract.names().fields if c not in df.columns]
 
 
 def _carried(df: DataFrame) -> list[str]:

@@ -124,7 +124,7 @@ def share_safe_dictionary(fields: DataFrame) -> DataFrame:
 
 def share_safe_table(df: DataFrame, contract: Contract) -> DataFrame:
     """Rows as they may be shared: shareable fields under contract names, free text redacted."""
-    df = df.withColumnsRenamed(contract.source_to_field_map())
+    df = df.withColumnsRenamed(contract.names().renames)
     out = []
     for f in contract.fields:
         if not f.shareable or f.name not in df.columns:

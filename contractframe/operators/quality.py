@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contractframe.contract import Contract, Field
 from contractframe.functions.coercion import coerce, is_float, is_time, missing
-from contractframe.functions.text import strip_text
 from contractframe.operators.checks import rename_to_contract, revalidate, violation_counts
 from contractframe.storage import ROW_ID, materialize, named
 
@@ -62,13 +64,16 @@ def dropped_rows(original: DataFrame, final: DataFrame) -> DataFrame:
 def original_vs_final_diff(original: DataFrame, final: DataFrame, contract: Contract) -> DataFrame:
     """Declared columns whose values differ from the original; one row-id join, one aggregate.
 
-    When the row counts differ, every column reports that instead.
+    When the row counts differ, every column reports that instead, and nothing is joined.
     """
     raw = _typed_original(original, contract)
     shared = [f for f in contract.fields if f"o_{f.name}" in raw.columns and f.name in final.columns]
     schema = "column string, row_count_changed boolean, original_rows bigint, final_rows bigint, mismatches bigint"
     if not shared:
         return final.sparkSession.createDataFrame([], schema)
+    before, after = original.count(), final.count()
+    if before != after:
+        return final.sparkSession.createDataFrame([(f.name, True, before, after, None) for f in shared], schema)
     new = final.select(F.col(ROW_ID).alias("_final_id"), *[named(f.name).alias(f"f_{f.name}") for f in shared])
     both = raw.join(new, F.col(ROW_ID) == F.col("_final_id"), "full_outer")
     matched = F.col(ROW_ID).isNotNull() & F.col("_final_id").isNotNull()
@@ -94,28 +99,34 @@ def original_vs_final_diff(original: DataFrame, final: DataFrame, contract: Cont
 # -- cross-column checks ----------------------------------------------------------
 
 
-def _prefix_pairs(columns: list[str], prefixes) -> list[tuple[str, str]]:
-    names, out = set(columns), []
-    for low, high in prefixes:
-        for a in sorted(names):
-            if a == low or a.startswith(low + "_"):
-                b = high + a[len(low):]
-                if b in names and (a, b) not in out:
-                    out.append((a, b))
-    return out
+def _partners(columns: list[str], heads: dict[str, str], whole: dict[str, str]) -> list[tuple[str, str]]:
+    """Columns and their partners: the same rest behind the partner's head, or the partner's whole name."""
+    present, found = set(columns), []
+    for name in sorted(present):
+        head, rest = name.split("_", 1) if "_" in name else (name, None)
+        candidates = [whole.get(name)]
+        if head in heads:
+            candidates.append(heads[head] if rest is None else f"{heads[head]}_{rest}")
+        found += [(name, other) for other in candidates if other in present]
+    return found
 
 
 def date_pairs(columns: list[str]) -> list[tuple[str, str]]:
-    out = _prefix_pairs(columns, DATE_PREFIXES)
-    return out + [p for p in DATE_EXACT if p[0] in columns and p[1] in columns and p not in out]
+    return _partners(columns, dict(DATE_PREFIXES), dict(DATE_EXACT))
 
 
 def range_pairs(columns: list[str]) -> list[tuple[str, str]]:
-    return _prefix_pairs(columns, RANGE_PREFIXES)
+    return _partners(columns, dict(RANGE_PREFIXES), {})
 
 
 def reference_pairs(columns: list[str]) -> list[tuple[str, str]]:
-    return [(r, t) for t in sorted(columns) for r in sorted(columns) if r != t and r.endswith("_" + t)]
+    """(column, target): every tail of a name behind an underscore that is a column itself."""
+    present, found = set(columns), []
+    for name in sorted(present):
+        parts = name.split("_")
+        tails = ["_".join(parts[i:]) for i in range(1, len(parts))]
+        found += [(name, tail) for tail in tails if tail in present]
+    return found
 
 
 def _as_time(df: DataFrame, c: str) -> Column:
@@ -173,84 +184,65 @@ def numeric_range(df: DataFrame) -> DataFrame:
     return _ordering(df, "numeric_range", range_pairs(_data_columns(df)), _as_number)
 
 
-def _reference(df: DataFrame, ref: str, target: str) -> DataFrame:
-    refs = (
-        df.where(~missing(named(ref), df.schema[ref].dataType))
-        .groupBy(named(ref).cast("string").alias("v"))
-        .agg(F.count("*").alias("n"), F.min(ROW_ID).alias("first"))
+def referential_presence(df: DataFrame) -> DataFrame:
+    """For columns X_t and t: non-null values of X_t, as text, that never occur in t.
+
+    All pairs share one unpivot and one grouping by value digest, where a hot
+    value is one row per task; a second reading finds the first violating rows.
+    """
+    pairs = reference_pairs(_data_columns(df))
+    if not pairs:
+        return df.sparkSession.createDataFrame([], CROSS)
+
+    def cell(i: int, c: str, is_target: bool) -> Column:
+        digest = F.unhex(F.sha2(named(c).cast("string"), 256))
+        there = ~missing(named(c), df.schema[c].dataType)
+        return F.when(there, F.struct(F.lit(i).alias("pair"), digest.alias("v"), F.lit(is_target).alias("is_target")))
+
+    def unpivot(cells: list[Column]) -> DataFrame:
+        return df.select(F.col(ROW_ID), F.inline(F.filter(F.array(*cells), lambda x: x.isNotNull())))
+
+    refs = [cell(i, r, False) for i, (r, _) in enumerate(pairs)]
+    targets = [cell(i, t, True) for i, (_, t) in enumerate(pairs)]
+    values = unpivot(refs + targets).groupBy("pair", "v").agg(
+        F.bool_or("is_target").alias("known"), F.count_if(~F.col("is_target")).alias("n"), F.min(F.when(~F.col("is_target"), F.col(ROW_ID))).alias("first")
     )
-    targets = df.where(~missing(named(target), df.schema[target].dataType)).select(named(target).cast("string").alias("t")).distinct()
-    # Both sides are one row per distinct value: a hot value is one row here. An
-    # anti join would be moved below the grouping, to where it is many rows.
-    dangling = refs.join(targets, F.col("v") == F.col("t"), "left").where(F.col("t").isNull()).drop("t")
-    total = dangling.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations"))
+    dangling = materialize(values.where("NOT known AND n > 0").drop("known"), "dangling")
+    totals = dangling.groupBy("pair").agg(F.sum("n").alias("violations"))
     # The first five violating rows hold at most five values, and those are the
-    # values with the smallest first rows: five rows decide where to look.
-    earliest = F.broadcast(dangling.orderBy("first").limit(SAMPLES).select(F.col("v").alias("_v")))
-    samples = (
-        df.select(F.col(ROW_ID), named(ref).cast("string").alias("_ref"))
-        .join(earliest, F.col("_ref") == F.col("_v"), "left_semi")
-        .orderBy(ROW_ID)
-        .limit(SAMPLES)
-        .agg(F.sort_array(F.collect_list(ROW_ID)).alias("sample_rows"))
+    # values with the smallest first rows: five digests a pair decide where to look.
+    order = Window.partitionBy("pair").orderBy("first")
+    earliest = dangling.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= SAMPLES)
+    earliest = earliest.select(F.col("pair").alias("_pair"), F.col("v").alias("_v"))
+    rows = unpivot(refs).join(F.broadcast(earliest), (F.col("pair") == F.col("_pair")) & (F.col("v") == F.col("_v")), "left_semi")
+    names = df.sparkSession.createDataFrame([(i, f"{r},{t}") for i, (r, t) in enumerate(pairs)], "pair int, columns string")
+    return names.join(totals, "pair", "left").join(first_rows(rows, "pair"), "pair", "left").select(
+        F.lit("referential_presence").alias("check"), "columns", F.coalesce("violations", F.lit(0).cast("bigint")).alias("violations"),
+        F.coalesce("sample_rows", F.array().cast("array<bigint>")).alias("sample_rows"),
     )
-    label = F.lit(f"{ref},{target}")
-    parts = total.select(label.alias("columns"), "violations", F.lit(None).cast("array<bigint>").alias("sample_rows")).unionByName(
-        samples.select(label.alias("columns"), F.lit(None).cast("bigint").alias("violations"), "sample_rows")
-    )
-    return parts.groupBy("columns").agg(F.max("violations").alias("violations"), F.max("sample_rows").alias("sample_rows")).select(
-        F.lit("referential_presence").alias("check"), "columns", "violations", "sample_rows"
-    )
-
-
-def referential_presence(df: DataFrame) -> DataFrame:
-    """For columns X_t and t: non-null values of X_t, as text, that never occur in t."""
-    out = df.sparkSession.createDataFrame([], CROSS)
-    for ref, target in reference_pairs(_data_columns(df)):
-        out = out.unionByName(_reference(df, ref, target))
-    return out
 
 
 def mutex_nulls(df: DataFrame) -> DataFrame:
     """Pairs of partly null columns that are never both present.
 
-    Rows reduce to their presence pattern before the shuffle; pairs are then
-    looked at per pattern, not per row.
+    One aggregate: for each column, how often it is present and, in words of 64
+    bits, which columns are ever present beside it. Pairs are read off that row.
     """
     columns = _data_columns(df)
-    pattern = F.array(*[(~missing(named(c), df.schema[c].dataType)) for c in columns])
-    # Stored: the few patterns are read three times, the table once.
-    patterns = materialize(df.select(pattern.alias("p")).distinct(), "patterns")
-    at = F.posexplode("p").alias("i", "present")
-    mixed = (
-        patterns.select(at)
-        .groupBy("i")
-        .agg(F.bool_or("present").alias("some"), F.bool_and("present").alias("every"))
-        .where("some and not every")
-        .select("i")
-    )
-    # Column positions present together in some row: bounded by columns squared.
-    present = F.filter(F.transform(F.col("p"), lambda x, i: F.when(x, i)), lambda x: x.isNotNull())
-    together = (
-        patterns.select(present.alias("q"))
-        .select("q", F.explode("q").alias("a"))
-        .select("a", F.explode("q").alias("b"))
-        .where("a < b")
-        .distinct()
-    )
-    pairs = df.sparkSession.createDataFrame(
-        [(i, j, f"{columns[i]},{columns[j]}") for i in range(len(columns)) for j in range(i + 1, len(columns))],
-        "a int, b int, columns string",
-    )
-    return (
-        pairs.join(together, ["a", "b"], "left_anti")
-        .join(mixed.select(F.col("i").alias("a")), "a", "left_semi")
-        .join(mixed.select(F.col("i").alias("b")), "b", "left_semi")
-        .select(
-            F.lit("mutually_exclusive_nulls").alias("check"), "columns",
-            F.lit(0).cast("bigint").alias("violations"), F.array().cast("array<bigint>").alias("sample_rows"),
-        )
-    )
+    present = [~missing(named(c), df.schema[c].dataType) for c in columns]
+    words = [
+        reduce(Column.bitwiseOR, [F.when(p, F.lit(1 << i if i < 63 else -(1 << 63)).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for i, p in enumerate(part)])
+        for part in (present[at : at + 64] for at in range(0, len(present), 64))
+    ]
+    table = df.select(*[p.alias(f"p{i}") for i, p in enumerate(present)], *[w.alias(f"w{j}") for j, w in enumerate(words)])
+    beside = [F.bit_or(F.when(F.col(f"p{i}"), F.col(f"w{j}"))).alias(f"b{i}_{j}") for i in range(len(columns)) for j in range(len(words))]
+    one = table.agg(F.count("*").alias("rows"), *[F.count_if(f"p{i}").alias(f"n{i}") for i in range(len(columns))], *beside).first()
+    mixed = [i for i in range(len(columns)) if 0 < one[f"n{i}"] < one["rows"]]
+    found = [
+        ("mutually_exclusive_nulls", f"{columns[i]},{columns[j]}", 0, [])
+        for i in mixed for j in mixed if i < j and not one[f"b{i}_{j // 64}"] >> (j % 64) & 1
+    ]
+    return df.sparkSession.createDataFrame(found, CROSS)
 
 
 def cross_field_checks(df: DataFrame) -> DataFrame:
@@ -295,8 +287,13 @@ def qa_report(df: DataFrame, as_of: Column | None = None) -> DataFrame:
     return df.agg(*aggs).select(F.inline(F.filter(F.array(*rows), lambda x: x.isNotNull())))
 
 
+# White space at an end, double blanks, or anything beyond ASCII; read alike by both pattern languages.
+_EDGE = "[\\t-\\r\\x1c-\\x20]"
+NAME_FAULT = rf"^{_EDGE}|{_EDGE}(?![\s\S])|  |[^\x00-\x7f]"
+
+
 def bad_name(name: str) -> bool:
-    return name != name.strip() or "  " in name or not name.isascii()
+    return re.search(NAME_FAULT, name) is not None
 
 
 def qa_infinity(df: DataFrame) -> DataFrame:
@@ -313,8 +310,7 @@ def qa_future_dates(df: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 def qa_column_names(schema_table: DataFrame) -> DataFrame:
     """Names with outer or double white space or non-ASCII letters, over a table of column names."""
-    c = F.col("column")
-    return schema_table.where((c != strip_text(c)) | c.contains("  ") | c.rlike(r"[^\x00-\x7f]")).select("column")
+    return schema_table.where(F.col("column").rlike(NAME_FAULT)).select("column")
 
 
 # -- whole report -----------------------------------------------------------------

@@ -75,6 +75,23 @@ def test_full_and_empty_columns_are_not_exclusive(spark):
     assert checks_of(df) == {}
 
 
+def test_many_independent_columns(spark):
+    df = spark.range(3000).select(
+        F.col("id").alias("_row_id"), *[F.when(F.xxhash64("id", F.lit(i)) % 3 == 0, F.lit(i)).alias(f"c{i}") for i in range(64)],
+        F.when(F.col("id") % 2 == 0, 1).alias("even"), F.when(F.col("id") % 2 == 1, 1).alias("odd"),
+    )
+    assert {r["columns"] for r in quality.mutex_nulls(df).collect()} == {"even,odd"}
+
+
+def test_references_share_their_readings(spark, tmp_path):
+    path = str(tmp_path / "t")
+    columns = [f"a{i}" for i in range(6)]
+    spark.range(10).select(F.col("id").alias("_row_id"), *[F.col("id").alias(c) for c in columns], *[(F.col("id") + 1).alias(f"x_{c}") for c in columns]).write.parquet(path)
+    got = quality.referential_presence(spark.read.parquet(path))
+    assert {(r["columns"], r["violations"], tuple(r["sample_rows"])) for r in got.collect()} == {(f"x_{c},{c}", 1, (9,)) for c in columns}
+    assert plan_of(got).count("FileScan parquet") <= 8  # the table, the dangling values: whatever the number of pairs
+
+
 def findings(df, as_of="2024-06-01 00:00:00"):
     return {tuple(r) for r in quality.qa_report(df, F.lit(as_of).cast("timestamp")).collect()}
 
