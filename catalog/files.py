@@ -62,10 +62,38 @@ def intake_header_offset(spark, sf_dir):
     return intake.read_delimited(spark, path, header_row="auto").table.drop(ROW_ID)
 
 
-@query("intake_nrows", "SELECT * FROM (SELECT event_id, user_id, event_type FROM events ORDER BY event_id LIMIT 100)")
+@query("intake_nrows", """
+SELECT event_id, user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY event_id // 10000 ORDER BY event_id) <= 100
+""")
 def intake_nrows(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type").orderBy("event_id").coalesce(1)
-    return intake.read_delimited(spark, _write(events, ".csv"), nrows=100).table.drop(ROW_ID)
+    """The first rows of every file; a file holds ten thousand events."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.floor(F.col("event_id") / 10_000).alias("part"))
+    path = scratch_path(spark, "files")
+    events.repartition("part").sortWithinPartitions("part", "event_id").write.option("header", True).partitionBy("part").csv(path)
+    parts = [r["part"] for r in events.select("part").distinct().orderBy("part").collect()]  # one per file
+    return intake.read_delimited(spark, [f"{path}/part={p}" for p in parts], nrows=100, sep=",").table.drop(ROW_ID)
+
+
+@query("intake_ragged", """
+SELECT doc_id % 3 = 0 AS aside, count(*) AS n, sum(doc_id)::bigint AS id_sum, sum(length(text))::bigint AS characters FROM documents GROUP BY 1
+""")
+def intake_ragged(spark, sf_dir):
+    """Documents with line breaks in their cells; every third row has a cell too many and is set aside."""
+    path = scratch_path(spark, "files") + ".csv"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), quoted, F.when(F.col("doc_id") % 3 == 0, "extra"))
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    docs.select(line.alias("line"), first.alias("first")).select(
+        F.explode(F.when(F.col("first"), F.array(F.lit("doc_id,text"), "line")).otherwise(F.array("line"))).alias("value")
+    ).write.text(path)
+    got = intake.read_delimited(spark, path, ragged="split", infer=False)
+    cell = lambda c, i: intake.split_cells(F.col(c), F.lit(","))[i]
+    aside = got.ragged.select(cell("row", 0).cast("bigint").alias("doc_id"), cell("row", 1).alias("text"), F.lit(True).alias("aside"))
+    kept = got.table.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.lit(False).alias("aside"))
+    return kept.unionByName(aside).groupBy("aside").agg(
+        F.count("*").alias("n"), F.sum("doc_id").cast("bigint").alias("id_sum"), F.sum(F.length("text")).cast("bigint").alias("characters")
+    )
 
 
 @query("file_encoding", """
@@ -133,6 +161,24 @@ def bulk_union(spark, sf_dir):
     return report.join(sums, "group_index").select(F.array_join("columns", ",").alias("columns"), "total_rows", "key_sum")
 
 
+@query("bulk_profile", """
+SELECT 'part' AS source, "column", distinct_count FROM (
+  SELECT count(DISTINCT p_partkey) AS p_partkey, count(DISTINCT p_name) AS p_name, count(DISTINCT p_brand) AS p_brand, count(DISTINCT p_type) AS p_type,
+         count(DISTINCT p_size) AS p_size, count(DISTINCT p_retailprice) AS p_retailprice FROM part)
+  UNPIVOT (distinct_count FOR "column" IN (p_partkey, p_name, p_brand, p_type, p_size, p_retailprice))
+UNION ALL
+SELECT 'customer', "column", distinct_count FROM (
+  SELECT count(DISTINCT c_custkey) AS c_custkey, count(DISTINCT c_name) AS c_name, count(DISTINCT c_nationkey) AS c_nationkey,
+         count(DISTINCT c_acctbal) AS c_acctbal, count(DISTINCT c_mktsegment) AS c_mktsegment FROM customer)
+  UNPIVOT (distinct_count FOR "column" IN (c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment))
+""")
+def bulk_profile(spark, sf_dir):
+    """One profile row per schema group and column."""
+    _, tables = intake.bulk_intake(spark, _many_files(spark, sf_dir), sep=",")
+    source = F.when(F.col("column").startswith("p_"), "part").otherwise("customer")
+    return intake.profile_groups(tables).select(source.alias("source"), "column", "distinct_count")
+
+
 @query("checkpoint_roundtrip", "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders")
 def checkpoint_roundtrip(spark, sf_dir):
     return materialize(table(spark, sf_dir, "orders"), "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))

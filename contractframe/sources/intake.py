@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,7 +14,6 @@ from contractframe.storage import ROW_ID, materialize, named, scratch_path
 HEADER_SCAN = 10
 SAMPLE_ROWS = 50
 _BYTES = "iso-8859-1"
-BROADCAST_SEGMENTS = 100_000  # file blocks; beyond this Spark chooses the join itself
 
 # File suffixes and their separators.
 SEPARATORS = {".csv": ",", ".tsv": "\t", ".tab": "\t"}
@@ -27,6 +25,10 @@ MISSING_TEXTS = (
 )
 
 
+# Endings of compressed files.
+COMPRESSED = r"\.(gz|bz2|zst|lz4|snappy|deflate|xz)$"
+
+
 def separator_of(path: str) -> str:
     for suffix, sep in SEPARATORS.items():
         if path.lower().endswith(suffix):
@@ -56,37 +58,44 @@ def file_encoding(spark: SparkSession, paths: list[str], fallback: str = "iso-88
     """(file, has_bom, is_utf8, encoding) per file that is not empty.
 
     A line is valid UTF-8 on its own when the file is, so validity is a plain
-    aggregate over lines.  The reader drops a byte-order mark, which therefore
-    shows as three bytes of the file size that no line accounts for.
+    aggregate over lines.  A 16-bit byte-order mark is read from the first bytes.
+    The reader drops the one of UTF-8, which therefore shows as three bytes of
+    the file size that no line accounts for; sizes of compressed files say
+    nothing, and there ``has_bom`` is null.
     """
+    first = F.upper(F.hex(F.substring(F.col("value").cast("binary"), 1, 2)))
+    wide = (F.col("block") == 0) & first.isin("FFFE", "FEFF")
     per_file = raw_lines(spark, paths).groupBy("file").agg(
         (F.max("size") - F.sum(F.octet_length("value") + 1)).alias("rest"),  # -1: no final line feed
         F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"),
+        F.min_by(wide, F.struct("block", "id")).alias("wide"),
     )
-    has_bom = F.col("rest").isin(2, 3)
+    packed = F.lower("file").rlike(COMPRESSED)
+    marked = F.when(~packed, F.col("rest").isin(2, 3)) | F.col("wide")
     return per_file.select(
         "file",
-        has_bom.alias("has_bom"),
-        "is_utf8",
-        F.when(has_bom, "utf-8-sig").when(F.col("is_utf8"), "utf-8").otherwise(fallback).alias("encoding"),
+        marked.alias("has_bom"),
+        (F.col("is_utf8") & ~F.col("wide")).alias("is_utf8"),
+        F.when(F.col("wide"), "utf-16").when(marked, "utf-8-sig").when(F.col("is_utf8"), "utf-8").otherwise(fallback).alias("encoding"),
     )
 
 
-def head_lines(spark: SparkSession, paths: list[str], n: int = HEADER_SCAN, fallback: str = "iso-8859-1") -> DataFrame:
+def head_lines(
+    spark: SparkSession, paths: list[str], n: int = HEADER_SCAN, fallback: str = "iso-8859-1", blanks: bool = True
+) -> DataFrame:
     """The first n lines of every file: (file, ordinal, line), decoded.
 
-    Only the first block of a file can hold them, and each task keeps n per file
-    before the shuffle.  A head line that is not UTF-8 is read as ``fallback``.
+    Without ``blanks`` the first n lines that are not blank, however many blank
+    ones lie before them.  Each task keeps n per file before the shuffle.  A
+    head line that is not UTF-8 is read as ``fallback``.
     """
-    order = Window.partitionBy("file").orderBy("id")
+    order = Window.partitionBy("file").orderBy("block", "id")
     line = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), fallback))
-    return (
-        raw_lines(spark, paths)
-        .where("block = 0")
-        .withColumn("ordinal", F.row_number().over(order) - 1)
-        .where(F.col("ordinal") < n)
-        .select("file", "ordinal", F.regexp_replace(line, r"\r$", "").alias("line"))
-    )
+    lines = raw_lines(spark, paths).select("file", "block", "id", F.regexp_replace(line, r"\r$", "").alias("line"))
+    if not blanks:
+        lines = lines.where(strip_text(F.col("line")) != "")
+    kept = lines.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n)
+    return kept.select("file", (F.col("_n") - 1).alias("ordinal"), "line")
 
 
 def split_cells(line: Column, sep: Column) -> Column:
@@ -95,7 +104,7 @@ def split_cells(line: Column, sep: Column) -> Column:
     return F.transform(
         F.split(line, quoted),
         lambda c: F.when(
-            c.rlike('^".*"$'), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))
+            c.rlike('(?s)^".*"$'), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))
         ).otherwise(c),
     )
 
@@ -112,10 +121,11 @@ def header_rows(
     The guess is the first of ``max_scan`` lines with more than one non-empty
     cell that is not mostly numbers; row 0 when there is none.  ``header_skip``
     leaves out blank lines, as a table reader does; a given ``header_row``
-    already counts that way.  ``cells`` is the whole header, ``columns`` its
-    non-empty names.  Empty files have no line and hence no row here.
+    already counts that way, and files with fewer lines have no row here.
+    ``cells`` is the whole header, ``columns`` its non-empty names.  Empty files
+    have no line and hence no row here.
     """
-    lines = head_lines(spark, paths, max_scan if header_row is None else 2 * header_row + max_scan)
+    lines = head_lines(spark, paths, max_scan if header_row is None else header_row + 1, blanks=header_row is None)
     by_suffix = F.when(F.lower("file").rlike(r"\.(tsv|tab)$"), "\t").otherwise(",")
     cells = split_cells(
         strip_text(F.col("line")) if header_row is None else F.col("line"), F.lit(sep) if sep else by_suffix
@@ -138,6 +148,8 @@ def header_rows(
         F.min(F.when(pick, F.struct("ordinal", "skip", "cells"))).alias("hit"),
         F.min(F.struct("ordinal", "skip", "cells")).alias("top"),
     )
+    if header_row is not None:
+        found = found.where("hit IS NOT NULL")
     best = F.coalesce("hit", "top")
     names = F.transform(
         F.filter(best["cells"], lambda c: strip_text(c) != ""), lambda c: F.btrim(strip_text(c), F.lit('"'))
@@ -173,6 +185,7 @@ class Intake:
     table: DataFrame
     landed_path: str
     params: dict = field(default_factory=dict)
+    ragged: DataFrame | None = None  # rows with more cells than the header: row id, file, text
 
 
 def column_names(cells: list[str]) -> list[str]:
@@ -194,18 +207,26 @@ def read_delimited(
     nrows: int | None = None,
     encoding: str | None = None,
     infer: bool = True,
-    multiline: bool = False,
+    multiline: bool | None = None,
     landed_path: str | None = None,
     sep: str | None = None,
+    ragged: str = "fail",
 ) -> Intake:
     """Read delimited files of one schema as a single table, files in name order.
 
     The files are parsed once, into Parquet; header removal, encodings, the row
     cap, row ids and types are then applied to the landed cells.  ``header_row``
-    counts non-blank lines, or ``"auto"`` guesses it per file, which reads the
-    lines once more.  ``nrows`` caps each file.  ``multiline`` allows line breaks
-    inside quotes, at the price of one task per file.
+    counts non-blank lines, or ``"auto"`` guesses it per file.  ``nrows`` caps
+    each file.
+
+    ``multiline`` reads line breaks inside quotes, at the price of one task per
+    file; unless given, a count of the quotes in the lines decides.  A quote that
+    stays open is an error.  So is a row with more cells than the header, unless
+    ``ragged="split"`` sets such rows aside in ``Intake.ragged``; missing cells at
+    the end of a row are nulls.  UTF-16 files need ``encoding`` and ``multiline``.
     """
+    if ragged not in ("fail", "split"):
+        raise ValueError(f"ragged must be 'fail' or 'split', not {ragged!r}")
     paths = [paths] if isinstance(paths, str) else list(paths)
     if sep is None:
         found = {separator_of(p) for p in paths}
@@ -219,21 +240,33 @@ def read_delimited(
     if auto:  # one row per file
         guesses = header_rows(spark, paths, sep=sep).orderBy("file").collect()
         skips = {g["file"]: g["header_skip"] for g in guesses}
-        width = len(guesses[0]["cells"]) if guesses else 0
     else:
-        width = _header_width(spark, paths[0], sep, int(header_row))
+        guesses = header_rows(spark, paths, header_row=int(header_row), sep=sep).orderBy("file").collect()
+    if not guesses and not multiline:
+        raise ValueError("no rows to read" if auto else f"no file has a header row {header_row}")
+    width = max((len(g["cells"]) for g in guesses), default=1)
+    if not (encoding and encoding.lower().startswith("utf-16")):
+        quotes = _quotes(spark, paths)
+        if quotes["wide"]:
+            raise ValueError(f"{quotes['wide']} is a UTF-16 file; give its encoding and multiline=True")
+        if quotes["open"]:
+            raise ValueError(f"a quote stays open in {quotes['open']}")
+        multiline = quotes["broken"] if multiline is None else multiline
 
     # Every byte is a character of ISO-8859-1, and separators, quotes and line
     # ends are never part of a longer UTF-8 character: cells can be cut before
     # the encoding of their file is known.
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    bad = "_malformed"  # rows whose number of cells is not the header's, as they stand in the file
     landed = materialize(
-        spark.read.schema(schema)
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(bad, T.StringType())]))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", bad)
         .option("sep", sep)
         .option("header", False)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", multiline)
+        .option("multiLine", bool(multiline))
         .option("encoding", encoding or _BYTES)
         .csv(paths)
         .select(
@@ -241,6 +274,8 @@ def read_delimited(
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_id"),
             *schema.fieldNames(),
+            F.col(bad),
+            (F.size(split_cells(F.col(bad), F.lit(sep))) > width).alias("_extra"),
         ),
         "landed",
         landed_path,
@@ -279,13 +314,9 @@ def read_delimited(
         segments.append((b["_file"], b["_block"], b["first"] + skip, keep, offset, recode))
         offset += keep
 
-    def sized(rows: list[tuple], columns: str) -> DataFrame:
-        small = spark.createDataFrame(rows, columns)
-        return F.broadcast(small) if len(rows) <= BROADCAST_SEGMENTS else small
-
     head_cells = (
-        landed.join(sized(heads, "_file string, _id bigint"), ["_file", "_id"])
-        .select("_file", F.array(*schema.fieldNames()).alias("cells"))
+        landed.join(spark.createDataFrame(heads, "_file string, _id bigint"), ["_file", "_id"])
+        .select("_file", F.array(*schema.fieldNames()).alias("cells"), "_extra")
         .orderBy("_file")
         .collect()  # one row per file
     )
@@ -293,37 +324,52 @@ def read_delimited(
     for row in head_cells:
         cells = [_decoded(c or "", encoding is None and utf8[row["_file"]]) for c in row["cells"]]
         found_names = column_names(cells)
+        if row["_extra"]:
+            raise ValueError(f"files differ in their header: {row['_file']}")
         if names and found_names != names:
             raise ValueError(f"files differ in their header: {row['_file']}")
         names = found_names
     if not names:
         raise ValueError(f"no file has a header row {header_row}")
 
-    where = sized(segments, "_file string, _block bigint, _first bigint, _keep bigint, _offset bigint, _recode boolean")
+    where = spark.createDataFrame(segments, "_file string, _block bigint, _first bigint, _keep bigint, _offset bigint, _recode boolean")
     at = F.col("_id") - F.col("_first")
 
-    def cell(c: str) -> Column:
-        text = F.when(F.col("_recode"), F.decode(F.encode(F.col(c), _BYTES), "UTF-8")).otherwise(F.col(c))
-        return F.when(~text.isin(*MISSING_TEXTS), text)
+    def decoded(c: str) -> Column:
+        return F.when(F.col("_recode"), F.decode(F.encode(F.col(c), _BYTES), "UTF-8")).otherwise(F.col(c))
 
-    table = (
-        landed.join(where, ["_file", "_block"])
-        .where((at >= 0) & (at < F.col("_keep")))
-        .select((F.col("_offset") + at).alias(ROW_ID), *[cell(f"c{i}").alias(n) for i, n in enumerate(names)])
-    )
+    def cell(c: str) -> Column:
+        return F.when(~decoded(c).isin(*MISSING_TEXTS), decoded(c))
+
+    rows = landed.join(where, ["_file", "_block"]).where((at >= 0) & (at < F.col("_keep")))
+    extra = F.coalesce("_extra", F.lit(False))
+    aside = rows.where(extra).select((F.col("_offset") + at).alias(ROW_ID), F.col("_file").alias("file"), decoded(bad).alias("row"))
+    if ragged == "fail":
+        first = aside.orderBy(ROW_ID).limit(1).collect()
+        if first:
+            raise ValueError(f"row {first[0][ROW_ID]} of the table, in {first[0]['file']}, has more cells than the header: {first[0]['row'][:200]!r}")
+    else:
+        rows = rows.where(~extra)
+    table = rows.select((F.col("_offset") + at).alias(ROW_ID), *[cell(f"c{i}").alias(n) for i, n in enumerate(names)])
     if infer:
         table = infer_types(table)
     params = {"sep": sep, "header": header_row, "nrows": nrows, "encodings": sorted(set(encodings.values()))}
-    return Intake(table, landed_path, params)
+    return Intake(table, landed_path, params, aside)
 
 
-def _header_width(spark: SparkSession, path: str, sep: str, header_row: int) -> int:
-    """Cells in the header of one file; reads its first lines only."""
-    lines = (r["value"] for r in spark.read.text(path).limit(2 * header_row + SAMPLE_ROWS).collect())
-    parsed = [next(csv.reader([line], delimiter=sep)) for line in lines if line.strip()]
-    if not parsed:
-        raise ValueError(f"no rows to read in {path}")
-    return len(parsed[min(header_row, len(parsed) - 1)])
+def _quotes(spark: SparkSession, paths: list[str]) -> dict:
+    """Of the files: whether quotes span lines, and the first one that is UTF-16 or leaves a quote open."""
+    value = F.col("value")
+    first = F.upper(F.hex(F.substring(value.cast("binary"), 1, 2)))
+    n = F.octet_length("value") - F.octet_length(F.replace(value, F.lit('"'), F.lit("")))
+    per_file = raw_lines(spark, paths).groupBy("file").agg(
+        F.sum(n).alias("quotes"), F.max(n % 2).alias("odd"), F.bool_or((F.col("block") == 0) & first.isin("FFFE", "FEFF")).alias("wide")
+    )
+    return per_file.agg(
+        F.coalesce(F.max("odd") == 1, F.lit(False)).alias("broken"),
+        F.min(F.when(F.col("quotes") % 2 == 1, F.col("file"))).alias("open"),
+        F.min(F.when(F.col("wide"), F.col("file"))).alias("wide"),
+    ).first().asDict()
 
 
 def _decoded(cell: str, recode: bool) -> str:
@@ -399,8 +445,9 @@ def bulk_intake(
 ) -> tuple[DataFrame, dict[int, Intake]]:
     """Group files by schema and read each group as one table.
 
-    Returns the group report and the tables by group index.  The loop runs over
-    schemas; each group is one read of all its files.
+    Returns the group report and the tables by group index; ``profile_groups``
+    profiles them.  The loop runs over schemas; each group is one read of all its
+    files.
     """
     heads = header_rows(spark, paths, header_row=None if header_row == "auto" else int(header_row), sep=sep)
     groups = schema_groups(heads).collect()
@@ -414,3 +461,14 @@ def bulk_intake(
         report.append((g["group_index"], list(g["columns"]), list(g["files"]), g["file_count"], got.table.count()))
     schema = "group_index int, columns array<string>, files array<string>, file_count bigint, total_rows bigint"
     return spark.createDataFrame(report, schema), tables
+
+
+def profile_groups(tables: dict[int, Intake]) -> DataFrame | None:
+    """Profiles of all groups: one row per group and column."""
+    from contractframe.operators.profile import profile_full
+
+    found = None
+    for index, got in tables.items():
+        one = profile_full(got.table).withColumn("group_index", F.lit(index))
+        found = one if found is None else found.unionByName(one)
+    return found

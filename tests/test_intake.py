@@ -1,4 +1,5 @@
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from contractframe.contract import contract_from_dict
@@ -83,8 +84,58 @@ def test_quotes_missing_texts_and_types(spark, write, rows):
     assert [t for _, t in read(spark, path, infer=False).dtypes][1:] == ["string"] * 5
 
 
-def test_line_breaks_inside_quotes_need_multiline(spark, write, rows):
-    assert rows(read(spark, write("m.csv", 'A,B\n"x\ny",1\nz,2\n'), multiline=True), "A") == [("x\ny",), ("z",)]
+@pytest.mark.parametrize("multiline", [None, True])
+def test_line_breaks_inside_quotes(spark, write, rows, multiline):
+    path = write("m.csv", 'A,B\n"x\ny",1\nz,2\n"a ""q""\n\n,",3\n')
+    assert rows(read(spark, path, multiline=multiline), "A", "B") == [('a "q"\n\n,', 3), ("x\ny", 1), ("z", 2)]
+
+
+def test_a_quote_that_stays_open_is_an_error(spark, write):
+    with pytest.raises(ValueError, match="quote stays open in .*open.csv"):
+        read(spark, [write("fine.csv", "A,B\n1,2\n"), write("open.csv", 'A,B\n"x,1\ny,2\n')])
+
+
+def test_rows_with_too_many_cells(spark, write, rows):
+    paths = [write("a.csv", "x,y\n1,2\n"), write("b.csv", 'x,y\n"3,3",4\n3,4,5\n6\n')]
+    with pytest.raises(ValueError, match=r"row 2 of the table, in .*b.csv.*'3,4,5'"):
+        read(spark, paths)
+    got = intake.read_delimited(spark, paths, ragged="split")
+    assert rows(got.table) == [(0, "1", 2.0), (1, "3,3", 4.0), (3, "6", None)]
+    assert [(r[ROW_ID], r["row"]) for r in got.ragged.collect()] == [(2, "3,4,5")]
+    # Lines above the header may have any width.
+    assert read(spark, write("t.csv", "a,b,c,d\nx,y\n1,2\n"), header_row=1).count() == 1
+
+
+@pytest.mark.parametrize("second", ["x,y,z\n1,2,3\n", "x\n1\n"])
+def test_wider_and_narrower_headers_are_refused(spark, write, second):
+    with pytest.raises(ValueError, match="differ"):
+        read(spark, [write("a.csv", "x,y\n1,2\n"), write("b.csv", second)])
+
+
+def test_header_behind_many_blank_lines(spark, write):
+    assert read(spark, write("b.csv", "title\n" + "\n" * 60 + PLAIN), header_row=1).columns == [ROW_ID, "Name", "Age", "Score"]
+    assert read(spark, write("c.csv", "\n" * 60 + PLAIN)).count() == 3
+    with pytest.raises(ValueError, match="no file has a header row 9"):
+        read(spark, write("d.csv", PLAIN), header_row=9)
+
+
+def test_sixteen_bit_files(spark, write, rows):
+    path = write("w.csv", PLAIN.encode("utf-16"))
+    assert tuple(intake.file_encoding(spark, [path]).select("has_bom", "is_utf8", "encoding").first()) == (True, False, "utf-16")
+    with pytest.raises(ValueError, match="UTF-16"):
+        read(spark, path)
+
+
+def test_head_lines_are_cut_in_each_task(spark, write):
+    assert "WindowGroupLimit" in plan_of(intake.head_lines(spark, [write("a.csv", PLAIN)]))
+
+
+def test_profiles_of_all_groups(spark, write, rows):
+    paths = [write("a.csv", PLAIN), write("b.csv", PLAIN), write("c.csv", "Date,Amount\n2024-01-01,5\n")]
+    _, tables = intake.bulk_intake(spark, paths)
+    got = intake.profile_groups(tables)
+    assert rows(got, "group_index", "column", "null_count") == [
+        (0, "Age", 0), (0, "Name", 0), (0, "Score", 0), (1, "Amount", 0), (1, "Date", 0)]
 
 
 def test_repeated_and_empty_header_names(spark, write):
