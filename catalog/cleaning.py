@@ -86,6 +86,23 @@ def dedupe_counts(spark, sf_dir):
     return cleaning.dedupe_counts(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+# Times to the microsecond and both zeros: digests must keep the first apart and the second together.
+_FINE = """
+SELECT event_id % 5000 AS _row_id, event_type, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, (event_id % 1000) / 1000000.0) AS at,
+       CASE WHEN event_id % 2 = 0 THEN 0.0D ELSE -0.0D END AS zero, nullif(user_id % 7, 3) AS slot
+FROM {events}
+"""
+
+
+@query("dedupe_counts_events", """
+WITH d AS (SELECT event_type, event_id % 1000 AS at, nullif(user_id % 7, 3) AS slot FROM events)
+SELECT count(*) AS rows_before, (SELECT count(*) FROM (SELECT DISTINCT * FROM d)) AS rows_after,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM d)) AS dropped FROM d
+""")
+def dedupe_counts_events(spark, sf_dir):
+    return cleaning.dedupe_counts(run_sql(spark, sf_dir, _FINE).drop("_row_id"))
+
+
 @query("sorted_rank", """
 SELECT l_rowid AS _row_id, l_shipmode, row_number() OVER (ORDER BY l_shipmode NULLS LAST, l_rowid) - 1 AS rank FROM (
   SELECT o_orderkey AS l_rowid, nullif(o_orderpriority, '3-MEDIUM') AS l_shipmode FROM orders)
@@ -120,3 +137,45 @@ def near_duplicate_documents(spark, sf_dir):
     """Whole texts of all documents."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_row_id"), "text")
     return neardup.near_duplicates(docs, ["text"]).drop("diffs")
+
+
+# Suppliers by nation, number and rating: short texts, many of them alike, some without a rating.
+_SUPPLIERS = """
+SELECT s_suppkey AS _row_id, n_name || ' ' || substr(s_name, 10) AS name,
+       CASE s_nationkey % 4 WHEN 0 THEN 'good' WHEN 1 THEN 'fine' WHEN 2 THEN 'poor' END AS rating
+FROM {supplier} JOIN {nation} ON n_nationkey = s_nationkey
+"""
+
+# Longest common subsequences row by row: new[j] is the running maximum of old[j] and old[j - 1] plus a match.
+_SIMILAR = f"""
+WITH RECURSIVE s AS ({plain(_SUPPLIERS)}),
+     r AS (SELECT *, row_number() OVER (ORDER BY name NULLS LAST, _row_id) - 1 AS rank, coalesce(name, '') || ' ' || coalesce(rating, '') AS t FROM s),
+     p AS (SELECT a.rank AS rank_a, b.rank AS rank_b, a._row_id AS row_a, b._row_id AS row_b, a.t AS x, b.t AS y, a.name AS name_a, b.name AS name_b,
+                  a.rating AS rating_a, b.rating AS rating_b
+           FROM r a JOIN r b ON b.rank > a.rank AND b.rank <= a.rank + 500 AND (a.name IS DISTINCT FROM b.name OR a.rating IS DISTINCT FROM b.rating)),
+     dp AS (SELECT rank_a, rank_b, x, y, 0 AS i, list_transform(range(length(y) + 1), lambda j: 0::bigint) AS best FROM p
+            UNION ALL
+            SELECT rank_a, rank_b, x, y, i + 1, list_transform(range(1, length(y) + 2), lambda j: list_max(cand[1:j]))
+            FROM (SELECT *, list_transform(range(1, length(y) + 2), lambda j: greatest(best[j], CASE WHEN j > 1 AND x[i + 1] = y[j - 1] THEN best[j - 1] + 1 ELSE 0 END)) AS cand
+                  FROM dp WHERE i < length(x))),
+     near AS (SELECT p.*, round(100.0 * 2 * best[length(dp.y) + 1] / (length(dp.x) + length(dp.y)), 6) AS similarity
+              FROM dp JOIN p USING (rank_a, rank_b) WHERE i = length(dp.x))
+"""
+
+
+def _supplier_pairs(spark, sf_dir):
+    return neardup.near_duplicates(run_sql(spark, sf_dir, _SUPPLIERS), ["name", "rating"]).withColumn("similarity", F.round("similarity", 6))
+
+
+@query("near_duplicate_suppliers", f"{_SIMILAR} SELECT rank_a, rank_b, row_a, row_b, similarity FROM near WHERE similarity >= 85")
+def near_duplicate_suppliers(spark, sf_dir):
+    return _supplier_pairs(spark, sf_dir).drop("diffs")
+
+
+@query("near_duplicate_supplier_diffs", f"""
+{_SIMILAR}
+SELECT row_a, row_b, similarity, 'name' AS "column", name_a AS value_a, name_b AS value_b FROM near WHERE similarity >= 85 AND name_a IS DISTINCT FROM name_b
+UNION ALL SELECT row_a, row_b, similarity, 'rating', rating_a, rating_b FROM near WHERE similarity >= 85 AND rating_a IS DISTINCT FROM rating_b
+""")
+def near_duplicate_supplier_diffs(spark, sf_dir):
+    return neardup.near_duplicate_diffs(_supplier_pairs(spark, sf_dir))

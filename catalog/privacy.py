@@ -106,12 +106,22 @@ def pii_counts_by_type(spark, sf_dir):
     return privacy.pii_summary(find_pii(spark, sf_dir))
 
 
+# Conversations whose speakers give contacts.
+CHATS = """
+SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 5 = 0 THEN text || ' Mail to ask.' || cast(conv_id AS string) || '@example.com'
+                           WHEN (conv_id + turn) % 5 = 1 THEN 'Card ending in 41' || lpad(cast(conv_id % 100 AS string), 2, '0') || '. ' || text
+                           WHEN (conv_id + turn) % 5 = 2 THEN text || ' call 555-010-' || lpad(cast(conv_id % 10000 AS string), 4, '0')
+                           ELSE text END AS text
+FROM {conversations}
+"""
+
+
 @query("find_pii_conversations", f"""
 SELECT conv_id, turn, f.pii_type AS pii_type, f."match" AS "match" FROM (
-  SELECT conv_id, turn, unnest({_found("text")}) AS f FROM conversations)
+  SELECT conv_id, turn, unnest({_found("text")}) AS f FROM ({plain(CHATS)}))
 """)
 def find_pii_conversations(spark, sf_dir):
-    found = evaluated_once(table(spark, sf_dir, "conversations"), "found", pii.find_pii(F.col("text")))
+    found = evaluated_once(run_sql(spark, sf_dir, CHATS), "found", pii.find_pii(F.col("text")))
     return found.select("conv_id", "turn", F.inline("found"))
 
 

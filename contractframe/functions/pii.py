@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,12 +66,23 @@ def _tagged(name: str):
 
 def find_pii(c: Column) -> Column:
     """All personal data inside a text: array of (pii_type, match), by class then position."""
-    # Cheap tests that every match passes spare most texts the costly scans.
-    has_sign = F.contains(c, F.lit("@"))
-    has_digits = c.rlike(r"(?U)\d{3}")
+    # Cheap tests that every match of a class passes spare most texts its costly scan.
+    digits = c.rlike(r"(?U)\d{3}")
+    lowered = F.lower(c)
+    # Letters that a pattern without case takes for i and s, although lower-casing does not make them that.
+    card_words = ("ending", "last", "card")
+    odd_letters = ("\u0131", "\u0130", "\u017f")
+    says_card = reduce(or_, [*[F.contains(lowered, F.lit(w)) for w in card_words], *[F.contains(c, F.lit(x)) for x in odd_letters]])
+    gates = {
+        "ssn": digits & F.contains(c, F.lit("-")),
+        "email": F.contains(c, F.lit("@")),
+        "credit_card": digits & c.rlike(r"(?U)\d{4}[\s-]?\d{4}"),
+        "partial_card": digits & says_card,
+        "phone": digits & c.rlike(r"(?U)\d{3}[\s.-]?\d{3}[\s.-]?\d{4}"),
+    }
     parts = []
     for name, pattern in TEXT_CLASSES:
-        hits = F.when(has_sign if name == "email" else has_digits, F.regexp_extract_all(c, F.lit(pattern), F.lit(0)))
+        hits = F.when(gates[name], F.regexp_extract_all(c, F.lit(pattern), F.lit(0)))
         parts.append(F.transform(F.coalesce(hits, F.array().cast("array<string>")), _tagged(name)))
     return F.coalesce(F.concat(*parts), F.array().cast(FINDING))
 
@@ -78,7 +92,7 @@ def redaction_tag(pii_type: Column) -> Column:
 
 
 def redact_text(c: Column) -> Column:
-    """Replace every finding by its tag, longest finding first."""
+    """Replace every finding by its tag, longest finding first; a text without any stays as it is."""
     ordered = F.array_sort(
         F.transform(
             find_pii(c),
