@@ -45,7 +45,19 @@ def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame
     spark = df.sparkSession
     path = path or scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete stored tables that nothing will read again; frames that are not stored are left alone."""
+    for df in frames:
+        path = getattr(df, "_stored_at", None)
+        if path:
+            context = df.sparkSession.sparkContext
+            at = context._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def _number_partitions(stored: DataFrame, position: str, name: str) -> tuple[DataFrame, int]:
