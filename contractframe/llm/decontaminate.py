@@ -26,14 +26,18 @@ from pyspark.sql import functions as F
 
 from contractframe.llm.common import ground, materialize, row_key
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SHINGLE = 3
+#: ASCII characters that no word holds; every other one, and all beyond ASCII, are parts of words.
+_BETWEEN = "".join(chr(i) for i in range(128) if chr(i) not in string.ascii_letters + string.digits)
 
 
 def words_of(text: Column) -> Column:
-    """The words of a text, A to Z lower-cased; empty for null."""
-    lowered = F.when(text.rlike("[A-Z]"), F.translate(text, string.ascii_uppercase, string.ascii_lowercase)).otherwise(text)
-    return F.coalesce(F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    """The words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text, A to Z lower-cased; none for null.
+
+    One pass lowers letters and blanks out what is between words, which costs half of matching a pattern.
+    """
+    plain = F.translate(text, string.ascii_uppercase + _BETWEEN, string.ascii_lowercase + " " * len(_BETWEEN))
+    return F.coalesce(F.array_remove(F.split(plain, " "), ""), F.array().cast("array<string>"))
 
 
 def _windows(items: DataFrame, window: int, id_column: str, text_column: str) -> DataFrame:
@@ -54,13 +58,14 @@ def _window_shingles(windows: DataFrame) -> DataFrame:
 
 
 def _document_hits(narrow: DataFrame, shingles: DataFrame) -> DataFrame:
-    """doc_id, _k, n_words, pos, shingle: where documents have a shingle of the benchmark."""
+    """doc_id, _k, n_words, pos, shingle: where documents have the hash of a benchmark's shingle."""
     sizes = sorted(r["size"] for r in shingles.select("size").distinct().collect()) or [SHINGLE]  # one to three
     words = narrow.select("doc_id", "_k", words_of(F.col("text")).alias("words"))
     n = F.size("words")
     columns = [F.col("words"), *[F.slice("words", F.lit(i), n) for i in range(2, SHINGLE + 1)]]
     zipped = F.arrays_zip(*[c.alias(f"w{i}") for i, c in enumerate(columns)])
-    places = words.where(n > 0).select("doc_id", "_k", n.alias("n_words"), F.posexplode(zipped).alias("pos", "w"))
+    # No filter on the words here: it would be moved below, where texts would be cut twice.
+    places = words.select("doc_id", "_k", n.alias("n_words"), F.posexplode(zipped).alias("pos", "w"))
     ws = [F.col("w")[f"w{i}"] for i in range(SHINGLE)]
     if sizes == [SHINGLE]:
         keyed = places.where(ws[-1].isNotNull()).select("doc_id", "_k", "n_words", "pos", *[w.alias(f"w{i}") for i, w in enumerate(ws)])
@@ -68,19 +73,17 @@ def _document_hits(narrow: DataFrame, shingles: DataFrame) -> DataFrame:
         runs = F.array(*[F.struct(*[(ws[i] if i < s else F.lit("")).alias(f"w{i}") for i in range(SHINGLE)]) for s in sizes])
         keyed = places.select("doc_id", "_k", "n_words", "pos", F.explode(runs).alias("r")).select("doc_id", "_k", "n_words", "pos", "r.*").where(f"w{SHINGLE - 1} IS NOT NULL")
     names = [f"w{i}" for i in range(SHINGLE)]
-    given = F.split("shingle", " ")
-    other = shingles.select("shingle", *[F.coalesce(F.get(given, F.lit(i)), F.lit("")).alias(f"s{i}") for i in range(SHINGLE)])
-    other = other.withColumn("_h", F.xxhash64(*[f"s{i}" for i in range(SHINGLE)]))
-    same = F.col("_hash") == F.col("_h")
-    for i, name in enumerate(names):
-        same = same & (F.col(name) == F.col(f"s{i}"))
-    return keyed.withColumn("_hash", F.xxhash64(*names)).join(other, same).select("doc_id", "_k", "n_words", "pos", "shingle")
+    # Only hashes meet here, a number each; the words go along and are compared where the hits are used.
+    met = keyed.withColumn("_hash", F.xxhash64(*names)).join(shingles.select(F.col("hash").alias("_h")), F.col("_hash") == F.col("_h"))
+    return met.select("doc_id", "_k", "n_words", "pos", F.concat_ws(" ", *[F.nullif(F.col(w), F.lit("")) for w in names]).alias("shingle"))
 
 
 def occurrences(narrow: DataFrame, windows: DataFrame) -> DataFrame:
     """doc_id, _k, window, size, start: every place where a document holds a window."""
     parts = materialize(_window_shingles(windows.select("window", "size").distinct()), "window-shingles")
-    shingles = materialize(parts.select("shingle", F.size(F.split("shingle", " ")).alias("size")).distinct(), "shingles")
+    words = F.split("shingle", " ")
+    hashed = F.xxhash64(*[F.coalesce(F.get(words, F.lit(i)), F.lit("")) for i in range(SHINGLE)])
+    shingles = materialize(parts.select(F.size(words).alias("size"), hashed.alias("hash")).distinct(), "shingles")
     # Equal rows of the table are looked at once.
     hits = materialize(_document_hits(narrow, shingles).dropDuplicates(["doc_id", "_k", "pos", "shingle"]), "shingle-hits")
     rarity = hits.groupBy("shingle").agg(F.count("*").alias("_seen"))
