@@ -8,9 +8,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractframe.storage import materialize, scratch_path, ship_package
+from contractframe import storage
+from contractframe.storage import discard, materialize, scratch_path
 
-__all__ = ["batches", "ground", "materialize", "row_key", "scratch_path", "ship_package", "slices", "table"]
+__all__ = ["batches", "discard", "ground", "materialize", "row_key", "scratch_path", "ship_package", "slices", "table"]
+
+
+#: Arrow batches of texts, unless the session sets its own: rows and bytes that a Python worker gets at once.
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864", "8388608")}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the Python workers, and texts in batches that fit beside each other."""
+    storage.ship_package(spark)
+    for name, (default, small) in _BATCHES.items():
+        if spark.conf.get(name, default) in (default, "64MB", "9223372036854775807"):
+            spark.conf.set(name, small)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +40,7 @@ def ground(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*[c.alias(n) for n, c in columns.items()])
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in pieces whose ``column`` holds about ``most_bytes``, at least a row each."""
     import numpy as np
     import pyarrow.compute as pc

@@ -32,7 +32,7 @@ SIZE = TOP + RARE  # ids; SIZE itself marks what lies past an end
 PER_CLASS = SIZE // CLASSES
 EVERY, ROUNDS, RATE, BATCH = 32, 2, 0.08, 4096
 _MARKS = ".,;:!?"
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 200_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -174,7 +174,7 @@ def vocabulary(narrow: DataFrame) -> list[str]:
 
     def count(stream):
         for batch in stream:
-            for part in slices(batch, "text", 16 << 20):
+            for part in slices(batch, "text", 4 << 20):
                 found: Counter = Counter()
                 for text in part.column("text").to_pylist():
                     found.update(words_of(text))

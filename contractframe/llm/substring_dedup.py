@@ -24,11 +24,10 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contractframe.llm.common import batches, ground, materialize, row_key, ship_package, slices
+from contractframe.llm.common import batches, discard, ground, materialize, row_key, ship_package, slices
 from contractframe.llm.words import HIGH, LOW, RangeHash, mixed, rolling, word_hashes
 
 ANCHOR = 8  # words of an anchor; windows must be longer
@@ -143,6 +142,7 @@ def repeated_ranges(narrow: DataFrame, window: int) -> DataFrame:
     paths = materialize(document_paths(narrow, window), "paths")
     met = materialize(paths.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("anchor").alias("_a")), "anchors")
     shared = materialize(paths.join(met, F.col("anchor") == F.col("_a")).drop("_a"), "shared-paths")
+    discard(paths)
     contents = materialize(
         shared.groupBy("anchor", "content", "n").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "_k", "first")).alias("rep")), "path-contents"
     )
@@ -154,9 +154,12 @@ def repeated_ranges(narrow: DataFrame, window: int) -> DataFrame:
     whole = contents.where("c > 1").select(F.col("anchor").alias("_a"), F.col("content").alias("_c"), F.col("n").alias("_m"))
     compacted = shared.join(whole, (F.col("anchor") == F.col("_a")) & (F.col("content") == F.col("_c")) & (F.col("n") == F.col("_m")))
     single = windows.where("many = 0").join(twice, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")))
-    return compacted.select("doc_id", "_k", _coded(F.col("first"), F.col("n"), F.lit(False)).alias("code")).unionByName(
+    ranges = compacted.select("doc_id", "_k", _coded(F.col("first"), F.col("n"), F.lit(False)).alias("code")).unionByName(
         single.select("doc_id", "_k", _coded(F.col("first"), F.lit(1), F.lit(False)).alias("code"))
     )
+    ranges = materialize(ranges, "ranges")
+    discard(met, shared, contents, forks, windows, twice)
+    return ranges
 
 
 def _kept(words: list[bytes], codes: np.ndarray | None, window: int) -> list[bytes]:
@@ -200,17 +203,22 @@ def dedup_report(docs: DataFrame, window: int = 35, id_column: str = "doc_id", t
 
 def cut_documents(docs: DataFrame, window: int = 35, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents, all columns, with repeated words cut from their texts; a text without any stays as it is."""
-    @F.pandas_udf("string")
-    def cut(text: pd.Series, codes: pd.Series) -> pd.Series:
-        return pd.Series(
-            t if c is None or t is None else b" ".join(_kept(t.encode().split(), np.asarray(c), window)).decode()
-            for t, c in zip(text, codes)
-        )
+    import pyarrow as pa
 
     narrow = _narrow(docs, id_column, text_column)
     per = _per_document(repeated_ranges(narrow, window)).withColumnsRenamed({"_d": "_dedup_id", "_t": "_dedup_text", "codes": "_dedup_codes"})
     joined = docs.join(
         per, docs[id_column].cast("bigint").eqNullSafe(F.col("_dedup_id")) & (row_key(docs[text_column]) == F.col("_dedup_text")), "left"
     )
-    text = F.when(F.col("_dedup_codes").isNull(), docs[text_column]).otherwise(cut(docs[text_column], F.col("_dedup_codes")))
-    return joined.select(*[text.alias(c) if c == text_column else docs[c] for c in docs.columns])
+
+    def cut(stream):
+        for batch in stream:
+            for part in slices(batch, text_column):
+                texts = [
+                    text if text is None or not codes.is_valid else b" ".join(_kept(text.encode().split(), codes.values.to_numpy(), window)).decode()
+                    for text, codes in zip(part.column(text_column).to_pylist(), part.column("_dedup_codes"))
+                ]
+                at = part.schema.get_field_index(text_column)
+                yield part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type)).drop_columns(["_dedup_codes"])
+
+    return joined.select(*[docs[c] for c in docs.columns], "_dedup_codes").mapInArrow(cut, docs.schema)

@@ -37,7 +37,7 @@ ORDER, DISCOUNT = 5, 0.75
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.7
 _WORDS = re.compile(r"[^\W\d_]{1,64}")  # longer runs of letters are several words
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 200_000
 
 
 def held_out(doc_id: Column) -> Column:

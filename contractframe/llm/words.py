@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 150_000
 #: Odd multipliers of the polynomial hashes (5 modulo 8, so that powers differ in many bits).
 LOW, HIGH = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 

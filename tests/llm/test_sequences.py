@@ -82,10 +82,10 @@ def test_substring_report(docs, rows, size):
     assert got == want
 
 
-def test_substring_blocks(docs, rows, monkeypatch):
+def test_substring_report_in_small_blocks(docs, rows, monkeypatch):
     monkeypatch.setattr(substring_dedup, "_BLOCK", 100)
-    words, bounds = substring_dedup._corpus([r[1] for r in rows])
-    assert len(words) == bounds[-1] == sum(len(split(r[1])) for r in rows)
+    got = Counter(tuple(r)[:3] for r in substring_dedup.dedup_report(docs, 35).collect())
+    assert got == Counter((r[0], len(w), len(w) - len(k)) for r, (w, k) in zip(rows, repeated([r[1] for r in rows], 35)))
 
 
 def test_cut_documents(docs, rows):
