@@ -11,8 +11,8 @@ a block of more than ``BLOCK`` entries is dealt into chunks and queries visit al
 more, whatever values are frequent. A visit returns at most k rows per query.
 
 Ties go to the smaller id. Defined results: null vectors and vectors of another length have no code, are not
-found and find nothing; NaN and 0 count as not positive; null ids are not found and ask nothing; equal rows
-are found once each, and asked once; with fewer than k rows all are returned; empty tables give no rows;
+found and find nothing; NaN and 0 count as not positive; null ids are not found and ask nothing; rows of
+one id and code are one; with fewer than k rows all are returned; empty tables give no rows;
 other input columns are ignored.
 """
 
@@ -46,7 +46,7 @@ def codes(vectors: DataFrame, dims: int, id_column: str, vector_column: str) ->
 
     usable = ground(vectors, id=F.col(id_column).cast("bigint"), v=F.col(vector_column).cast("array<double>"))
     usable = usable.where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") == dims))
-    return usable.mapInArrow(sign, "id bigint, code binary")
+    return usable.mapInArrow(sign, "id bigint, code binary").distinct()
 
 
 def _entries(coded: DataFrame, k: int, rows: int) -> DataFrame:
@@ -104,7 +104,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, dims: int = 64,
     spark = vectors.sparkSession
     coded = materialize(codes(vectors, dims, id_column, vector_column), "codes")
     entries = materialize(_entries(coded, k, coded.count()), "entries")
-    asked = materialize(codes(queries, dims, id_column, vector_column).distinct(), "queries")
+    asked = materialize(codes(queries, dims, id_column, vector_column), "queries")
     leading = min(SEGMENT, max(0, math.ceil(math.log2(max(1, entries.count()) / BLOCK))))
 
     parts = F.array(*[F.struct(F.lit(j).alias("j"), _segment("code", j).alias("value")) for j in range(segments)])

@@ -27,9 +27,9 @@ def bits(v):
 
 
 def brute(rows, asked, k, dims=32):
-    coded = [(i, bits(v)) for i, v, _ in rows if i is not None and v is not None and len(v) == dims]
+    coded = {(i, tuple(bits(v))) for i, v, _ in rows if i is not None and v is not None and len(v) == dims}
     out = Counter()
-    for q, code in {(i, tuple(b)) for i, b in coded if asked(i)}:
+    for q, code in {(i, b) for i, b in coded if asked(i)}:
         near = sorted((sum(a != b for a, b in zip(code, own)), i) for i, own in coded)[:k]
         out.update((q, n, i, d) for n, (d, i) in enumerate(near, 1))
     return out
