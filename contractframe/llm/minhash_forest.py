@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contractframe.llm.common import batches, ground, materialize, row_key, ship_package, slices
+from contractframe.llm.common import batches, discard, ground, materialize, row_key, ship_package, slices
 from contractframe.llm.words import LOW, mixed, rolling, word_hashes
 
 HASHES, TREES, DEPTH, RUN = 96, 24, 3, 5
@@ -235,7 +235,7 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, label: the smallest node that chains of links (x, y) reach, for every node with a link.
+    """node, label (and the last label but one): the smallest node that chains of links (x, y) reach, for every node with a link.
 
     Labels take the smallest label next to them and then the label of their label, until none changes.
     """
@@ -247,16 +247,18 @@ def components(links: DataFrame) -> DataFrame:
         lower = labels.join(near, "node").select("node", F.least("label", "m").alias("label"), F.col("label").alias("old"))
         lower = materialize(lower, "labels")
         jump = lower.select(F.col("node").alias("label"), F.col("label").alias("l"))
-        labels = materialize(lower.join(jump, "label").select("node", F.col("l").alias("label"), "old"), "labels")
+        before, labels = labels, materialize(lower.join(jump, "label").select("node", F.col("l").alias("label"), "old"), "labels")
+        discard(before, lower)
         if labels.where("label < old").isEmpty():
-            return labels.select("node", "label")
+            discard(both)
+            return labels
 
 
 def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of different components that share a region and whose signatures agree enough."""
     import pyarrow as pa
 
-    told = members.join(labels, "node", "left").select("p", "node", F.coalesce("label", "node").alias("label"))
+    told = members.join(labels.drop("old"), "node", "left").select("p", "node", F.coalesce("label", "node").alias("label"))
     told = materialize(told, "regions")
     mixed_regions = told.groupBy("p").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select(F.col("p").alias("_p"))
     mixed_regions = materialize(mixed_regions, "mixed-regions")
@@ -283,12 +285,17 @@ def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Da
         out = group.column("out").to_numpy()
         names = np.stack([group.column(c).to_numpy() for c in ("d", "k", "ld", "lk")])
         sigs = _matrix(group.column("sig"))
+        tree = group.column("p")[0].as_py() >> 16 * DEPTH if group.num_rows else 0
+        leading = (sigs & 0xFFFF)[:, [t * (HASHES // TREES) + i for t in range(TREES) for i in range(DEPTH)]]
         x, y = np.flatnonzero(out), np.flatnonzero(~out)
         found = []
         for i in x:
             alike = (sigs[y] == sigs[i]).mean(axis=1) >= LIKELY
             other = (names[2:, y] != names[2:, [i]]).any(axis=0)
             at = y[alike & other]
+            # A pair is named in the first order where both share a region.
+            shared = (leading[at] == leading[i]).reshape(len(at), TREES, DEPTH).all(axis=2)
+            at = at[shared.argmax(axis=1) == tree] if len(at) else at
             found.append(np.concatenate([np.repeat(names[:2, [i]], len(at), axis=1), names[:2, at]]))
         found = np.concatenate(found, axis=1) if found else np.zeros((4, 0), "int64")
         return pa.Table.from_arrays([pa.array(v) for v in found], names=["xd", "xk", "yd", "yk"])
@@ -307,7 +314,7 @@ def assign(narrow: DataFrame, percent: int = 75) -> DataFrame:
     texts = materialize(_packed_texts(narrow, members.select("node").distinct()), "class-texts")
     tried = materialize(_first_pairs(neighbours), "first-pairs")
     links = materialize(_links(tried, texts, percent), "links")
-    labels = components(links)
+    labels = components(links)  # and the label before the last step
     rest = _rest_pairs(members, labels, classes).join(tried, ["x", "y"], "left_anti")
     more = materialize(_links(rest, texts, percent), "more-links")
     # The late links join whole components.
@@ -318,6 +325,7 @@ def assign(narrow: DataFrame, percent: int = 75) -> DataFrame:
     final = first.join(merged.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left")
     final = final.select(F.col("n").alias("_n"), F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), "node", F.coalesce("top", "label").alias("label"))
     final = materialize(final, "class-labels")
+    discard(classes, neighbours, texts, tried, links, labels, more, merged)
     same = (F.col("n") == F.col("_n")) & (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2"))
     return signed.select("doc_id", "_k", "n", "s1", "s2").join(final, same, "left").select("doc_id", "_k", "n", "node", "label")
 
