@@ -9,10 +9,10 @@ linked when their sets overlap by 75 of 100, and documents linked by any chain s
 - Neighbours: in each sorted order the rows next to each other share the longest prefix, however deep the
   region is; each class tries the ``PARTNERS`` neighbours met most often and deepest. Their full sets decide.
 - The rest, exactly: a region whose classes are already one component needs no more pairs. In every other one
-  each class outside its largest component meets all classes of the region, in blocks of bounded size; pairs
-  of different components whose whole signatures agree enough (four standard errors below the threshold)
-  are decided on their full sets too. So nothing is lost to the choice of partners, and a region of n
-  linked copies costs n pairs.
+  each class outside its largest component meets all classes of the region, in blocks of bounded size, and pairs
+  of different components whose whole signatures agree enough (four standard errors below the threshold) count.
+  The likeliest of each class are decided first, round by round while that joins components, and then all
+  that are left. So nothing is lost to the choice of partners, and a region of n linked copies costs about n pairs.
 
 Links, components and signatures stay in tables; the driver sees counts alone.
 
@@ -254,11 +254,14 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of different components that share a region and whose signatures agree enough."""
+def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, most: int | None = None) -> DataFrame:
+    """Pairs of different components that share a region and whose signatures agree enough.
+
+    With ``most``, only the best that many for each class outside a region's main component, order and block.
+    """
     import pyarrow as pa
 
-    told = members.join(labels.drop("old"), "node", "left").select("p", "node", F.coalesce("label", "node").alias("label"))
+    told = members.join(labels.select("node", "label"), "node", "left").select("p", "node", F.coalesce("label", "node").alias("label"))
     told = materialize(told, "regions")
     mixed_regions = told.groupBy("p").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select(F.col("p").alias("_p"))
     mixed_regions = materialize(mixed_regions, "mixed-regions")
@@ -296,6 +299,8 @@ def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Da
             # A pair is named in the first order where both share a region.
             shared = (leading[at] == leading[i]).reshape(len(at), TREES, DEPTH).all(axis=2)
             at = at[shared.argmax(axis=1) == tree] if len(at) else at
+            if most and len(at) > most:
+                at = at[np.argsort(-(sigs[at] == sigs[i]).sum(axis=1), kind="stable")[:most]]
             found.append(np.concatenate([np.repeat(names[:2, [i]], len(at), axis=1), names[:2, at]]))
         found = np.concatenate(found, axis=1) if found else np.zeros((4, 0), "int64")
         return pa.Table.from_arrays([pa.array(v) for v in found], names=["xd", "xk", "yd", "yk"])
@@ -305,6 +310,20 @@ def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Da
     return met.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct()
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links; they join whole components."""
+    ends = links.select(F.col("x").alias("node")).unionByName(links.select(F.col("y").alias("node"))).distinct()
+    known = labels.select("node", "label")
+    base = materialize(known.unionByName(ends.join(known, "node", "left_anti").select("node", F.col("node").alias("label"))), "labels")
+    own = base.select(F.col("node").alias("n"), F.col("label").alias("l"))
+    up = links.join(own.withColumnsRenamed({"n": "x", "l": "lx"}), "x").join(own.withColumnsRenamed({"n": "y", "l": "ly"}), "y")
+    top = components(up.select(F.col("lx").alias("x"), F.col("ly").alias("y")))
+    joined = base.join(top.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left")
+    out = materialize(joined.select("node", F.coalesce("top", "label").alias("label")), "labels")
+    discard(labels, base, top)
+    return out
+
+
 def assign(narrow: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, _k, n, node (the document's class) and label (the smallest class of its component), a row per document."""
     signed = materialize(signatures(narrow), "signatures")
@@ -315,17 +334,20 @@ def assign(narrow: DataFrame, percent: int = 75) -> DataFrame:
     tried = materialize(_first_pairs(neighbours), "first-pairs")
     links = materialize(_links(tried, texts, percent), "links")
     labels = components(links)  # and the label before the last step
-    rest = _rest_pairs(members, labels, classes).join(tried, ["x", "y"], "left_anti")
-    more = materialize(_links(rest, texts, percent), "more-links")
-    # The late links join whole components.
-    own = labels.select(F.col("node").alias("n"), "label")
-    up = more.join(own.withColumnsRenamed({"n": "x", "label": "lx"}), "x", "left").join(own.withColumnsRenamed({"n": "y", "label": "ly"}), "y", "left")
-    merged = components(up.select(F.coalesce("lx", "x").alias("x"), F.coalesce("ly", "y").alias("y")))
-    first = classes.select("n", "s1", "s2", "node").join(labels, "node", "left").select("n", "s1", "s2", "node", F.coalesce("label", "node").alias("label"))
-    final = first.join(merged.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left")
-    final = final.select(F.col("n").alias("_n"), F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), "node", F.coalesce("top", "label").alias("label"))
+    tested = tried
+    while True:  # join whole components by their likeliest pairs, until that links nothing more
+        near = materialize(_rest_pairs(members, labels, classes, 1).join(tested, ["x", "y"], "left_anti"), "near-pairs")
+        found = materialize(_links(near, texts, percent), "near-links")
+        tested = materialize(tested.unionByName(near), "tested-pairs")
+        if found.isEmpty():
+            break
+        labels = _merged(labels, found)
+    rest = _rest_pairs(members, labels, classes).join(tested, ["x", "y"], "left_anti")
+    labels = _merged(labels, materialize(_links(rest, texts, percent), "more-links"))
+    final = classes.select("n", "s1", "s2", "node").join(labels, "node", "left")
+    final = final.select(F.col("n").alias("_n"), F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), "node", F.coalesce("label", "node").alias("label"))
     final = materialize(final, "class-labels")
-    discard(classes, neighbours, texts, tried, links, labels, more, merged)
+    discard(classes, neighbours, texts, tried, links, labels, near, found, tested)
     same = (F.col("n") == F.col("_n")) & (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2"))
     return signed.select("doc_id", "_k", "n", "s1", "s2").join(final, same, "left").select("doc_id", "_k", "n", "node", "label")
 
