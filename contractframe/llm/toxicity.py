@@ -6,12 +6,12 @@ continuation counts, so an expression that neither class has seen says nothing,
 parts say. As the shared part is the same for both, the log-likelihood ratio of a letter is a table entry
 where a class has seen it, and else depends on its context alone.
 
-A text is judged by its length-normalised log-likelihood ratios (per letter): of the whole text, and of its
-two most telling words, so that a long text can't hide them. A logistic curve fitted on labelled texts that
-the counts have not seen turns these into a score.
+A text is judged by length-normalised log-likelihood ratios: of the whole text per letter, of its most telling
+words, and of all words that lean to toxic, by the number of words (see ``evidence``), so that a long text can't
+hide a few expressions and no single odd word decides. A logistic curve fitted on labelled texts turns these into
+a score; each of those texts is judged by models counted without its fold.
 
-Learning takes at most ``SAMPLE_ROWS`` labelled documents (those of smallest hash); a fifth of them fits the
-curve. Everything the driver and the broadcast hold follows from them: their n-grams and their few features.
+Learning takes at most ``SAMPLE_ROWS`` labelled documents (those of smallest hash). Everything the driver and the broadcast hold follows from them: their n-grams and their few features.
 
 Defined results: null and empty texts and texts without letters score as texts without any evidence; a null
 id is never held out and has no label; a document labelled more than once counts as toxic if any label says
@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from contractframe.llm.common import batches, ground, ship_package, slices
 
 ORDER, DISCOUNT = 5, 0.75
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS, FOLDS = 20_000, 4
+EVIDENCE = 9  # numbers that stand for a text
 THRESHOLD = 0.7
 _WORDS = re.compile(r"[^\W\d_]{1,64}")  # longer runs of letters are several words
 _CACHE_WORDS = 200_000
@@ -130,16 +131,22 @@ class _WordRatios(dict):
         return value
 
 
-def evidence(words: dict[str, float], text: str | None) -> tuple[float, float, float, float]:
-    """Per letter: the ratio of the whole text, of its most and second most telling word; and the log of its words."""
+def evidence(words: dict[str, float], text: str | None) -> list[float]:
+    """The ratio of the whole text per letter; of its first, second, third and fifth most telling word; the ratios
+    beyond 2 of all words by the root of their number; how many lean clearly, and a little, to toxic; its words."""
     found = _words(text)
     if not found:
-        return 0.0, 0.0, 0.0, 0.0
+        return [0.0] * EVIDENCE
     ratio = np.fromiter(map(words.__getitem__, found), "float64", len(found))
-    size = np.fromiter(map(len, found), "float64", len(found)) + 1
-    each = ratio / size
-    top = np.partition(each, -2)[-2:] if len(each) > 1 else np.array([0.0, each[0]])
-    return ratio.sum() / size.sum(), top[1], top[0], math.log(len(found))
+    letters = sum(map(len, found)) + len(found)
+    most = min(5, len(found))
+    top = np.zeros(5)
+    top[:most] = np.sort(np.partition(ratio, -most)[-most:])[::-1]
+    strong = np.maximum(ratio - 2, 0).sum() / math.sqrt(len(found))
+    return [
+        ratio.sum() / letters, top[0], top[1], top[2], top[4], strong,
+        math.log1p(np.count_nonzero(ratio > 3)), math.log1p(np.count_nonzero(ratio > 1.5)), math.log(len(found)),
+    ]
 
 
 @dataclass
@@ -190,43 +197,55 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     told = labels.where(F.col(label).isNotNull() & F.col(label_id).isNotNull() & ~held_out(F.col(label_id)))
     own = told.groupBy(F.col(label_id).cast("bigint").alias("_id")).agg(F.max(F.col(label).cast("int")).alias("y"))
     sample = own.withColumn("_h", F.xxhash64("_id", F.lit(17))).orderBy("_h", "_id").limit(SAMPLE_ROWS)
-    sample = sample.select("_id", "y", (F.pmod("_h", F.lit(5)) == 0).alias("curve"))
+    sample = sample.select("_id", "y", F.pmod("_h", F.lit(FOLDS)).cast("int").alias("fold"))
     rows = ground(docs, doc_id=F.col(id_column).cast("bigint"), text=F.col(text_column)).join(
         F.broadcast(sample), F.col("doc_id") == F.col("_id")  # at most SAMPLE_ROWS rows of 13 bytes
-    ).select("y", "curve", "text")
+    ).where("y IN (0, 1)").select("y", "fold", "text")
 
     def count(stream):
         for batch in stream:
-            found = (Counter(), Counter())
-            for y, text in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist()):
-                found[y].update(_words(text))
-            for y in (0, 1):
-                grams = ngram_counts(found[y])
-                yield batches({"gram": (list(grams), pa.string()), "y": ([y] * len(grams), pa.int32()), "c": (list(grams.values()), pa.int64())})
-
-    counted = rows.where("NOT curve AND y IN (0, 1)").select("y", "text").mapInArrow(count, "gram string, y int, c bigint")
-    counts: dict[int, dict[str, int]] = defaultdict(dict)
-    for r in counted.groupBy("gram", "y").agg(F.sum("c").alias("c")).toArrow().to_pylist():
-        counts[r["y"]][r["gram"]] = r["c"]
-    if not counts[0] or not counts[1]:
+            found: dict[tuple[int, int], Counter] = defaultdict(Counter)
+            for y, fold, text in zip(*(batch.column(c).to_pylist() for c in ("y", "fold", "text"))):
+                found[y, fold].update(_words(text))
+            for (y, fold), words in found.items():
+                grams = ngram_counts(words)
+                n = len(grams)
+                yield batches({
+                    "gram": (list(grams), pa.string()), "y": ([y] * n, pa.int32()), "fold": ([fold] * n, pa.int32()), "c": (list(grams.values()), pa.int64()),
+                })
+
+    counted = rows.mapInArrow(count, "gram string, y int, fold int, c bigint").groupBy("gram", "y", "fold").agg(F.sum("c").alias("c")).toArrow()
+    every = list(zip(*(counted.column(c).to_pylist() for c in ("gram", "y", "fold", "c"))))
+
+    def without(left_out: int | None) -> LetterRatios | None:
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
+        for gram, y, fold, c in every:
+            if fold != left_out:
+                counts[y][gram] += c
+        return LetterRatios(counts[1], counts[0]) if counts[0] and counts[1] else None
+
+    ratios, folds = without(None), [without(k) for k in range(FOLDS)]
+    if ratios is None:
         return ToxicityModel(None, None)
-    ratios = LetterRatios(counts[1], counts[0])
+    shared = docs.sparkSession.sparkContext.broadcast(folds)
 
     def look(stream):
-        cache = _WordRatios(ratios)
+        caches = [_WordRatios(r) if r else None for r in shared.value]
         for batch in stream:
-            x = np.array([evidence(cache, t) for t in batch.column("text").to_pylist()]).reshape(-1, 4)
-            yield batches({"y": (batch.column("y"), None), **{f"x{i}": (pa.array(x[:, i]), None) for i in range(4)}})
+            y, fold, texts = (batch.column(c).to_pylist() for c in ("y", "fold", "text"))
+            seen = [(v, evidence(caches[k], t)) for v, k, t in zip(y, fold, texts) if caches[k] is not None]
+            x = np.array([e for _, e in seen]).reshape(-1, EVIDENCE)
+            yield batches({"y": ([v for v, _ in seen], pa.int32()), **{f"x{i}": (pa.array(x[:, i]), None) for i in range(EVIDENCE)}})
 
-    seen = rows.where("curve AND y IN (0, 1)").select("y", "text").mapInArrow(look, "y int, x0 double, x1 double, x2 double, x3 double").toArrow()
+    names = [f"x{i}" for i in range(EVIDENCE)]
+    seen = rows.mapInArrow(look, "y int, " + ", ".join(f"{c} double" for c in names)).toArrow()
     y = seen.column("y").to_numpy()
     if len(set(y.tolist())) < 2:
         return ToxicityModel(None, None)
     # Rows come in no fixed order; sorting fixes the sums of the fit.
-    x = np.column_stack([seen.column(f"x{i}").to_numpy() for i in range(4)])
+    x = np.column_stack([seen.column(c).to_numpy() for c in names])
     order = np.lexsort([*x.T, y])
-    fitted = _fit(x[order], y[order].astype("float64"))
-    return ToxicityModel(ratios, fitted)
+    return ToxicityModel(ratios, _fit(x[order], y[order].astype("float64")))
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
