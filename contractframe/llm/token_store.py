@@ -50,8 +50,11 @@ def train_dictionary(narrow: DataFrame, vocabulary: str, end_id: int = 0, width:
     """
     import zstandard
 
-    key = F.xxhash64("doc_id", "_k", F.lit(8))
-    rows = narrow.select(key.alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text")).orderBy("h", "text").limit(SAMPLE_ROWS)
+    hashed = narrow.withColumn("h", F.xxhash64("doc_id", "_k", F.lit(8)))
+    # First the smallest hashes alone, then their texts: tasks would each send SAMPLE_ROWS texts otherwise.
+    picked = narrow.sparkSession.createDataFrame(hashed.select("h").orderBy("h").limit(SAMPLE_ROWS).distinct().collect(), "_h bigint")
+    rows = hashed.join(F.broadcast(picked), F.col("h") == F.col("_h")).select("h", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    rows = rows.dropDuplicates(["h"]).orderBy("h")
     samples = [_serialized(ids, width) for ids in encode_texts(vocabulary, [r["text"] for r in rows.collect()], end_id)]
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, samples)) // 8), samples).as_bytes()
