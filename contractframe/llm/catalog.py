@@ -53,7 +53,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudo_likelihood.score_documents(table(spark, sf_dir, "documents"))
+    return pseudo_likelihood.score_documents(table(spark, sf_dir, "documents"), own_words=True)
 
 
 @query

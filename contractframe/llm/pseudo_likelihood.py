@@ -5,7 +5,9 @@ each scaled by its place), then a two-level softmax, first the class of the word
 document's score is the sum of the log-probabilities of all its words, each given the others around it.
 
 The vocabulary is counted over the whole corpus: the ``TOP`` most frequent words, and ``RARE`` ids that the
-other words share by hash (a rare word's probability is that of its id). Training is data-parallel over all
+other words share by hash. The network predicts ids; a word that shares its id has the probability
+count(word) / count(id) within it, by the counts of all words, which stay a Spark table that each document's
+words are joined to (``own_words``; else the score is that of the ids). Training is data-parallel over all
 documents: in each round every task starts from the shared weights, trains on positions of its documents
 (one of ``EVERY``, another one each round), and the weights are averaged by the positions they saw. A table of
 fixed size goes out and comes back, whatever the corpus.
@@ -24,13 +26,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contractframe.llm.common import batches, ground, ship_package, slices
+from contractframe.llm.common import batches, discard, ground, materialize, ship_package, slices
 
 SIDE, WIDTH = 2, 32
 TOP, RARE, CLASSES = 896, 128, 32
 SIZE = TOP + RARE  # ids; SIZE itself marks what lies past an end
 PER_CLASS = SIZE // CLASSES
 EVERY, ROUNDS, RATE, BATCH = 32, 2, 0.08, 4096
+_ARRAYS = "words array<string>, counts array<int>"
 _MARKS = ".,;:!?"
 _CACHE_WORDS = 200_000
 
@@ -168,8 +171,8 @@ def _log_softmax_at(x: np.ndarray, column: np.ndarray) -> np.ndarray:
     return x[np.arange(len(x)), column] - top - np.log(np.exp(x - top[:, None]).sum(axis=1))
 
 
-def vocabulary(narrow: DataFrame) -> list[str]:
-    """The TOP most frequent words of all documents; ties by the word itself."""
+def vocabulary(narrow: DataFrame) -> tuple[DataFrame, list[str]]:
+    """How often each word occurs in all documents, stored, and the TOP most frequent ones; ties by the word itself."""
     import pyarrow as pa
 
     def count(stream):
@@ -181,7 +184,16 @@ def vocabulary(narrow: DataFrame) -> list[str]:
                 yield batches({"word": (list(found), pa.string()), "c": (list(found.values()), pa.int64())})
 
     counted = narrow.select("text").mapInArrow(count, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
-    return [r["word"] for r in counted.orderBy(F.desc("c"), "word").limit(TOP).collect()]
+    counted = materialize(counted, "words")
+    return counted, [r["word"] for r in counted.orderBy(F.desc("c"), "word").limit(TOP).collect()]
+
+
+def own_probabilities(counted: DataFrame, top: list[str]) -> DataFrame:
+    """log P(word | id), as ``own``, of every word that shares its id; the most frequent words have ids of their own."""
+    rare = counted.where(~F.col("word").isin(top)) if top else counted
+    rare = rare.withColumn("id", F.crc32(F.col("word").cast("binary")) % RARE)
+    ids = rare.groupBy("id").agg(F.sum("c").alias("all"))
+    return rare.join(F.broadcast(ids), "id").select("word", F.log(F.col("c") / F.col("all")).alias("own"))  # RARE rows
 
 
 def _places(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -226,14 +238,19 @@ def train(narrow: DataFrame, top: list[str], rounds: int = ROUNDS, every: int =
     return weights
 
 
-def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """Per document: doc_id, n_words, log_prob (summed) and mean_log_prob, by a model trained on the same documents."""
+def score_documents(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rounds: int = ROUNDS, own_words: bool = False,
+) -> DataFrame:
+    """Per document: doc_id, n_words, log_prob (summed) and mean_log_prob, by a model trained on the same documents.
+
+    With ``own_words`` the probabilities are those of the words themselves, else those of their ids.
+    """
     import pyarrow as pa
 
     spark = docs.sparkSession
     ship_package(spark)
     narrow = ground(docs, doc_id=F.col(id_column), text=F.col(text_column))
-    top = vocabulary(narrow)
+    counted, top = vocabulary(narrow)
     shared = spark.sparkContext.broadcast((top, train(narrow, top, rounds)))
 
     def score(stream):
@@ -246,10 +263,22 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
                 ends = np.cumsum(lengths)
                 sums = np.concatenate([[0.0], np.cumsum(each)])
                 total = sums[ends] - sums[ends - lengths]
-                yield batches({
-                    "doc_id": (part.column("doc_id"), None), "n_words": (pa.array(lengths), None), "log_prob": (pa.array(total), None),
-                    "mean_log_prob": (pa.array(total / np.maximum(lengths, 1), mask=lengths == 0), None),
-                })
+                row = {"doc_id": (part.column("doc_id"), None), "n_words": (pa.array(lengths), None), "log_prob": (pa.array(total), None)}
+                if own_words:
+                    rare = [Counter(w for w in words_of(t) if words[w] >= TOP) for t in part.column("text").to_pylist()]
+                    row |= {"words": ([list(r) for r in rare], pa.list_(pa.string())), "counts": ([list(r.values()) for r in rare], pa.list_(pa.int32()))}
+                yield batches(row)
 
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(score, f"doc_id {kind}, n_words bigint, log_prob double, mean_log_prob double")
+    scored = narrow.mapInArrow(score, f"doc_id {kind}, n_words bigint, log_prob double" + f", {_ARRAYS}" * own_words)
+    mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("mean_log_prob")
+    if not own_words:
+        discard(counted)
+        return scored.select("*", mean)
+    scored = materialize(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
+    told = scored.select("_row", F.inline(F.arrays_zip("words", "counts"))).withColumnRenamed("words", "word")
+    own = told.join(own_probabilities(counted, top), "word").groupBy("_row").agg(F.sum(F.col("counts") * F.col("own")).alias("own"))
+    whole = (F.col("log_prob") + F.coalesce("own", F.lit(0.0))).alias("log_prob")
+    done = materialize(scored.join(own, "_row", "left").select("doc_id", "n_words", whole).select("*", mean), "likelihood")
+    discard(counted, scored)
+    return done

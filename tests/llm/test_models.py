@@ -118,6 +118,28 @@ def test_pseudo_likelihood_of_odd_rows(spark):
     assert pseudo_likelihood.score_documents(odd.limit(0)).collect() == []
 
 
+def test_pseudo_likelihood_of_words_that_share_an_id(spark):
+    often = " ".join(f"w{i:03d}" for i in range(pseudo_likelihood.TOP)) + " "
+    rare = [f"r{i}" for i in range(400)]
+    text = often * 6 + " ".join(rare) + " " + " ".join(rare[:100]) + " éa"
+    docs = spark.createDataFrame([(1, text), (2, rare[0]), (2, rare[0]), (3, rare[399]), (4, "w000"), (5, None), (None, "éa éa")], "doc_id int, text string")
+    ids, words = (pseudo_likelihood.score_documents(docs, own_words=own).collect() for own in (False, True))
+    assert words[0].asDict().keys() == ids[0].asDict().keys()
+    seen = Counter(w for r in docs.collect() for w in pseudo_likelihood.words_of(r["text"]))
+    known = pseudo_likelihood.WordIds([f"w{i:03d}" for i in range(pseudo_likelihood.TOP)])
+    shared = Counter()
+    for w, n in seen.items():
+        shared[known[w]] += n
+    texts, places = {r["doc_id"]: r["text"] for r in docs.collect()}, {r["doc_id"]: r for r in ids}
+    assert sorted(str(r["doc_id"]) for r in words) == ["1", "2", "2", "3", "4", "5", "None"]
+    for r in words:
+        of = pseudo_likelihood.words_of(texts[r["doc_id"]])
+        own = sum(math.log(seen[w] / shared[known[w]]) for w in of)
+        assert r["log_prob"] == pytest.approx(places[r["doc_id"]]["log_prob"] + own, rel=1e-3, abs=1e-3)
+        assert r["n_words"] == len(of) and r["mean_log_prob"] == (r["log_prob"] / len(of) if of else None)
+    assert {r["doc_id"]: r for r in words}[2]["log_prob"] != pytest.approx(places[2]["log_prob"], abs=0.1)
+
+
 def test_network_gradients_and_probabilities():
     r = np.random.default_rng(2)
     net = pseudo_likelihood.Network(pseudo_likelihood.start_weights() + r.normal(0, 0.1, (pseudo_likelihood.ROWS, pseudo_likelihood.WIDTH)).astype("float32"))
