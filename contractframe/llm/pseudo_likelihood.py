@@ -8,9 +8,9 @@ The vocabulary is counted over the whole corpus: the ``TOP`` most frequent words
 other words share by hash. The network predicts ids; a word that shares its id has the probability
 count(word) / count(id) within it, by the counts of all words, which stay a Spark table that each document's
 words are joined to (``own_words``; else the score is that of the ids). Training is data-parallel over all
-documents: in each round every task starts from the shared weights, trains on positions of its documents
-(one of ``EVERY``, another one each round), and the weights are averaged by the positions they saw. A table of
-fixed size goes out and comes back, whatever the corpus.
+documents: the words of every document are dealt over the rounds, so that together they train on every word
+once. In each round every task starts from the shared weights, trains on that round's words, and the weights are
+averaged by the words they saw. A table of fixed size goes out and comes back, whatever the corpus.
 
 Defined results: null and empty texts have no words, log_prob 0 and a null mean; the words past the ends of
 a text are a mark of their own; null ids are kept; equal rows score alike; an empty table gives no rows; a
@@ -32,7 +32,7 @@ SIDE, WIDTH = 2, 32
 TOP, RARE, CLASSES = 896, 128, 32
 SIZE = TOP + RARE  # ids; SIZE itself marks what lies past an end
 PER_CLASS = SIZE // CLASSES
-EVERY, ROUNDS, RATE, BATCH = 32, 2, 0.08, 4096
+ROUNDS, RATE, BATCH = 2, 0.08, 4096
 _ARRAYS = "words array<string>, counts array<int>"
 _MARKS = ".,;:!?"
 _CACHE_WORDS = 200_000
@@ -101,7 +101,9 @@ class Network:
         self.grad = np.zeros_like(self.w)  # sums of squares, for step sizes
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        z = (self.w[EMBED][context] * self.w[PLACES]).sum(axis=1) + self.w[HIDDEN]
+        z = np.tile(self.w[HIDDEN], (len(context), 1))
+        for p, place in enumerate(self.w[PLACES]):
+            z += np.take(self.w[EMBED] * place, context[:, p], axis=0)
         h = np.tanh(z)
         h[:, -1] = 1
         return h
@@ -114,7 +116,7 @@ class Network:
             h, target = self.hidden(ids[place[:, None] + _AROUND]), ids[place]
             group = target // PER_CLASS
             out[i : i + len(place)] = _log_softmax_at(h @ self.w[CLASS_OUT].T, group)
-            order = np.argsort(group, kind="stable")
+            order = np.argsort(group.astype("uint8"), kind="stable")
             cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
             for c in range(CLASSES):
                 rows = order[cuts[c] : cuts[c + 1]]
@@ -135,7 +137,7 @@ class Network:
             p[rows, group] -= 1
             step[CLASS_OUT] = p.T @ h
             back += p @ self.w[CLASS_OUT]
-            order = np.argsort(group, kind="stable")
+            order = np.argsort(group.astype("uint8"), kind="stable")
             cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
             for c in np.flatnonzero(np.diff(cuts)):
                 own = order[cuts[c] : cuts[c + 1]]
@@ -146,19 +148,23 @@ class Network:
                 back[own] += q @ self.w[block]
             back *= 1 - h * h  # zero for the unit that is always 1
             step[HIDDEN] = back.sum(axis=0)
-            embedded = self.w[EMBED][context]
-            step[PLACES] = np.einsum("nd,npd->pd", back, embedded)
-            spread = back[:, None, :] * self.w[PLACES]
-            _add_rows(step, context.ravel(), spread.reshape(-1, WIDTH))
+            for p, scale in enumerate(self.w[PLACES]):
+                told = _sum_rows(context[:, p], back)
+                step[PLACES][p] = (told * self.w[EMBED]).sum(axis=0)
+                step[EMBED] += told * scale
             step /= len(place) ** 0.5
             self.grad += step * step
             self.w -= RATE * step / np.sqrt(self.grad + 1e-6)
 
 
-def _add_rows(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    order = np.argsort(rows, kind="stable")
-    starts = np.flatnonzero(np.diff(rows[order], prepend=-1))
-    into[rows[order][starts]] += np.add.reduceat(values[order], starts, axis=0)
+def _sum_rows(ids: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The values of each id, summed."""
+    out = np.zeros((SIZE + 1, values.shape[1]), values.dtype)
+    order = np.argsort(ids.astype("uint16"), kind="stable")
+    found = ids[order]
+    starts = np.flatnonzero(np.diff(found, prepend=-1))
+    out[found[starts]] = np.add.reduceat(values[order], starts, axis=0)
+    return out
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -202,7 +208,13 @@ def _places(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
 
 
-def train(narrow: DataFrame, top: list[str], rounds: int = ROUNDS, every: int = EVERY) -> np.ndarray:
+def _dealt(lengths: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """Which words a round learns: of each document every ``rounds``-th, so that all rounds learn all words."""
+    place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return (place + np.repeat(lengths, lengths)) % rounds == turn
+
+
+def train(narrow: DataFrame, top: list[str], rounds: int = ROUNDS) -> np.ndarray:
     """Weights after rounds of training in all tasks and averaging; ROWS rows come to the driver each round."""
     import pyarrow as pa
 
@@ -218,9 +230,7 @@ def train(narrow: DataFrame, top: list[str], rounds: int = ROUNDS, every: int =
             for batch in stream:
                 for part in slices(batch, "text"):
                     ids, lengths = words.of(part.column("text").to_pylist())
-                    at = _places(ids, lengths)
-                    # Of each run of ``every`` words another one is learned each round.
-                    at = at[(np.arange(len(at)) * 2654435761 // 64 + turn) % every == 0]
+                    at = _places(ids, lengths)[_dealt(lengths, turn, rounds)]
                     if len(at):
                         network.train(ids, np.random.default_rng(turn).permutation(at))
                         seen += len(at)

@@ -110,6 +110,27 @@ def test_pseudo_likelihood(spark, corpus):
         assert got[doc]["n_words"] == len(pseudo_likelihood.words_of(text))
 
 
+def test_every_word_trains_the_model_once():
+    texts = ["a", "", "b c", "d e f g h", "i", " ".join("xyz" * 40)]
+    lengths = np.array([len(t.split()) for t in texts])
+    for rounds in (pseudo_likelihood.ROUNDS, 1, 3, 7):
+        assert (sum(pseudo_likelihood._dealt(lengths, turn, rounds).astype(int) for turn in range(rounds)) == 1).all()
+        one, other = (np.concatenate([pseudo_likelihood._dealt(x, 0, rounds) for x in cut]) for cut in ((lengths,), (lengths[:3], lengths[3:])))
+        assert (one == other).all()  # a document's words are dealt alike wherever it stands
+
+
+def test_pseudo_likelihood_with_the_rounds_of_the_query(spark, corpus):
+    docs = corpus[0].limit(1500).cache()
+    got = pseudo_likelihood.score_documents(docs).toPandas()
+    words = [pseudo_likelihood.words_of(r["text"]) for r in docs.select("text").collect()]
+    top = [w for w, _ in sorted(Counter(w for ws in words for w in ws).items(), key=lambda x: (-x[1], x[0]))[: pseudo_likelihood.TOP]]
+    ids = pseudo_likelihood.WordIds(top)
+    seen = Counter(i for ws in words for i in map(ids.__getitem__, ws))
+    total = sum(seen.values())
+    unigram = sum(n * math.log(n / total) for n in seen.values()) / total
+    assert got.n_words.sum() == total and got.log_prob.sum() / total > unigram + 0.3
+
+
 def test_pseudo_likelihood_of_odd_rows(spark):
     odd = odd_rows(spark, None)
     got = pseudo_likelihood.score_documents(odd).collect()
