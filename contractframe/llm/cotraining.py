@@ -2,16 +2,18 @@
 
 The content view sees the text's byte trigrams, hashed to ``BUCKETS`` shares. The metadata view sees language,
 source, length and the shape of the page (lines, words, kinds of characters, repetition). Both start from the
-labelled documents. In each round each view labels the pool, and the documents it is surest of (``PER_ROUND``,
-in the proportion of the labels) join the other view's training set. Each view is then calibrated on labelled
-documents that no view was trained on, and the calibrated log-odds are averaged into the score of every
-document.
+labelled documents. In each round each view labels all other documents, and the ``SHARE`` of them it is surest of
+(in the proportion of the labels; equally sure ones go together) join the other view's training set. Each view is
+then calibrated on labelled documents that no view was trained on, and the calibrated log-odds are averaged into
+the score of every document.
 
-Learning takes at most ``LABELLED`` labelled documents and a pool of ``POOL`` others, those of smallest hash;
-their features, of fixed size, are all the driver holds. Counts of words and pages are those of each document.
+Learning takes at most ``LABELLED`` labelled documents, those of smallest hash, whose features the driver holds.
+Every document without a label takes part: its features are a Spark table, each round counts its log-odds by bins,
+and the views are fitted by Newton steps from gradients and Hessians summed over all tasks. Which label a document
+was handed follows from the models and limits of the rounds so far, so no table of labels is kept.
 
 Defined results: null and empty texts have the features of an empty page; null languages and sources are
-values of their own; a null id is never held out and has no label; a document labelled more than once has its
+values of their own; a null id is never held out and has no label, nor do equal ids without one share a row; a document labelled more than once has its
 smallest label; null labels are left out; without labels of both classes every score is 0; equal rows score
 alike; an empty table gives no rows; other input columns are ignored.
 """
@@ -19,16 +21,21 @@ alike; an empty table gives no rows; other input columns are ignored.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contractframe.llm.common import batches, ground, ship_package, slices
+from contractframe.llm.common import batches, discard, ground, materialize, ship_package, slices
 from contractframe.llm.toxicity import held_out
 
-LABELLED, POOL, ROUNDS, PER_ROUND = 6000, 6000, 6, 200
+LABELLED, ROUNDS, SHARE = 6000, 6, 1 / 30
+STEPS, CLOSE = 25, 0.05  # Newton steps a round at most; a step that ends them
+FINE, MOST = 100, 30  # bins of log-odds: so many a unit, up to this either way
+SURE = 2  # log-odds of at least this are handed on
 BUCKETS, NAMES = 512, 32  # hashed trigrams; hashed languages and sources
 _SHAPES = 14
 _KINDS = np.zeros(256, "int64")  # lower, upper, digit, space, beyond ASCII, other
@@ -80,19 +87,27 @@ class Logistic:
     spread: np.ndarray
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> Logistic:
-        center, spread = x.mean(axis=0), x.std(axis=0) + 1e-3
-        design = np.column_stack([np.ones(len(x)), (x - center) / spread])
-        keep = penalty * np.eye(design.shape[1])
-        keep[0, 0] = 1e-6
-        w = np.zeros(design.shape[1])
+    def fit(cls, x: np.ndarray, y: np.ndarray, scale: tuple[np.ndarray, np.ndarray] | None = None) -> Logistic:
+        center, spread = scale or (x.mean(axis=0), x.std(axis=0) + 1e-3)
+        model = cls(np.zeros(x.shape[1] + 1), center, spread)
         for _ in range(25):
-            p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-            step = np.linalg.solve((design.T * (p * (1 - p) + 1e-6)) @ design + keep, design.T @ (p - y) + keep @ w)
-            w -= np.clip(step, -3, 3)
-            if np.abs(step).max() < 1e-6:
+            model, step = model.moved(*model.slopes(x, y))
+            if step < 1e-6:
                 break
-        return cls(w, center, spread)
+        return model
+
+    def slopes(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient and Hessian of the loss over these rows."""
+        design = np.column_stack([np.ones(len(x)), (x - self.center) / self.spread])
+        p = 1 / (1 + np.exp(-np.clip(design @ self.weights, -30, 30)))
+        return design.T @ (p - y), (design.T * (p * (1 - p) + 1e-6)) @ design
+
+    def moved(self, gradient: np.ndarray, hessian: np.ndarray, penalty: float = 1.0) -> tuple[Logistic, float]:
+        """The model after a Newton step, and the size of the step."""
+        keep = penalty * np.eye(len(gradient))
+        keep[0, 0] = 1e-6
+        step = np.linalg.solve(hessian + keep, gradient + keep @ self.weights)
+        return Logistic(self.weights - np.clip(step, -3, 3), self.center, self.spread), np.abs(step).max()
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         return np.clip(self.weights[0] + ((x - self.center) / self.spread) @ self.weights[1:], -30, 30)
@@ -110,26 +125,142 @@ class QualityModel:
         return np.stack([c.log_odds(v.log_odds(x)[:, None]) for v, c, x in zip(self.views, self.curves, (content, metadata))])
 
 
-def cotrain(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS, per_round: int = PER_ROUND) -> tuple[Logistic, Logistic]:
-    """Both classifiers after exchanging confident pseudo-labels over the pool."""
-    sets = [(x, y.astype("float64")) for x in views]
-    given = np.zeros((2, len(pool[0])), bool)  # pool rows that a view has been given
-    for _ in range(rounds):
-        fitted = [Logistic.fit(*s) for s in sets]
-        for teacher in (0, 1):
-            pupil = 1 - teacher
-            free = np.flatnonzero(~given[pupil])
-            if not len(free):
-                continue
-            odds = fitted[teacher].log_odds(pool[teacher][free])
-            order = np.argsort(odds, kind="stable")
-            good = round(per_round * y.mean())
-            surest = [(i, 1.0) for i in order[::-1][:good] if odds[i] > 2] + [(i, 0.0) for i in order[: per_round - good] if odds[i] < -2]
-            if surest:
-                rows = free[[i for i, _ in surest]]
-                given[pupil, rows] = True
-                sets[pupil] = (np.concatenate([sets[pupil][0], pool[pupil][rows]]), np.concatenate([sets[pupil][1], [v for _, v in surest]]))
-    return tuple(Logistic.fit(*s) for s in sets)
+Views = tuple[np.ndarray, np.ndarray]
+_BINS = 2 * MOST * FINE
+
+
+@dataclass
+class Handed:
+    """What a view handed on in a round: documents of at least bin ``high`` as good, up to bin ``low`` as bad."""
+
+    teacher: Logistic
+    low: int
+    high: int
+
+
+def _bins(odds: np.ndarray) -> np.ndarray:
+    return np.clip(((odds + MOST) * FINE).astype("int64"), 0, _BINS - 1)
+
+
+def _labels(history: list[Handed], x: np.ndarray) -> np.ndarray:
+    """The label each document was handed first; NaN if none."""
+    out = np.full(len(x), np.nan)
+    for h in history:
+        at, free = _bins(h.teacher.log_odds(x)), np.isnan(out)
+        out[free & (at >= h.high)] = 1
+        out[free & (at <= h.low)] = 0
+    return out
+
+
+# Sums over documents, as vectors
+
+def _moments(views: Views) -> np.ndarray:
+    return np.concatenate([[len(views[0])], *[f(x).sum(axis=0) for x in views for f in (lambda x: x, np.square)]])
+
+
+def _counts(history: tuple[list[Handed], list[Handed]], models: tuple[Logistic, Logistic], views: Views) -> np.ndarray:
+    """Documents that each view has not handed on yet, by bins of its log-odds."""
+    return np.concatenate([np.bincount(_bins(m.log_odds(x[np.isnan(_labels(h, x))])), minlength=_BINS) for h, m, x in zip(history, models, views)])
+
+
+def _slopes(history: tuple[list[Handed], list[Handed]], models: tuple[Logistic, Logistic], views: Views) -> np.ndarray:
+    """Gradient and upper half of the Hessian of each view over the documents that the other handed it."""
+    out = []
+    for pupil in (0, 1):
+        y = _labels(history[1 - pupil], views[1 - pupil])
+        given = ~np.isnan(y)
+        gradient, hessian = models[pupil].slopes(views[pupil][given], y[given])
+        out += [gradient, hessian[np.triu_indices(len(gradient))]]
+    return np.concatenate(out)
+
+
+class Here:
+    """Documents in arrays."""
+
+    def __init__(self, views: Views):
+        self.views = views
+
+    def sums(self, work: Callable[[Views], np.ndarray]) -> np.ndarray:
+        return work(self.views)
+
+
+class Stored:
+    """Documents in a Spark table of features; only sums come to the driver."""
+
+    def __init__(self, features: DataFrame):
+        self.features = features
+
+    def sums(self, work: Callable[[Views], np.ndarray]) -> np.ndarray:
+        import pyarrow as pa
+
+        context = self.features.sparkSession.sparkContext
+        shared, width = context.broadcast(work), 64
+
+        def add(stream):
+            total = 0
+            for batch in stream:
+                if batch.num_rows:
+                    total = total + shared.value(_views(batch.column("x").to_pylist()))
+            if not np.isscalar(total):
+                rows = np.pad(total.astype("float64"), (0, -len(total) % width)).reshape(-1, width)
+                yield batches({"row": (pa.array(np.arange(len(rows))), None), **{f"c{i}": (pa.array(rows[:, i]), None) for i in range(width)}})
+
+        # A vector for each task: a few tasks a core hold down what is sent.
+        few = self.features.select("x").coalesce(2 * context.defaultParallelism)
+        told = few.mapInArrow(add, "row bigint, " + ", ".join(f"c{i} double" for i in range(width)))
+        got = told.groupBy("row").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(width)]).toArrow().sort_by("row")
+        none = work(_views([]))
+        return np.column_stack([got.column(f"c{i}").to_numpy() for i in range(width)]).ravel()[: len(none)] if got.num_rows else none
+
+
+def _views(rows: list[bytes]) -> Views:
+    x = np.frombuffer(b"".join(rows), "float16").astype("float64").reshape(len(rows), BUCKETS + 2 * NAMES + _SHAPES)
+    return x[:, :BUCKETS], x[:, BUCKETS:]
+
+
+def _limits(counts: np.ndarray, most: float, rate: float) -> tuple[int, int]:
+    """The bins down to which ``rate`` of ``most`` documents are good, and up to which the others are bad."""
+    above, below = np.cumsum(counts[::-1])[::-1], np.cumsum(counts)
+    good, bad = (np.flatnonzero(c >= np.ceil(n)) for c, n in ((above, most * rate), (below, most * (1 - rate))))
+    return min(bad[0] if len(bad) else _BINS, (MOST - SURE) * FINE - 1), max(good[-1] if len(good) else 0, (MOST + SURE) * FINE)
+
+
+def exchange(views: Views, y: np.ndarray, pool: Here | Stored, rounds: int = ROUNDS, share: float = SHARE) -> tuple[Logistic, Logistic]:
+    """Both classifiers after handing each other the labels they are surest of, over all documents of the pool."""
+    widths, y = [x.shape[1] for x in views], y.astype("float64")
+    free = pool.sums(_moments)
+    sums = free + _moments(views)
+    ends = np.cumsum([1, *np.repeat(widths, 2)])
+    scales = []
+    for v in (0, 1):
+        mean, square = (sums[ends[2 * v + k] : ends[2 * v + k + 1]] / sums[0] for k in (0, 1))
+        scales.append((mean, np.sqrt(np.maximum(square - mean * mean, 0)) + 1e-3))
+    models = tuple(Logistic.fit(x, y, s) for x, s in zip(views, scales))
+    history: tuple[list[Handed], list[Handed]] = ([], [])
+    for _ in range(rounds if free[0] else 0):
+        counts = pool.sums(partial(_counts, history, models)).reshape(2, -1)
+        for h, m, c in zip(history, models, counts):
+            h.append(Handed(m, *_limits(c, free[0] * share, y.mean())))
+        # From zero each time: undamped Newton steps from weights that are already sure overshoot.
+        models = tuple(Logistic(np.zeros(n + 1), *scale) for n, scale in zip(widths, scales))
+        for _ in range(STEPS):
+            told, at, moved = pool.sums(partial(_slopes, history, models)), 0, []
+            for x, m in zip(views, models):
+                n = len(m.weights)
+                half = np.zeros((n, n))
+                half[np.triu_indices(n)] = told[at + n : at + n + n * (n + 1) // 2]
+                gradient, hessian = m.slopes(x, y)
+                moved.append(m.moved(gradient + told[at : at + n], hessian + half + np.triu(half, 1).T))
+                at += n + n * (n + 1) // 2
+            models = tuple(m for m, _ in moved)
+            if max(step for _, step in moved) < CLOSE:
+                break
+    return models
+
+
+def cotrain(views: Views, y: np.ndarray, pool: Views, rounds: int = ROUNDS, per_round: int | None = None) -> tuple[Logistic, Logistic]:
+    """``exchange`` over arrays; ``per_round`` documents of the pool a round, else ``SHARE``."""
+    return exchange(views, y, Here(pool), rounds, SHARE if per_round is None else per_round / max(1, len(pool[0])))
 
 
 def _features(part) -> tuple[np.ndarray, np.ndarray]:
@@ -143,11 +274,26 @@ def _narrow(docs: DataFrame, id_column: str, text_column: str, lang_column: str,
     return ground(docs, doc_id=F.col(id_column).cast("bigint"), lang=F.col(lang_column).cast("string"), source=F.col(source_column).cast("string"), text=F.col(text_column))
 
 
+def unlabelled(narrow: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Features of every document whose id has no label, stored in half precision."""
+    import pyarrow as pa
+
+    def look(stream):
+        for batch in stream:
+            for part in slices(batch, "text"):
+                both = np.concatenate(_features(part), axis=1).astype("float16")
+                yield batches({"doc_id": (part.column("doc_id"), None), "x": ([r.tobytes() for r in both], pa.binary())})
+
+    every = narrow.mapInArrow(look, "doc_id bigint, x binary")
+    # Features, not texts, are what a join too large for a broadcast deals out.
+    return materialize(every.join(labelled.select("_id").distinct(), F.col("doc_id") == F.col("_id"), "left_anti").select("x"), "unlabelled")
+
+
 def train(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
     source_column: str = "source", label_id: str = "doc_id", label: str = "quality",
 ) -> QualityModel:
-    """Learn from labelled documents that are not held out and from a pool of documents without a label."""
+    """Learn from labelled documents that are not held out and from all documents without a label."""
     import pyarrow as pa
 
     ship_package(docs.sparkSession)
@@ -156,10 +302,7 @@ def train(
     own = labelled.where(F.col("y").isin(0, 1) & ~held_out(F.col("_id"))).groupBy("_id").agg(F.min("y").alias("y"))
     near = lambda df, n: df.withColumn("_h", F.xxhash64("_id", F.lit(23))).orderBy("_h", "_id").limit(n)
     sample = near(own, LABELLED).select("_id", "y", (F.pmod("_h", F.lit(5)) == 0).alias("curve"))
-    others = narrow.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id")).distinct().join(labelled.select("_id"), "_id", "left_anti")
-    pool = near(others, POOL).select("_id", F.lit(None).cast("int").alias("y"), F.lit(False).alias("curve"))
-    asked = sample.unionByName(pool)
-    rows = narrow.join(F.broadcast(asked), F.col("doc_id") == F.col("_id"))  # at most LABELLED + POOL rows of 13 bytes
+    rows = narrow.join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))  # at most LABELLED rows of 13 bytes
     rows = rows.dropDuplicates(["doc_id"]).select("doc_id", "y", "curve", "lang", "source", "text")
 
     def look(stream):
@@ -173,14 +316,16 @@ def train(
                 })
 
     seen = rows.mapInArrow(look, "doc_id bigint, y int, curve boolean, x binary").toArrow().sort_by("doc_id")
-    x = np.frombuffer(b"".join(seen.column("x").to_pylist()), "float32").astype("float64").reshape(seen.num_rows, -1)
-    y = np.array([-1 if v is None else v for v in seen.column("y").to_pylist()])
+    x = np.frombuffer(b"".join(seen.column("x").to_pylist()), "float32").astype("float64").reshape(seen.num_rows, BUCKETS + 2 * NAMES + _SHAPES)
+    y = np.array(seen.column("y").to_pylist())
     curve = seen.column("curve").to_numpy().astype(bool)
-    learn, check, free = (y >= 0) & ~curve, (y >= 0) & curve, y < 0
+    learn, check = ~curve, curve
     if len(set(y[learn])) < 2 or len(set(y[check])) < 2:
         return QualityModel(None, None)
     split = lambda rows: (x[rows][:, :BUCKETS], x[rows][:, BUCKETS:])
-    views = cotrain(split(learn), y[learn], split(free))
+    features = unlabelled(narrow, labelled)
+    views = exchange(split(learn), y[learn], Stored(features))
+    discard(features)
     curves = tuple(Logistic.fit(v.log_odds(own)[:, None], y[check].astype("float64")) for v, own in zip(views, split(check)))
     return QualityModel(views, curves)
 

@@ -94,6 +94,24 @@ def test_views_exchange_labels():
     assert right(first, a) > 0.9 and right(second, b) > 0.9 and right(first, a) >= right(alone, a) - 0.02
 
 
+def test_all_documents_without_a_label_take_part(spark):
+    docs = spark.range(7000).selectExpr("id AS doc_id", "'en' AS lang", "'s' AS source", "concat('words of page ', id, repeat(' more', id % 7)) AS text")
+    docs = docs.unionByName(docs.limit(3).selectExpr("CAST(NULL AS bigint) AS doc_id", "lang", "source", "text"))
+    features = cotraining.unlabelled(docs, spark.range(10).withColumnRenamed("id", "_id"))
+    rows = [r["x"] for r in features.collect()]
+    assert len(rows) == 6993
+    stored, here = cotraining.Stored(features), cotraining.Here(cotraining._views(rows))
+    assert stored.sums(cotraining._moments) == pytest.approx(here.sums(cotraining._moments))
+    r = np.random.default_rng(1)
+    views, y = tuple(x[:200] + r.normal(0, 0.01, x[:200].shape) for x in here.views), r.integers(0, 2, 200)
+    for one, other in zip(*(cotraining.exchange(views, y, p, rounds=2) for p in (stored, here))):
+        assert one.weights == pytest.approx(other.weights, abs=1e-6)
+    # What is handed on is a share of all rows, however many.
+    for n in (1, 50):
+        low, high = cotraining._limits(np.full(6000, n), 6000 * n / 30, 0.25)
+        assert (6000 - high, low + 1) == (50, 150)
+
+
 def test_pseudo_likelihood(spark, corpus):
     docs = corpus[0].limit(1500).cache()
     got = {r["doc_id"]: r for r in pseudo_likelihood.score_documents(docs, rounds=3).collect()}
