@@ -104,6 +104,12 @@ def _parse_header(head: bytes) -> dict[str, str]:
     return found
 
 
+def _has_heads(raw: bytes) -> bool:
+    """Whether the record's header is all there, and the HTTP head that may follow it."""
+    head, blank, block = raw.partition(b"\r\n\r\n")
+    return bool(blank) and (b"\r\n\r\n" in block or not _parse_header(head).get("content-type", "").startswith("application/http"))
+
+
 class _Gzip:
     """A record in a gzip member: its header now, its whole bytes when asked for."""
 
@@ -113,10 +119,10 @@ class _Gzip:
         known = start[3] & 4 and start[12:14] == b"sl" and struct.unpack("<H", start[14:16])[0] == 8
         self.length = struct.unpack("<I", start[16:20])[0] if known else None
         inflate, plain, step = zlib.decompressobj(31), b"", 2048
-        while b"\r\n\r\n" not in plain and not inflate.eof and at < blocks.size:
+        while not inflate.eof and at < blocks.size and not _has_heads(plain):
             raw = blocks.get(at, step)
             plain += inflate.decompress(raw)
-            at += len(raw)
+            at, step = at + len(raw), step * 2
         self.start = plain
         self.header = plain.partition(b"\r\n\r\n")[0]
 
@@ -142,7 +148,7 @@ class _Plain:
 
     def __init__(self, blocks: _Blocks, at: int):
         self.blocks, self.at, n = blocks, at, 4096
-        while b"\r\n\r\n" not in (raw := blocks.get(at, n)) and at + n < blocks.size:
+        while not _has_heads(raw := blocks.get(at, n)) and at + n < blocks.size:
             n *= 2
         self.start, self.header = raw, raw.partition(b"\r\n\r\n")[0]
         self.length = len(self.header) + 4 + int(_parse_header(self.header).get("content-length", 0)) + 4

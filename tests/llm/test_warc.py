@@ -105,3 +105,25 @@ def test_uncommitted_files_are_not_read(spark, pages, tmp_path):
 
 def test_no_pages(spark, pages, tmp_path):
     assert warc.archive_pages(pages.limit(0), f"file://{tmp_path}/d").collect() == []
+
+
+def test_http_heads_behind_long_headers():
+    """Headers that end anywhere around the first bytes read leave the HTTP head whole."""
+    import random
+
+    class File:
+        def __init__(self, raw):
+            self.raw = raw
+
+        def size(self):
+            return len(self.raw)
+
+        def read_at(self, n, at):
+            return self.raw[at : at + n]
+
+    letters = random.Random(3).choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_", k=4200)
+    for pack, sizes in ((warc.gzip_member, range(2000, 2600, 2)), (lambda r: r, range(3400, 4200, 7))):
+        for n in sizes:
+            one = warc.record_bytes("revisit", "urn:x", b"", digest_hex="00" * 20, length=1234567, target_uri="".join(letters[:n]), date=None, refers_to="urn:y")
+            found = [warc._header_row(r) for r in warc.records(File(pack(one) * 2))]
+            assert [r["payload_length"] for r in found] == [1234567] * 2, n
