@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractframe.llm import code_search, cotraining, decontaminate, minhash_forest, packing, pseudo_likelihood, substring_dedup, token_store, toxicity, warc
+from contractframe.llm import code_search, cotraining, decontaminate, filter_audit, minhash_forest, packing, pseudo_likelihood, substring_dedup, token_store, toxicity, warc
 from contractframe.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,35 @@ WITH RECURSIVE
      comp AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM comp LEFT JOIN n USING (doc_id)
 """
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH RECURSIVE
+     d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                  list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+     m AS (SELECT d.doc_id, part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+                  len(ws) < 200 AS a, 100 * len(list_distinct(ws)) < 50 * len(ws) AS b,
+                  100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS c,
+                  regexp_matches(t, '[#$%&*|]') AS d, d.doc_id > min(d.doc_id) OVER (PARTITION BY t) AS e
+           FROM d LEFT JOIN labels USING (doc_id)),
+     f AS (SELECT part, good, toxic, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END)
+                  || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS fails, count(*) AS n FROM m GROUP BY ALL),
+     o AS (SELECT '' AS p UNION ALL SELECT p || x FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE NOT contains(p, x)),
+     s AS (SELECT p AS filter_order, step, substr(p, step, 1) AS x, substr(p, 1, step - 1) AS gone FROM o, (SELECT unnest(range(1, 6)) AS step) WHERE length(p) = 5),
+     r AS (SELECT part, filter_order, step, x, n, good, toxic, contains(fails, x) AS hit, fails = x AS alone,
+                  regexp_matches(fails, '[_' || gone || ']') AS before FROM f, s),
+     k AS (SELECT part, filter_order, step, x,
+                  coalesce(sum(n) FILTER (NOT before AND NOT hit), 0) AS kept, coalesce(sum(n) FILTER (hit AND NOT before), 0) AS removed,
+                  coalesce(sum(n) FILTER (hit AND before), 0) AS redundant, coalesce(sum(n) FILTER (alone), 0) AS unique_fails,
+                  coalesce(sum(n) FILTER (hit AND NOT before AND good), 0) AS good_lost,
+                  coalesce(sum(n) FILTER (hit AND NOT before AND toxic), 0) AS toxic_lost FROM r GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM k
+"""
