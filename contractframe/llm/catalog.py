@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractframe.llm import code_search, cotraining, decontaminate, filter_audit, minhash_forest, packing, pseudo_likelihood, substring_dedup, token_store, toxicity, warc
+from contractframe.llm import byte_bpe, code_search, cotraining, decontaminate, filter_audit, minhash_forest, packing, pseudo_likelihood, substring_dedup, token_store, toxicity, warc
 from contractframe.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,13 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
        CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
 FROM k
 """
+
+
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = byte_bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, pattern)
+    return byte_bpe.decode_documents(encoded, ranks, pattern).select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
