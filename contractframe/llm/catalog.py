@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractframe.llm import byte_bpe, code_search, cotraining, decontaminate, filter_audit, minhash_forest, packing, pseudo_likelihood, substring_dedup, token_store, toxicity, warc
+from contractframe.llm import byte_bpe, code_search, collocations, cotraining, decontaminate, filter_audit, minhash_forest, packing, pseudo_likelihood, substring_dedup, token_store, toxicity, warc
 from contractframe.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,30 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), 100, 2000)
+
+
+ORACLES["op12_collocations"] = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws
+           FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                        '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+     g AS (SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+           FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM p, (SELECT unnest(range(1, 6)) AS m) WHERE len(ws) >= m)),
+     f AS (SELECT lang, m, phrase, count(*) AS n FROM g GROUP BY ALL),
+     total AS (SELECT lang, sum(n)::HUGEINT AS n FROM f WHERE m = 1 GROUP BY lang),
+     c AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS ws, n AS a FROM f WHERE m > 1 AND n >= 100),
+     cuts AS (SELECT lang, m, phrase, ws, a, unnest(range(1, m)) AS k FROM c),
+     s AS (SELECT x.lang, x.phrase, x.m, x.a, k, h.n AS l, t.n AS r, total.n, (1000::HUGEINT * x.a * total.n) // (h.n::HUGEINT * t.n) AS score
+           FROM cuts x JOIN total ON total.lang = x.lang
+           JOIN f h ON h.lang = x.lang AND h.phrase = array_to_string(x.ws[1:k], ' ') AND h.m = k
+           JOIN f t ON t.lang = x.lang AND t.phrase = array_to_string(x.ws[k + 1:x.m], ' ') AND t.m = x.m - k),
+     best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+     left_ AS (SELECT * FROM best b WHERE NOT EXISTS (
+         SELECT 1 FROM c WHERE c.lang = b.lang AND c.m > b.m AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * c.a >= 100 * b.a)),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
