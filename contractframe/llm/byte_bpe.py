@@ -97,6 +97,7 @@ class Monoid:
         self.no_rank = max(self.ranks.values()) + 1
         self.packed = {token: rank.to_bytes(4, "little") for token, rank in self.ranks.items()}
         self.token = {ids: token for token, ids in self.packed.items()}
+        self.by_rank = {rank: token for token, rank in self.ranks.items()}
         self.find = regex.compile(pattern)
         strict = pattern.replace(r"[^\s\p{L}\p{N}]", rf"(?:[^\s\p{{L}}\p{{N}}]|[{_ranges(_NEWER_LETTERS + ' ' + _NEWER_NUMBERS)}])")
         strict = strict.replace(r" ?\p{L}+", rf" ?(?:(?![{_ranges(_NEWER_LETTERS)}])\p{{L}})+").replace(
@@ -106,26 +107,32 @@ class Monoid:
         self.known = _Matches(self.match_ids)
 
     def pattern_for(self, text: str):
-        return self.find if text.isascii() or not self.newer.search(text) else self.strict
+        if text.isascii():
+            return self.find
+        try:
+            text.encode("latin-1")  # quick, and older than any of the newer characters
+            return self.find
+        except UnicodeEncodeError:
+            return self.strict if self.newer.search(text) else self.find
 
     # -- tokens of one match --
 
     def merged(self, text: bytes) -> list[bytes]:
         """The tokens of a few bytes, by merging the lowest rank first."""
-        parts, rank = [text[i : i + 1] for i in range(len(text))], self.ranks.get
-        none = self.no_rank
-        costs = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
+        n, rank, none = len(text), self.ranks.get, self.no_rank
+        parts = [text[i : i + 1] for i in range(n)]
+        costs = [rank(text[i : i + 2], none) for i in range(n - 1)]
         while costs:
             least = min(costs)
             if least == none:
                 break
             at = costs.index(least)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            joined = parts[at] = parts[at] + parts.pop(at + 1)
             del costs[at]
             if at:
-                costs[at - 1] = rank(parts[at - 1] + parts[at], none)
+                costs[at - 1] = rank(parts[at - 1] + joined, none)
             if at < len(costs):
-                costs[at] = rank(parts[at] + parts[at + 1], none)
+                costs[at] = rank(joined + parts[at + 1], none)
         return parts
 
     def tokens(self, text: bytes) -> list[bytes]:
@@ -213,10 +220,8 @@ class Monoid:
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes of the tokens, leaves of 4,096 tokens concatenated two by two."""
-        parts = [
-            b"".join([self.token[ids[i : i + 4]] for i in range(at, min(at + 4 * 4096, len(ids)), 4)])
-            for at in range(0, len(ids), 4 * 4096)
-        ]
+        ranks, token = np.frombuffer(ids, "<u4").tolist(), self.by_rank.__getitem__
+        parts = [b"".join(map(token, ranks[at : at + 4096])) for at in range(0, len(ranks), 4096)]
         while len(parts) > 1:
             parts = [b"".join(parts[i : i + 2]) for i in range(0, len(parts), 2)]
         return parts[0] if parts else b""
