@@ -142,9 +142,9 @@ SELECT '{_PART_COLUMNS}' AS columns, 2 AS sources FROM part UNION SELECT '{_CUST
 """)
 def schema_groups(spark, sf_dir):
     """The groups, and how many of the written folders each covers."""
-    groups = intake.schema_groups(intake.header_rows(spark, _many_files(spark, sf_dir)))
-    folders = F.array_distinct(F.transform("files", lambda f: F.regexp_replace(f, "/[^/]*$", "")))
-    return groups.select(F.array_join("columns", ",").alias("columns"), F.size(folders).alias("sources"))
+    files = intake.file_groups(intake.header_rows(spark, _many_files(spark, sf_dir)))
+    folders = F.count_distinct(F.regexp_replace("file", "/[^/]*$", ""))
+    return files.groupBy("columns").agg(folders.cast("int").alias("sources")).select(F.array_join("columns", ",").alias("columns"), "sources")
 
 
 @query("bulk_union", """

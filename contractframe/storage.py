@@ -60,6 +60,16 @@ def discard(*frames: DataFrame) -> None:
             at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of a table that ``materialize`` has stored; endless for any other."""
+    path = getattr(df, "_stored_at", None)
+    if not path:
+        return 1 << 62
+    context = df.sparkSession.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(context._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
 def _number_partitions(stored: DataFrame, position: str, name: str) -> tuple[DataFrame, int]:
     """Turn (partition, position in partition) into consecutive global numbers.
 

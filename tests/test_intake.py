@@ -1,9 +1,17 @@
+import bz2
+import csv
+import gzip
+import io
+import random
+import zlib
+
+import pyarrow as pa
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
 from contractframe.contract import contract_from_dict
-from contractframe.sources import changelog, deliver, intake
+from contractframe.sources import changelog, deliver, firstbytes, intake, quotes
 from contractframe.storage import ROW_ID
 
 
@@ -84,10 +92,149 @@ def test_quotes_missing_texts_and_types(spark, write, rows):
     assert [t for _, t in read(spark, path, infer=False).dtypes][1:] == ["string"] * 5
 
 
-@pytest.mark.parametrize("multiline", [None, True])
-def test_line_breaks_inside_quotes(spark, write, rows, multiline):
+def test_line_breaks_inside_quotes(spark, write, rows):
     path = write("m.csv", 'A,B\n"x\ny",1\nz,2\n"a ""q""\n\n,",3\n')
-    assert rows(read(spark, path, multiline=multiline), "A", "B") == [('a "q"\n\n,', 3), ("x\ny", 1), ("z", 2)]
+    assert rows(read(spark, path), "A", "B") == [('a "q"\n\n,', 3), ("x\ny", 1), ("z", 2)]
+
+
+def test_a_quote_inside_a_cell_is_text(spark, write, rows):
+    assert rows(read(spark, write("i.csv", 'a,b\n1,5" pipe\n2,x\n'))) == [(0, 1, '5" pipe'), (1, 2, "x")]
+    got = read(spark, write("t.csv", 'a,b\n1,5" pipe\n2,6" pipe\n"3\n""",7" and "8\n'), infer=False)
+    assert rows(got) == [(0, "1", '5" pipe'), (1, "2", '6" pipe'), (2, '3\n"', '7" and "8')]
+    with pytest.raises(ValueError, match="more cells"):
+        read(spark, write("r.csv", 'a,b\n1,5" pipe\n2,6",7"\n'))
+
+
+QUOTED = ["", "x", '"', '""', ",", "\n", "\r\n", "é", " ", '","', '"\n', '\n"', "12", '""""']
+
+
+def test_states_of_lines_are_those_of_the_plain_automaton(spark):
+    """Every line's true state, against an automaton fed character by character."""
+    deal = random.Random(8)
+    texts = [("".join(deal.choices(QUOTED, k=deal.randrange(14))), deal.random() < 0.4) for _ in range(600)]
+    data = [(f"{k:04}", 0, i, v, inside) for k, (text, inside) in enumerate(texts) for i, v in enumerate(text.split("\n"))]
+    df = spark.createDataFrame(data, "file string, block bigint, pos bigint, value string, begun boolean")
+    got = quotes.with_states(quotes.with_functions(df, "','"), ["file"], ["pos"], F.col("begun")).orderBy("file", "pos").collect()
+    want = []
+    for text, inside in texts:
+        state = "in" if inside else "start"
+        machine = quotes.Machine(",")
+        machine.open = inside
+        for line in text.split("\n"):
+            want.append(state == "in")
+            assert machine.open == want[-1]
+            machine.feed(line.encode())
+            for c in line:
+                if state == "in":
+                    state = "behind" if c == '"' else "in"
+                elif state == "behind":
+                    state = "in" if c == '"' else "start" if c == "," else "cell"
+                elif state == "start" and c == '"':
+                    state = "in"
+                else:
+                    state = "start" if c == "," else "cell"
+            state = "in" if state == "in" else "start"
+    assert [r["inside"] for r in got] == want
+
+
+def test_blocks_that_begin_inside_a_cell(spark, write, rows, monkeypatch):
+    """A file of many small blocks and chunks whose cells go on over them, against the csv module."""
+    monkeypatch.setattr(quotes, "CHUNK", 16)
+    deal = random.Random(3)
+    cells = ["x", "", 'say "hi"', "two\nlines", "a,b", "\n\n", "é" * 40, "q" * 300 + "\n" + "r" * 300, 'end"', "1"]
+    out = io.StringIO(newline="")
+    csv.writer(out, lineterminator="\n").writerows([["k", "v", "w"], *[[i, deal.choice(cells), deal.choice(cells)] for i in range(3000)]])
+    text = out.getvalue().replace("\n7,", "\n\n7,").replace('"a,b"\n', '"a,b"\r\n')
+    want = [r for r in csv.reader(io.StringIO(text, newline="")) if r]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        got = read(spark, [write("big.csv", text), write("tail.csv", "k,v,w\n7,8,9\n")], infer=False)
+        assert rows(got) == sorted([(i, *[c if c != "" else None for c in r]) for i, r in enumerate([*want[1:], ["7", "8", "9"]])], key=repr)
+        assert got.rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+class Counting(io.BytesIO):
+    asked = 0
+
+    def read(self, n=-1):
+        self.asked += n if n >= 0 else 1 << 62
+        return super().read(n)
+
+
+def test_heads_read_the_first_bytes_alone():
+    for size in (1_000, 100_000):
+        file = Counting(("Name,Age\n" + "x,1\n" * size).encode())
+        head = firstbytes.head_of(file.read, ",", 10, None, "iso-8859-1")
+        assert len(head) == 10 and file.asked == firstbytes.RANGE
+    long = Counting(b"\xef\xbb\xbfA,B\n" + b"y" * 300_000 + b",2\nz,3\n" + b"w,4\n" * 100_000)
+    head = firstbytes.head_of(long.read, ",", 3, None, "iso-8859-1")
+    assert [(r[0], len(r[2])) for r in head] == [("utf-8-sig", 3), ("utf-8-sig", 300_002), ("utf-8-sig", 3)] and long.asked <= 6 * firstbytes.RANGE
+
+
+@pytest.mark.parametrize("suffix, pack", [(".gz", gzip.compress), (".bz2", bz2.compress), (".deflate", zlib.compress)])
+def test_marks_and_heads_of_compressed_files(spark, write, rows, suffix, pack):
+    path = write("m.csv" + suffix, pack(b"\xef\xbb\xbf" + PLAIN.encode()))
+    assert tuple(intake.file_encoding(spark, [path]).select("has_bom", "encoding").first()) == (True, "utf-8-sig")
+    assert intake.header_rows(spark, [path]).first()["columns"] == ["Name", "Age", "Score"]
+    got = read(spark, path, sep=",")
+    assert got.columns[1] == "Name" and got.count() == 3
+    assert read(spark, path, sep=",", nrows=1).count() == 1
+
+
+def test_a_row_cap_reads_no_further(spark, write, rows, monkeypatch):
+    text = 'Name,N\n"a\nb",1\n\n' + "".join(f"x{i},{i}\n" for i in range(200_000))
+    file = Counting(text.encode())
+    monkeypatch.setattr(firstbytes, "files_of", lambda spark, paths: FakeFiles())
+    monkeypatch.setattr(firstbytes, "opened", lambda name: file)
+    monkeypatch.setattr(firstbytes, "ship_package", lambda spark: None)
+    got = firstbytes.capped_lines(spark, ["f"], ",", 101).collect
+    lines = [v for b in got() for v in b.column("value").to_pylist()]
+    assert len(lines) == 103 and lines[:3] == [b"Name,N", b'"a', b'b",1'] and file.asked == firstbytes.RANGE
+
+
+class FakeFiles:
+    """Stands for a listing of one file; runs the task's function here, where reads can be counted."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, read, schema):
+        self.read = read
+        return self
+
+    def withColumn(self, name, value):
+        return self
+
+    def collect(self):
+        return list(self.read([pa.RecordBatch.from_pydict({"file": ["f"]})]))
+
+
+def test_caps_count_records(spark, write, rows):
+    paths = [write("a.csv", 'Name,N\n"a\nb",1\n\n' + "".join(f"x{i},{i}\n" for i in range(500))), write("b.csv", "Name,N\nz,9\n")]
+    assert rows(read(spark, paths, nrows=3)) == [(0, "a\nb", 1), (1, "x0", 0), (2, "x1", 1), (3, "z", 9)]
+    assert rows(read(spark, paths, nrows=2, header_row="auto"), "Name") == [("a\nb",), ("x0",), ("z",)]
+
+
+def test_headers_over_several_lines(spark, write, rows):
+    path = write("h.csv", '"a title\nover lines",x\n"Na\nme",Age\nq,1\n')
+    assert read(spark, path, header_row=1).columns == [ROW_ID, "Na\nme", "Age"]
+
+
+def test_jobs_do_not_grow_with_schemas(spark, write):
+    """As many jobs for twelve files of three schemas as for twelve of as many schemas."""
+
+    def jobs(paths, group):
+        spark.sparkContext.setJobGroup(group, group)
+        report, tables = intake.bulk_intake(spark, paths)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), report, tables
+
+    one, *_ = jobs([write(f"t{i}.csv", PLAIN.replace("Age", f"Age{i % 3}")) for i in range(12)], "three-schemas")
+    many, report, tables = jobs([write(f"s{i}.csv", PLAIN.replace("Age", f"Age{i}")) for i in range(12)], "twelve-schemas")
+    assert report.count() == len(tables) == 12
+    assert many <= one + 1
 
 
 def test_a_quote_that_stays_open_is_an_error(spark, write):
@@ -119,15 +266,25 @@ def test_header_behind_many_blank_lines(spark, write):
         read(spark, write("d.csv", PLAIN), header_row=9)
 
 
-def test_sixteen_bit_files(spark, write, rows):
-    path = write("w.csv", PLAIN.encode("utf-16"))
+@pytest.mark.parametrize("codec", ["utf-16-le", "utf-16-be"])
+def test_sixteen_bit_files(spark, write, rows, codec):
+    text = PLAIN + '"上海\nĊ",1,2\n'
+    path = write("w.csv", ("\ufeff" + text).encode(codec))
     assert tuple(intake.file_encoding(spark, [path]).select("has_bom", "is_utf8", "encoding").first()) == (True, False, "utf-16")
-    with pytest.raises(ValueError, match="UTF-16"):
-        read(spark, path)
-
-
-def test_head_lines_are_cut_in_each_task(spark, write):
-    assert "WindowGroupLimit" in plan_of(intake.head_lines(spark, [write("a.csv", PLAIN)]))
+    assert rows(read(spark, path)) == rows(read(spark, write("n.csv", text)))
+    both = intake.read_delimited(spark, [write("a.csv", PLAIN), path]).table
+    assert both.count() == 7 and both.columns == [ROW_ID, "Name", "Age", "Score"]
+    assert rows(read(spark, write("u.csv", PLAIN.encode(codec)), encoding=codec)) == rows(read(spark, write("a.csv", PLAIN)))
+
+
+def test_head_lines_are_cut_in_each_task(spark, write, monkeypatch):
+    """Where only Spark can open the files."""
+    paths = [write("a.csv", PLAIN), write("b.csv", "Report\n\n" + PLAIN)]
+    expected = intake.header_rows(spark, paths).drop("mark").collect()
+    monkeypatch.setattr(intake.firstbytes, "can_open", lambda paths: False)
+    assert "WindowGroupLimit" in plan_of(intake.head_lines(spark, paths))
+    assert sorted(intake.header_rows(spark, paths).drop("mark").collect()) == sorted(expected)
+    assert intake.file_encoding(spark, paths).where("encoding <> 'utf-8'").count() == 0
 
 
 def test_profiles_of_all_groups(spark, write, rows):
