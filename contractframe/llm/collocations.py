@@ -9,10 +9,12 @@ nowhere else. Equal chunks are one row of the dictionary with their number of oc
 passage is cut up once, and its phrases are counted with that weight.
 
 Counting goes level by level, as a phrase is never more frequent than its parts: words with their texts; then pairs of
-frequent words by 64-bit keys alone; then, with their texts, phrases of two to five words all of whose pairs have a
-frequent key. Which words and pairs are frequent goes to the tasks as bit maps of a fixed size: a false hit
-costs a row that the final count by text drops; nothing frequent is ever missed. Maps too small for a corpus only make
-more rows. Every count is by the texts of phrases, so keys that collide change nothing.
+frequent words by 64-bit keys alone; then triples of words whose pairs have a frequent key, likewise; then, with their
+texts, phrases of two to five words all of whose pairs and triples have one. What is frequent goes to the tasks as bit
+maps of a fixed size: a false hit costs a row that the final count by text drops; nothing frequent is ever missed. Maps
+too small for a corpus only make more rows. Every count is by the texts of phrases, so keys that collide change nothing.
+A block of chunks is one array of bytes: words are ranges of it, hashed by prefix sums, and only phrases that
+leave the task become texts.
 
 Scores are exact: decimals of 38 digits, good for 10 ** 16 words per language. A candidate inside a longer one that is
 as frequent is dropped; if any longer candidate is, then one that is longer by a word is.
@@ -28,17 +30,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contractframe.llm.common import batches, discard, ground, materialize, ship_package, slices
-from contractframe.llm.words import HIGH, LOW, mixed, rolling, word_hashes
+from contractframe.llm.words import HIGH, LOW, RangeHash, mixed, rolling
 
 LONGEST = 5
 OVERLAP = LONGEST - 1  # words of a trigger: a longest phrase that starts before it ends inside it
 TRIGGER = 16  # one place in so many starts a chunk
-FILTER_BITS = 26  # two bit maps of 2 ** 26 bits, 8 MB each
-_BLOCK, _ROWS = 1 << 20, 100_000
+FILTER_BITS = 26  # three bit maps of 2 ** 26 bits, 8 MB each
+_BLOCK, _ROWS = 1 << 20, 200_000
 
 #: What ends a piece; words end at these or at spaces and tabs.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -46,6 +49,18 @@ _MARK = b"\xff"  # in no UTF-8 text
 _TABLE = bytes.maketrans(_ENDS + bytes(range(65, 91)), _MARK * len(_ENDS) + bytes(range(97, 123)))
 
 
+# -- words as ranges of bytes --------------------------------------------------------------
+
+_SPACE = 32
+#: Random values of bytes, one row for each of two independent hashes.
+_BYTES = mixed(np.arange(1, 513, dtype="uint64") * LOW).reshape(2, 256)
+
+
+def _ranges(data: np.ndarray, first: np.ndarray, length: np.ndarray, lane: int) -> np.ndarray:
+    """A hash of every range of bytes."""
+    return mixed(RangeHash(_BYTES[lane][data], LOW if lane else HIGH).of(first, length) + length.astype("uint64"))
+
+
 # -- the parse ---------------------------------------------------------------------------
 
 
@@ -70,34 +85,30 @@ def _blocks(texts: list[str | None]) -> Iterator[bytes]:
         yield _MARK.join(held)
 
 
-def _marked(words: list[bytes]):
-    """Hashes of the words, and which are marks."""
-    low, high = word_hashes(words)
-    return low, high, low == word_hashes([_MARK])[0][0]
-
-
 def chunks_of(block: bytes) -> Counter:
     """(chunk, closed by a trigger) -> occurrences."""
-    words = [*block.replace(_MARK, b" \xff ").split(), _MARK]
-    low, _, mark = _marked(words)
-    n = len(words)
+    text = b" ".join([*block.replace(_MARK, b" \xff ").split(), _MARK])
+    data = np.frombuffer(text, "uint8")
+    ends = np.append(np.flatnonzero(data == _SPACE), len(data))
+    first = np.concatenate([[0], ends[:-1] + 1])
+    mark = data[first] == 0xFF
+    hashes = _ranges(data, first, ends - first, 0)
+    n = len(first)
     before = np.concatenate([[0], np.cumsum(mark)])  # marks before each place
-    begins = np.zeros(n + 1, bool)
-    begins[0], begins[1:] = True, mark
-    begins = begins[:n] & ~mark  # first words of pieces
+    begins = np.concatenate([[True], mark[:-1]]) & ~mark  # first words of pieces
     trigger = np.zeros(n, bool)
     if n > OVERLAP:
-        keys = mixed(rolling(low, OVERLAP, LOW)) % np.uint64(TRIGGER) == 0
+        keys = mixed(rolling(hashes, OVERLAP, LOW)) % np.uint64(TRIGGER) == 0
         trigger[: len(keys)] = keys & (before[OVERLAP:][: len(keys)] == before[: len(keys)])
     starts = np.flatnonzero(begins | trigger)
     if not len(starts):
         return Counter()
-    ends = np.flatnonzero(mark)
-    piece_end = ends[np.searchsorted(ends, starts)]
+    marks = np.flatnonzero(mark)
+    piece_end = marks[np.searchsorted(marks, starts)]
     following = np.append(starts[1:], n)
     closed = following < piece_end
-    stops = np.where(closed, following + OVERLAP, piece_end)
-    return Counter((b" ".join(words[a:b]), c) for a, b, c in zip(starts.tolist(), stops.tolist(), closed.tolist()))
+    stops = ends[np.where(closed, following + OVERLAP, piece_end) - 1]
+    return Counter((text[a:b], c) for a, b, c in zip(first[starts].tolist(), stops.tolist(), closed.tolist()))
 
 
 def chunk_dictionary(docs: DataFrame) -> DataFrame:
@@ -164,18 +175,26 @@ def _bit_map(keys: DataFrame, bits: int):
 class Block:
     """Chunks of a dictionary side by side, with what is needed to count their phrases."""
 
-    def __init__(self, langs: list[str], chunks: list[bytes], closed: np.ndarray, n: np.ndarray):
-        self.words = [*b" \xff ".join(chunks).split(), _MARK] if chunks else []
-        self.low, self.high, self.mark = _marked(self.words) if chunks else (np.zeros(0, "uint64"),) * 3
-        ends = np.flatnonzero(self.mark)
-        lengths = np.diff(ends, prepend=-1)
-        self.end = np.repeat(ends, lengths)
-        place = np.arange(len(self.words))
-        self.own = place < self.end - OVERLAP * np.repeat(closed, lengths)
-        self.weight = np.repeat(n, lengths)
-        names, code = np.unique(np.array(langs, object), return_inverse=True)
-        self.names, self.lang = names, np.repeat(code, lengths)
-        self.salt = word_hashes([str(x).encode() for x in names])[0][self.lang] if chunks else np.zeros(0, "uint64")
+    def __init__(self, langs: pa.Array, chunks: pa.Array, closed: np.ndarray, n: np.ndarray):
+        offsets = np.frombuffer(chunks.buffers()[1], "int32")[chunks.offset : chunks.offset + len(chunks) + 1].astype("int64")
+        raw = chunks.buffers()[2]
+        self.text = memoryview(raw)[offsets[0] : offsets[-1]] if raw else memoryview(b"")
+        offsets = offsets - offsets[0]
+        data = np.frombuffer(self.text, "uint8")
+        space = np.flatnonzero(data == _SPACE)
+        # Chunks have single spaces between their words and none at their ends.
+        self.first = np.sort(np.concatenate([offsets[:-1], space + 1]))
+        self.stop = np.sort(np.concatenate([offsets[1:], space]))
+        count = np.diff(np.searchsorted(self.first, offsets[:-1]), append=len(self.first))
+        self.end = np.repeat(np.cumsum(count), count)  # place behind the chunk's last word
+        place = np.arange(len(self.first))
+        self.own = place < self.end - OVERLAP * np.repeat(closed, count)
+        self.weight = np.repeat(n, count)
+        length = self.stop - self.first
+        self.low, self.high = _ranges(data, self.first, length, 0), _ranges(data, self.first, length, 1)
+        coded = langs.dictionary_encode()
+        self.names, self.lang = coded.dictionary, np.repeat(coded.indices.to_numpy(), count)
+        self.salt = lang_salts(self.names.to_pylist())[self.lang]
 
     def keys(self, size: int) -> np.ndarray:
         """A key of language and words for every run of ``size`` words."""
@@ -183,40 +202,53 @@ class Block:
 
     def inside(self, size: int) -> np.ndarray:
         """Runs of ``size`` words that end inside their chunk."""
-        n = max(0, len(self.words) - size + 1)
+        n = max(0, len(self.first) - size + 1)
         return np.arange(size, size + n) <= self.end[:n]
 
-    def pairs(self, words: BitMap) -> tuple[np.ndarray, np.ndarray]:
-        """Keys and counts of pairs of words that may both be frequent."""
-        good = words.holds(self.keys(1)) & self.inside(1)
-        at = np.flatnonzero(self.inside(2) & self.own[: len(good) - 1] & good[:-1] & good[1:]) if len(good) else np.zeros(0, "int64")
-        return _summed(self.keys(2)[at], self.weight[at])[:2]
-
-    def phrases(self, size: int, pairs: np.ndarray | None) -> dict:
-        """Phrases of ``size`` words, all of whose pairs are marked, as columns."""
-        good = self.inside(size) & self.own[: max(0, len(self.words) - size + 1)]
-        for i in range(size - 1) if pairs is not None else ():
-            good &= pairs[i : i + len(good)]
-        at = np.flatnonzero(good)
+    def all_parts(self, good: np.ndarray, parts: int, size: int) -> np.ndarray:
+        """Runs of ``size`` words all of whose runs of ``parts`` words are good."""
+        n, out = max(0, len(self.first) - size + 1), None
+        for i in range(size - parts + 1):
+            here = good[i : i + n]
+            out = here if out is None else out & here
+        return out
+
+    def counted(self, size: int, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and counts of the good runs that start among a chunk's own words."""
+        at = np.flatnonzero(good & self.own[: len(good)])
+        return _summed(self.keys(size)[at], self.weight[at])[:2]
+
+    def phrases(self, size: int, good: np.ndarray | None = None) -> dict:
+        """The good phrases of ``size`` words, and how often they occur, as columns."""
+        good = self.inside(size) if good is None else good
+        at = np.flatnonzero(good & self.own[: len(good)])
         keys, counts, first = _summed(self.keys(size)[at], self.weight[at])
         other = rolling(self.high, size, HIGH)
         # Keys of 64 bits that stand for two phrases here: count such a block place by place.
         if len(at) and (other[at] != other[at[first[0]]][first[1]]).any():
-            keys, counts, places = self.keys(size)[at], self.weight[at], at
+            counts, places = self.weight[at], at
         else:
             places = at[first[0]] if len(at) else at
-        words = self.words
-        texts = [b" ".join(words[i : i + size]) for i in places.tolist()]
-        langs = pa.array([str(x) for x in self.names], pa.string())
+        begin, end = self.first[places], self.stop[places + size - 1]
+        text = self.text
+        texts = [bytes(text[a:b]) for a, b in zip(begin.tolist(), end.tolist())]
         return {
-            "lang": (langs.take(pa.array(self.lang[places])) if len(self.names) else pa.array([], pa.string()), None),
+            "lang": (self.names.take(pa.array(self.lang[places])), None),
             "phrase": (pa.array(texts, pa.binary()).cast(pa.string()), None),
-            "words": (np.full(len(texts), size, "int32"), None),
-            "key": (keys.view("int64"), None),
             "n": (counts, pa.int64()),
         }
 
 
+def lang_salts(names: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(name) for name in names] or [0], "uint64")
+
+
+def phrase_keys(langs: pa.Array, phrases: pa.Array) -> np.ndarray:
+    """The keys of single words, as a block gives them."""
+    block = Block(langs, phrases, np.zeros(len(phrases), bool), np.ones(len(phrases), "int64"))
+    return block.keys(1)
+
+
 def _summed(keys: np.ndarray, weights: np.ndarray):
     """Distinct keys, their summed weights, and (first place of each, key number of each place)."""
     if not len(keys):
@@ -231,23 +263,23 @@ def _dictionary_blocks(data: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     held, rows, size = [], 0, 0
 
     def block():
-        table = pa.Table.from_batches(held)
-        column = lambda name: table.column(name).to_numpy()
-        return Block(table.column("lang").to_pylist(), table.column("chunk").cast(pa.binary()).to_pylist(), column("closed"), column("n"))
-
-    for whole in data:
-        for batch in slices(whole, "chunk", 8 * _BLOCK):
-            held.append(batch)
-            rows += batch.num_rows
-            size += batch.nbytes
-            if rows >= _ROWS or size >= 8 * _BLOCK:
-                yield block()
-                held, rows, size = [], 0, 0
+        table = pa.Table.from_batches(held).combine_chunks()
+        one = lambda name: table.column(name).combine_chunks()
+        whole = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in (one("lang"), one("chunk"), one("closed"), one("n"))]
+        return Block(whole[0].cast(pa.string()), whole[1].cast(pa.string()), whole[2].to_numpy(zero_copy_only=False), whole[3].to_numpy())
+
+    for batch in data:
+        held.append(batch)
+        rows += batch.num_rows
+        size += batch.nbytes
+        if rows >= _ROWS or size >= 8 * _BLOCK:
+            yield block()
+            held, rows, size = [], 0, 0
     if rows:
         yield block()
 
 
-_PHRASES = "lang string, phrase string, words int, key bigint, n bigint"
+_PHRASES, _KEYS = "lang string, phrase string, n bigint", "key bigint, n bigint"
 
 
 def phrase_counts(dictionary: DataFrame, min_count: int, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
@@ -255,35 +287,54 @@ def phrase_counts(dictionary: DataFrame, min_count: int, filter_bits: int = FILT
 
     def count_words(data):
         for block in _dictionary_blocks(data):
-            yield from _pieces(block.phrases(1, None))
+            yield from _pieces(block.phrases(1))
+
+    def word_keys(data):
+        for batch in data:
+            if batch.num_rows:
+                keys = phrase_keys(batch.column("lang").cast(pa.string()), batch.column("phrase").cast(pa.string()))
+                yield batches({"key": (keys.view("int64"), None)})
+
+    def keyed(block, size, good):
+        keys, counts = block.counted(size, good)
+        yield from _pieces({"key": (keys.view("int64"), None), "n": (counts, pa.int64())})
 
     def count_pairs(data):
         words = BitMap(frequent_words.value)
         for block in _dictionary_blocks(data):
-            keys, counts = block.pairs(words)
-            yield from _pieces({"key": (keys.view("int64"), None), "n": (counts, pa.int64())})
+            good = words.holds(block.keys(1))
+            yield from keyed(block, 2, block.inside(2) & block.all_parts(good, 1, 2))
 
-    def count_phrases(data):
+    def count_triples(data):
         pairs = BitMap(frequent_pairs.value)
         for block in _dictionary_blocks(data):
             good = pairs.holds(block.keys(2)) & block.inside(2)
-            good = np.concatenate([good, np.zeros(LONGEST, bool)])
-            for size in range(2, LONGEST + 1):
-                yield from _pieces(block.phrases(size, good))
+            yield from keyed(block, 3, block.inside(3) & block.all_parts(good, 2, 3))
+
+    def count_phrases(data):
+        pairs, triples = BitMap(frequent_pairs.value), BitMap(frequent_triples.value)
+        for block in _dictionary_blocks(data):
+            good = pairs.holds(block.keys(2)) & block.inside(2)
+            yield from _pieces(block.phrases(2, good))
+            good = block.inside(3) & block.all_parts(good, 2, 3)
+            good[good] = triples.holds(block.keys(3)[good])
+            for size in range(3, LONGEST + 1):
+                yield from _pieces(block.phrases(size, block.inside(size) & block.all_parts(good, 3, size)))
 
-    by_text = ["lang", "phrase", "words", "key"]
     often = F.col("n") >= min_count
-    words = materialize(dictionary.mapInArrow(count_words, _PHRASES).groupBy(*by_text).agg(F.sum("n").alias("n")), "word-counts")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n_words"))
-    frequent_words = _bit_map(words.where(often), filter_bits)
-    pairs = dictionary.mapInArrow(count_pairs, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-    frequent_pairs = _bit_map(pairs.where(often), filter_bits)
-    phrases = dictionary.mapInArrow(count_phrases, _PHRASES).groupBy(*by_text).agg(F.sum("n").alias("n"))
-    counts = materialize(words.unionByName(phrases).where(often).drop("key"), "phrase-counts")
-    totals = materialize(totals, "words-per-language")
-    discard(words)
-    frequent_words.destroy()
-    frequent_pairs.destroy()
+    total = lambda rows, *by: rows.groupBy(*by).agg(F.sum("n").alias("n"))
+    all_words = materialize(total(dictionary.mapInArrow(count_words, _PHRASES), "lang", "phrase"), "word-counts")
+    totals = materialize(all_words.groupBy("lang").agg(F.sum("n").alias("n_words")), "words-per-language")
+    words = all_words.where(often)
+    frequent_words = _bit_map(words.select("lang", "phrase").mapInArrow(word_keys, "key bigint"), filter_bits)
+    frequent_pairs = _bit_map(total(dictionary.mapInArrow(count_pairs, _KEYS), "key").where(often), filter_bits)
+    frequent_triples = _bit_map(total(dictionary.mapInArrow(count_triples, _KEYS), "key").where(often), filter_bits)
+    phrases = total(dictionary.mapInArrow(count_phrases, _PHRASES), "lang", "phrase").where(often)
+    counts = words.unionByName(phrases).withColumn("words", F.size(F.split("phrase", " ")))
+    counts = materialize(counts, "phrase-counts")
+    discard(all_words)
+    for sent in (frequent_words, frequent_pairs, frequent_triples):
+        sent.destroy()
     return totals, counts
 
 

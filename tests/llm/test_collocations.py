@@ -5,12 +5,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from contractframe.llm import collocations
-from contractframe.llm.words import word_hashes
 
 SCHEMA = "doc_id bigint, text string, lang string, n bigint, phrase string"
 
@@ -94,16 +94,22 @@ def test_no_chunk_goes_on_past_its_trigger():
     assert not any(other != c and other.startswith(c + b" ") for c in closed for other in chunks)
 
 
-def test_keys_that_collide(spark, texts, monkeypatch):
+def test_keys_that_collide(monkeypatch):
     """With one key for all phrases the counts by text still stand."""
     monkeypatch.setattr(collocations.Block, "keys", lambda self, size: np.zeros(max(0, len(self.low) - size + 1), "uint64"))
-    block = collocations.Block(["en", "en"], [b"a b c", b"c a b"], np.array([False, False]), np.array([2, 5]))
-    rows = block.phrases(2, None)
+    block = collocations.Block(pa.array(["en", "en"]), pa.array(["a b c", "c a b"]), np.array([False, False]), np.array([2, 5]))
+    rows = block.phrases(2)
     got = Counter()
     for phrase, n in zip(rows["phrase"][0].to_pylist(), rows["n"][0]):
         got[phrase] += int(n)
     assert got == {"a b": 7, "b c": 2, "c a": 5}
-    assert word_hashes([b"a"]).shape == (2, 1)
+
+
+def test_keys_of_words_are_those_of_blocks():
+    block = collocations.Block(pa.array(["x", "de", "en"])[1:], pa.array(["q q", "ä bc d", "e"])[1:], np.array([False, False]), np.array([1, 1]))
+    langs, words = pa.array(["de", "de", "de", "en"]), pa.array(["ä", "bc", "d", "e"])
+    assert block.keys(1).tolist() == collocations.phrase_keys(langs, words).tolist()
+    assert len(set(block.keys(1).tolist())) == 4 and block.inside(2).tolist() == [True, True, False]
 
 
 def test_no_documents(spark):
