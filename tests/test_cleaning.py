@@ -6,6 +6,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from contractframe.contract import Contract, Field
+from contractframe.functions import similarity
 from contractframe.functions.similarity import TextBatch
 from contractframe.operators import cleaning, neardup
 from contractframe.storage import discard, materialize, with_rank, with_row_id
@@ -144,6 +145,35 @@ def test_many_distinct_characters():
     assert (batch.similarity(a, b) == [ratio(texts[i], texts[j]) for i, j in zip(a, b)]).all()
 
 
+@pytest.mark.parametrize("words", [0, 2, 24])
+def test_long_texts_against_plain_dynamic_programming(monkeypatch, words):
+    """Words with carries, long integers in a band, and the leaving of pairs that cannot reach the cutoff."""
+    monkeypatch.setattr(similarity, "_WORDS", words)
+    pick = random.Random(4)
+
+    def noisy(text, share):
+        out = list(text)
+        for _ in range(int(len(text) * share) + 1):
+            at = pick.randrange(len(out) + 1)
+            out[at:at] = pick.choice("abcdé日")
+            if out and pick.random() < 0.5:
+                out.pop(pick.randrange(len(out)))
+        return "".join(out)
+
+    base = ["".join(pick.choices("abcdefgh é", k=n)) for n in (0, 63, 64, 65, 127, 128, 129, 300, 700, 1100)]
+    texts = base + [noisy(t, share) for t in base for share in (0.02, 0.1, 0.16, 0.3)] + ["a" * 900, "a" * 1000, "ab" * 450]
+    batch = TextBatch(texts)
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if abs(len(texts[i]) - len(texts[j])) < 250]
+    a, b = np.array(pairs).T
+    exact = np.array([ratio(texts[i], texts[j]) for i, j in pairs])
+    assert (batch.similarity(a, b) == exact).all()
+    for cutoff in (50.0, 70.0, 85.0, 95.0):
+        hit = exact >= cutoff
+        cut = batch.similarity(a, b, cutoff)
+        assert (cut[hit] == exact[hit]).all() and (cut[~hit] < cutoff).all()
+        assert batch.possible(a, b, cutoff)[hit].all()
+
+
 # -- near duplicates ------------------------------------------------------------------
 
 
@@ -201,6 +231,20 @@ def test_near_duplicates_against_brute_force(spark, rows, window, chunk, partiti
         spark.conf.set("spark.sql.shuffle.partitions", 8)
 
 
+def test_chunks_of_long_texts_are_cut(spark, rows, monkeypatch):
+    """A few bytes make a chunk: parts of any size give the same pairs."""
+    pick = random.Random(11)
+    words = ["alpha", "beta", "gamma", "delta"]
+    records = [{"_row_id": i, "name": " ".join(pick.choices(words, k=pick.choice([2, 3, 60])))} for i in range(150)]
+    df = spark.createDataFrame([(r["_row_id"], r["name"]) for r in records], "_row_id bigint, name string")
+    want = rows(neardup.near_duplicates(df, ["name"], 80.0, 20, 64))
+    monkeypatch.setattr(neardup, "CHUNK_BYTES", 300)
+    got = neardup.near_duplicates(df, ["name"], 80.0, 20, 64)
+    assert rows(got) == want and len(want) > 20
+    scored = expected_pairs(records, ["name"], 80.0, 20)
+    assert {(r["row_a"], r["row_b"]) for r in got.collect()} == {(a, b) for _, _, a, b, _ in scored}
+
+
 def test_near_duplicate_plan_has_no_single_task_and_no_pair_join(spark):
     df = spark.range(3000).select(F.col("id").alias("_row_id"), F.col("id").cast("string").alias("t"))
     plan = plan_of(neardup.near_duplicates(df, ["t"]))
