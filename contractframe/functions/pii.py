@@ -60,12 +60,34 @@ def classify_or_name(c: Column) -> Column:
     return F.coalesce(classify_pii(c), F.when(is_person_name(c), F.lit("person_name")))
 
 
+# ASCII marks that no finding holds and that no word holds either.
+_BREAKS = r"""!"#$%&'()*,/:;<=>?\[\\\]^`{|}~"""
+
+#: A stretch between two such marks that holds a digit or an @; tried at its beginning only.
+_STRETCH = rf"(?<![^{_BREAKS}])[^{_BREAKS}\p{{Nd}}@]*+[\p{{Nd}}@][^{_BREAKS}]*+"
+
+
+def _stretches(c: Column) -> Column:
+    """What of a text can hold personal data, a mark between the stretches: the same findings, in the same order.
+
+    Every finding holds a digit or an @ and none of the marks, and a mark bounds words as a text's end does.
+    """
+    return F.array_join(F.regexp_extract_all(c, F.lit(_STRETCH), F.lit(0)), ",")
+
+
 def _tagged(name: str):
     return lambda m: F.struct(F.lit(name).alias("pii_type"), m.alias("match"))
 
 
 def find_pii(c: Column) -> Column:
-    """All personal data inside a text: array of (pii_type, match), by class then position."""
+    """All personal data inside a text: array of (pii_type, match), by class then position.
+
+    One scan keeps the stretches that can hold any; the patterns of the classes see nothing else.
+    """
+    return F.transform(F.array(_stretches(c)), _find)[0]  # one element: the stretches are cut once for all classes
+
+
+def _find(c: Column) -> Column:
     # Cheap tests that every match of a class passes spare most texts its costly scan.
     digits = c.rlike(r"(?U)\d{3}")
     lowered = F.lower(c)

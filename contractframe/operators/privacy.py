@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from contractframe.contract import Contract
 from contractframe.functions.pii import classify_pii, find_pii, masked, pii_in_values, redact_text
 from contractframe.functions.text import is_formula, strip_text
+from contractframe.sources import firstbytes, textfiles
 from contractframe.storage import ROW_ID, evaluated_once, named
 
 FINDINGS = "location string, pii_type string, value string"
@@ -84,8 +85,8 @@ def _in_part(part: str):
     )
 
 
-def dictionary_pii_scan(fields: DataFrame) -> DataFrame:
-    """Personal data in notes and enumerated values of shareable fields: (dataset, location, pii_type, value)."""
+def _in_dictionary():
+    """Findings in the notes and enumerated values of a dictionary row."""
     whole = lambda v: F.struct(classify_pii(v).alias("pii_type"), v.alias("match"))
     in_values = F.flatten(
         F.transform(
@@ -93,15 +94,14 @@ def dictionary_pii_scan(fields: DataFrame) -> DataFrame:
             lambda v: F.when(classify_pii(v).isNotNull(), F.array(whole(v))).otherwise(find_pii(v)),
         )
     )
-    parts = []
-    for part, found in (
-        ("notes", find_pii(F.col("notes"))),
-        ("community_notes", find_pii(F.col("community_notes"))),
-        ("allowed_values", in_values),
-    ):
-        parts.append(F.transform(found, _in_part(part)))
+    parts = (("notes", find_pii(F.col("notes"))), ("community_notes", find_pii(F.col("community_notes"))), ("allowed_values", in_values))
+    return F.concat(*[F.transform(found, _in_part(part)) for part, found in parts])
+
+
+def dictionary_pii_scan(fields: DataFrame) -> DataFrame:
+    """Personal data in notes and enumerated values of shareable fields: (dataset, location, pii_type, value)."""
     return (
-        evaluated_once(fields.where("shareable"), "_found", F.concat(*parts))
+        evaluated_once(fields.where("shareable"), "_found", _in_dictionary())
         .select("dataset", "field_name", F.inline("_found"))
         .select("dataset", F.concat_ws(".", F.lit("field"), "field_name", "part").alias("location"), "pii_type", "value")
     )
@@ -138,14 +138,25 @@ def share_safe_table(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def scan_text_files(spark: SparkSession, root: str, glob: str = "*.{md,yaml,yml}") -> DataFrame:
-    """Personal data in all text files under a folder: (location, pii_type, preview), values masked."""
-    texts = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .text(root, wholetext=True)
-        .select("value", F.col("_metadata.file_path").alias("location"))
-    )
-    found = evaluated_once(texts, "_found", find_pii(F.col("value")))
-    return found.select("location", F.inline("_found")).select(
-        "location", "pii_type", masked(F.col("match")).alias("preview")
+    """Personal data in all text files under a folder: (location, pii_type, preview), values masked.
+
+    Files are read in pieces cut where no finding can go on, so a file may have any
+    length.  A YAML file that is a contract is scanned as a dictionary: its notes and
+    enumerated values, without fields that may not be shared; any other as text.
+    """
+    if firstbytes.can_open([root]):
+        rows = textfiles.text_pieces(spark, root, glob)
+    else:  # a file system for Spark alone: a file is one row, and contracts are texts
+        texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
+        rows = texts.selectExpr(
+            "_metadata.file_path AS file", "lower(_metadata.file_path) RLIKE '[.]ya?ml$' AS yaml", "value", "CAST(NULL AS string) AS field_name",
+            "CAST(NULL AS string) AS notes", "CAST(NULL AS string) AS community_notes", "CAST(NULL AS boolean) AS shareable",
+            "CAST(NULL AS array<string>) AS allowed_values", "CAST(NULL AS string) AS dataset",
+        )
+    field = F.col("field_name").isNotNull()
+    found = F.when(field, F.when(F.col("shareable"), _in_dictionary())).otherwise(
+        F.transform(find_pii(F.col("value")), _in_part("freetext"))
     )
+    place = F.when(field, F.concat_ws(".", F.lit("field"), "field_name", "part")).when(F.col("yaml"), F.col("part"))
+    found = evaluated_once(rows, "_found", found).select("file", "yaml", "field_name", F.inline("_found"))
+    return found.select(F.concat_ws(":", "file", place).alias("location"), "pii_type", masked(F.col("value")).alias("preview"))

@@ -1,9 +1,14 @@
+import io
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from contractframe.contract import Contract, Field, contract_from_dict
 from contractframe.functions import pii, text
 from contractframe.operators import privacy
+from contractframe.sources import textfiles as files
 
 
 def one(spark, fn, value):
@@ -40,6 +45,20 @@ def test_non_ascii_digits_count_as_digits(spark):
     assert found(spark, "١٢٣-٤٥-٦٧٨٩") == [("ssn", "١٢٣-٤٥-٦٧٨٩")]
 
 
+def test_stretches_lose_no_finding(spark):
+    """The patterns on stretches give what they give on whole texts, whatever the marks and letters around."""
+    deal = random.Random(12)
+    parts = ["123-45-6789", "4111 1111 1111 1111", "4111-1111\n1111 1111", "555-123-4567", "+555.123.4567", "a.b+c@d-e.co.uk", "x@y.zz", "card", "CARD in", "ending",
+             "last 4", "la\u017ft  4", "in", "4122", "12", "\u0661\u0662\u0663-\u0664\u0665-\u0666\u0667\u0668\u0669", "é", "\u0301", "_", "ß", " ", " ", "\n", "\t", "\xa0", ".", "-", "+", "@",
+             *"!\"#$%&'()*,/:;<=>?[\\]^`{|}~", "…", "日本"]
+    texts = ["".join(deal.choices(parts, k=deal.randrange(12))) for _ in range(4000)] + ["word " * 50_000 + "call 555-123-4567", "9" * 200_000]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", pii.find_pii(F.col("t")).alias("new"), pii._find(F.col("t")).alias("old")).collect()
+    assert sum(bool(r["old"]) for r in got) > 1000
+    for r in got:
+        assert r["new"] == r["old"], r["t"][:200]
+
+
 def test_text_redaction(spark):
     assert one(spark, pii.redact_text, "ask jane@example.com, Card ending 4122") == "ask [REDACTED_EMAIL], Card [REDACTED_PARTIAL_CARD]"
     assert one(spark, pii.redact_text, "clean") == "clean"
@@ -128,6 +147,52 @@ def test_scan_text_files(spark, tmp_path):
     (tmp_path / "a").mkdir()
     (tmp_path / "a" / "x.md").write_text("write jane@example.com")
     (tmp_path / "a" / "y.yaml").write_text("clean: yes")
+    (tmp_path / "a" / "list.yml").write_text("- ask jane@example.com\n- : broken")
     (tmp_path / "z.txt").write_text("b@c.de")
     got = privacy.scan_text_files(spark, str(tmp_path)).collect()
-    assert [(r["location"].endswith("/a/x.md"), r["pii_type"], r["preview"]) for r in got] == [(True, "email", "jan...")]
+    found = sorted((r["location"].split("/a/")[1], r["pii_type"], r["preview"]) for r in got)
+    assert found == [("list.yml:freetext", "email", "jan..."), ("x.md", "email", "jan...")]
+
+
+CONTRACT = """
+dataset: {name: people}
+fields:
+  - {name: contact, notes: "ask jane@example.com", allowed_values: [a@b.co, plain, 5]}
+  - {name: secret, notes: "123-45-6789", shareable: false}
+  - {name: kind, notes: null, community_notes: "card ending in 4122"}
+  - {name: total, transformation: "a + b", notes: "call 555-123-4567"}
+"""
+
+
+def test_contracts_among_the_files(spark, tmp_path):
+    """Their fields are scanned as a dictionary; what may not be shared is skipped."""
+    (tmp_path / "c.yaml").write_text(CONTRACT)
+    (tmp_path / "d.yml").write_bytes(CONTRACT.encode() + b"# \xff written by bob@example.com\n")
+    got = privacy.scan_text_files(spark, str(tmp_path)).collect()
+    found = sorted((r["location"].rsplit("/", 1)[1], r["pii_type"], r["preview"]) for r in got)
+    assert [f for f in found if f[0].startswith("c.")] == [
+        ("c.yaml:field.contact.allowed_values", "email", "..."), ("c.yaml:field.contact.notes", "email", "jan..."),
+        ("c.yaml:field.kind.community_notes", "partial_card", "end..."),
+    ]
+    assert {f[0] for f in found if f[0].startswith("d.")} == {"d.yml:freetext"}  # not UTF-8, hence no contract
+
+
+@pytest.mark.parametrize("size", [40, 200, 1 << 20])
+def test_long_files_are_scanned_in_pieces(spark, tmp_path, monkeypatch, size):
+    """Pieces of any size give the findings of the whole text, also of those that go on over lines."""
+    deal = random.Random(size)
+    lines = ["4111 1111", "1111", "1111 words", "card", "", "  ", "in", "4122", "x@y.zz", "555-123", "4567", "plain words.", "1234", "and 123-45-6789.", "last", "4"]
+    text = "\n".join(deal.choices(lines, k=3000))
+    (tmp_path / "long.md").write_text(text)
+    pieces = list(files.pieces(io.BytesIO(text.encode()).read, size))
+    assert "".join(pieces) == text and (size > 1000 or len(pieces) > 50)
+    monkeypatch.setattr(files, "PIECE", size)
+    whole = spark.createDataFrame([(text,)], "t string").select(F.inline(pii.find_pii(F.col("t")))).collect()
+    got = privacy.scan_text_files(spark, str(tmp_path)).collect()
+    assert Counter((r["pii_type"], r["preview"]) for r in got) == Counter((r["pii_type"], r["match"][:3] + "..." if len(r["match"]) > 6 else "...") for r in whole)
+    assert len(whole) > 300
+
+
+def test_a_piece_without_a_safe_break_ends_at_a_bound():
+    pieces = list(files.pieces(io.BytesIO(b"1234\n" * 10_000).read, 100, 1000))
+    assert "".join(pieces) == "1234\n" * 10_000 and max(map(len, pieces)) <= 1100
