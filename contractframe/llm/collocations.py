@@ -41,7 +41,7 @@ LONGEST = 5
 OVERLAP = LONGEST - 1  # words of a trigger: a longest phrase that starts before it ends inside it
 TRIGGER = 16  # one place in so many starts a chunk
 FILTER_BITS = 26  # three bit maps of 2 ** 26 bits, 8 MB each
-_BLOCK, _ROWS = 1 << 20, 200_000
+_BLOCK, _ROWS, _SLICE = 1 << 20, 100_000, 1 << 19
 
 #: What ends a piece; words end at these or at spaces and tabs.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -57,8 +57,17 @@ _BYTES = mixed(np.arange(1, 513, dtype="uint64") * LOW).reshape(2, 256)
 
 
 def _ranges(data: np.ndarray, first: np.ndarray, length: np.ndarray, lane: int) -> np.ndarray:
-    """A hash of every range of bytes."""
-    return mixed(RangeHash(_BYTES[lane][data], LOW if lane else HIGH).of(first, length) + length.astype("uint64"))
+    """A hash of every range of bytes; ranges follow each other and are worked on half a megabyte at a time."""
+    out = np.zeros(len(first), "uint64")
+    cuts = np.searchsorted(first, np.arange(_SLICE, len(data) + _SLICE, _SLICE))
+    low = 0
+    for high in np.unique(np.append(cuts, len(first))).tolist():
+        if high > low:
+            begin, end = int(first[low]), int(first[high - 1] + length[high - 1])
+            hashes = RangeHash(_BYTES[lane][data[begin:end]], LOW if lane else HIGH)
+            out[low:high] = mixed(hashes.of(first[low:high] - begin, length[low:high]) + length[low:high].astype("uint64"))
+            low = high
+    return out
 
 
 # -- the parse ---------------------------------------------------------------------------
