@@ -1,11 +1,15 @@
 """Column profiles: nulls, distinct counts, top values, ranges, lengths, freshness.
 
-Two passes whatever the number of columns: one aggregate for everything that is
-one number per column, and one frequency count for distinct and top values.
+Two passes whatever the number and types of columns: one aggregate for everything
+that is one number per column, ages included, and one frequency count for distinct
+and top values.  A third reads only the rows that hold a long text among the top values.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,8 +65,11 @@ def _time_text(c: Column) -> Column:
     return F.date_format(c, TIMESTAMP_TEXT)
 
 
-def profile_stats(df: DataFrame) -> DataFrame:
-    """Nulls, numeric and time ranges and text lengths of every column, in one aggregate."""
+def profile_stats(df: DataFrame, as_of: Column | None = None, threshold_days: float | None = None) -> DataFrame:
+    """Nulls, numeric and time ranges and text lengths of every column, in one aggregate.
+
+    With ``threshold_days`` also span, age at ``as_of`` and staleness of time columns.
+    """
     columns = profiled_columns(df)
     aggs: list[Column] = [F.count("*").alias("rows")]
     rows: list[Column] = []
@@ -72,6 +79,7 @@ def profile_stats(df: DataFrame) -> DataFrame:
         v, kind = named(c), _kind(t)
         aggs.append(F.count_if(missing(v, t)).alias(f"nulls_{i}"))
         out = dict(min=none_d, max=none_d, mean=none_d, std=none_d, first=none_s, last=none_s, lo=none_i, hi=none_i)
+        ages = [none_d.alias("span_days"), none_d.alias("staleness_days"), F.lit(None).cast("boolean").alias("is_stale")]
         if kind in ("integer", "float", "decimal", "boolean"):
             d = _as_double(v, t)
             aggs += [F.min(d).alias(f"min_{i}"), F.max(d).alias(f"max_{i}"),
@@ -83,6 +91,8 @@ def profile_stats(df: DataFrame) -> DataFrame:
         elif kind == "time":
             aggs += [F.min(v).alias(f"first_{i}"), F.max(v).alias(f"last_{i}")]
             out.update(first=_time_text(F.col(f"first_{i}")), last=_time_text(F.col(f"last_{i}")))
+            if threshold_days is not None:
+                ages = _ages(F.col(f"last_{i}"), F.col(f"first_{i}"), t, as_of, threshold_days)
         elif isinstance(t, T.StringType):
             aggs += [F.min(F.length(v)).alias(f"lo_{i}"), F.max(F.length(v)).alias(f"hi_{i}")]
             out.update(lo=F.col(f"lo_{i}").cast("bigint"), hi=F.col(f"hi_{i}").cast("bigint"))
@@ -98,6 +108,7 @@ def profile_stats(df: DataFrame) -> DataFrame:
                 out["mean"].alias("mean_value"), out["std"].alias("std_value"),
                 out["first"].alias("min_time"), out["last"].alias("max_time"),
                 out["lo"].alias("min_length"), out["hi"].alias("max_length"),
+                *(ages if threshold_days is not None else []),
             )
         )
     return _tall(df.agg(*aggs), rows, "position int, column string")
@@ -138,55 +149,41 @@ def _value_text(c: Column, kind: str, t: T.DataType) -> Column:
 def value_frequencies(df: DataFrame) -> DataFrame:
     """(column, value, digest, n, first_row) for every distinct non-null value of every column.
 
-    Columns are unpivoted per kind, so keys keep their native type; a long text
-    is keyed by its 256-bit digest with ``value`` left null.  Hot values collapse
-    before the shuffle.  Without ``_row_id``, ``first_row`` is null and texts are
-    keyed whole.
+    All columns are unpivoted in one scan, each into the slot of its native type; a
+    long text is keyed by its 256-bit digest with ``value`` left null.  Hot values
+    collapse before the one shuffle.  Without ``_row_id``, ``first_row`` is null and
+    texts are keyed whole.
     """
     columns = profiled_columns(df)
     has_id = ROW_ID in df.columns
-    kinds: dict[tuple[str, str], list[str]] = {}
+    slot_of, slots = [], {}
     for c in columns:
         t = df.schema[c].dataType
         kind = _kind(t)
-        kinds.setdefault((kind, t.simpleString() if kind in ("time", "decimal") else ""), []).append(c)
-    parts = []
-    for (kind, type_name), names in kinds.items():
-        native = {"boolean": "boolean", "integer": "bigint", "float": "double", "text": "string"}.get(kind, type_name)
-        wide = df.select(
-            (F.col(ROW_ID) if has_id else F.lit(None).cast("bigint")).alias("row"),
-            *[named(c).cast(native).alias(f"c{i}") for i, c in enumerate(names)],
-        )
-        cells = [x for i in range(len(names)) for x in (F.lit(i), F.col(f"c{i}"))]
-        tall = wide.select("row", F.stack(F.lit(len(names)), *cells).alias("k", "v"))
-        t = T.DoubleType() if kind == "float" else df.schema[names[0]].dataType
-        tall = tall.where(~missing(F.col("v"), t))
-        digested = kind == "text" and has_id  # without a row id there is no way back from the digest
-        if digested:
-            long = F.octet_length("v") > LONG_TEXT
-            tall = tall.select(
-                "row", "k",
-                F.when(~long, F.col("v")).alias("v"),
-                F.when(long, F.unhex(F.sha2("v", 256))).alias("digest"),
-            )
-            keys = ["k", "v", "digest"]
-        else:
-            keys = ["k", "v"]
-        counted = tall.groupBy(*keys).agg(F.count("*").alias("n"), F.min("row").alias("first_row"))
-        name = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("k") + 1)
-        parts.append(
-            counted.select(
-                name.alias("column"),
-                _value_text(F.col("v"), kind, t).alias("value"),
-                (F.col("digest") if digested else F.lit(None).cast("binary")).alias("digest"),
-                "n",
-                "first_row",
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        native = {"boolean": "boolean", "integer": "bigint", "float": "double", "text": "string"}.get(kind, t.simpleString())
+        slots.setdefault(native, (f"v{len(slots)}", kind, t))
+        slot_of.append(native)
+    none = {native: F.lit(None).cast(native) for native in slots}
+    cells = []
+    for i, c in enumerate(columns):
+        t = df.schema[c].dataType
+        value = F.when(~missing(named(c), t), named(c).cast(slot_of[i]))
+        cells += [F.lit(i), *[value if native == slot_of[i] else none[native] for native in slots]]
+    names = [name for name, _, _ in slots.values()]
+    row = (F.col(ROW_ID) if has_id else F.lit(None).cast("bigint")).alias("row")
+    tall = df.select(row, F.stack(F.lit(len(columns)), *cells).alias("k", *names))
+    tall = tall.where(reduce(or_, [F.col(n).isNotNull() for n in names]))
+    text = slots.get("string", (None,))[0]
+    keys = ["k", *names]
+    digest = F.lit(None).cast("binary")
+    if text and has_id:  # without a row id there is no way back from the digest
+        long = F.octet_length(text) > LONG_TEXT
+        tall = tall.withColumn("digest", F.when(long, F.unhex(F.sha2(text, 256)))).withColumn(text, F.when(~long, F.col(text)))
+        keys, digest = [*keys, "digest"], F.col("digest")
+    counted = tall.groupBy(*keys).agg(F.count("*").alias("n"), F.min("row").alias("first_row"))
+    column = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("k") + 1)
+    value = F.coalesce(*[_value_text(F.col(name), kind, t) for name, kind, t in slots.values()])
+    return counted.select(column.alias("column"), value.alias("value"), digest.alias("digest"), "n", "first_row")
 
 
 def distinct_of(freq: DataFrame) -> DataFrame:
@@ -259,16 +256,12 @@ def freshness(df: DataFrame, as_of: Column | None = None, threshold_days: float
     aggs, rows = [], []
     for i, c in enumerate(columns):
         aggs += [F.min(named(c)).alias(f"o{i}"), F.max(named(c)).alias(f"n{i}")]
-        newest, oldest = _micros(F.col(f"n{i}"), df.schema[c].dataType), _micros(F.col(f"o{i}"), df.schema[c].dataType)
-        age = (F.unix_micros(as_of.cast("timestamp")) - newest) / F.lit(86_400_000_000.0)
         rows.append(
             F.struct(
                 F.lit(c).alias("column"),
                 _time_text(F.col(f"n{i}")).alias("newest"),
                 _time_text(F.col(f"o{i}")).alias("oldest"),
-                F.round((newest - oldest) / F.lit(86_400_000_000.0), 3).alias("span_days"),
-                F.round(age, 3).alias("staleness_days"),
-                (age > threshold_days).alias("is_stale"),
+                *_ages(F.col(f"n{i}"), F.col(f"o{i}"), df.schema[c].dataType, as_of, threshold_days),
             )
         )
     schema = "column string, newest string, oldest string, span_days double, staleness_days double, is_stale boolean"
@@ -277,6 +270,16 @@ def freshness(df: DataFrame, as_of: Column | None = None, threshold_days: float
     return _tall(df.agg(*aggs), rows, schema).where("newest is not null")
 
 
+def _ages(newest: Column, oldest: Column, t: T.DataType, as_of: Column, threshold_days: float) -> list[Column]:
+    newest, oldest, day = _micros(newest, t), _micros(oldest, t), F.lit(86_400_000_000.0)
+    age = (F.unix_micros(as_of.cast("timestamp")) - newest) / day
+    return [
+        F.round((newest - oldest) / day, 3).alias("span_days"),
+        F.round(age, 3).alias("staleness_days"),
+        (age > threshold_days).alias("is_stale"),
+    ]
+
+
 def _micros(c: Column, t: T.DataType) -> Column:
     if isinstance(t, T.TimestampNTZType):  # one value per column: going through text is cheap here
         c = F.concat(c.cast("string"), F.lit("Z"))
@@ -292,12 +295,10 @@ def profile_full(df: DataFrame, as_of: Column | None = None, threshold_days: flo
             lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count")),
         ).alias("top_values")
     )
-    fresh = freshness(df, as_of, threshold_days).select("column", "span_days", "staleness_days", "is_stale")
     return (
-        profile_stats(df)
+        profile_stats(df, F.current_timestamp() if as_of is None else as_of, threshold_days)
         .join(distinct_of(freq), "column", "left")
         .join(tops, "column", "left")
-        .join(fresh, "column", "left")
         .withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)).cast("bigint"))
     )
 

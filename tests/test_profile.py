@@ -123,3 +123,16 @@ def test_distinct_and_top_values_share_their_shuffles(spark, tmp_path):
 def test_long_texts_without_row_ids(spark):
     df = spark.createDataFrame([("x" * 500,), ("y",), ("x" * 500,)], "v string")
     assert [(r["value"], r["n"]) for r in profile.profile_top_values(df).orderBy("rank").collect()] == [("x" * 500, 2), ("y", 1)]
+
+
+def test_all_kinds_of_columns_are_counted_in_one_scan(spark, tmp_path):
+    path = str(tmp_path / "kinds")
+    spark.range(100).select(
+        F.col("id").alias("_row_id"), "id", F.col("id").cast("string").alias("s"), (F.col("id") / 3).alias("d"), (F.col("id") > 5).alias("b"),
+        F.current_timestamp().alias("t"), F.current_date().alias("day"), F.col("id").cast("decimal(9,2)").alias("m"),
+    ).write.parquet(path)
+    freq = profile.value_frequencies(spark.read.parquet(path))
+    plan = plan_of(freq)
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+    counts = {r["column"]: r["n"] for r in freq.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"id": 100, "s": 100, "d": 100, "b": 2, "t": 1, "day": 1, "m": 100}
