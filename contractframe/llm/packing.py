@@ -16,6 +16,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,14 +37,24 @@ def pieces(docs: DataFrame, vocabulary: str, max_length: int = 1024, id_column:
         step = 4 * max_length
         for batch in stream:
             for part in slices(batch, "text"):
-                rows = []
-                for doc, ids in zip(part.column("doc_id").to_pylist(), encode_texts(vocabulary, part.column("text").to_pylist())):
-                    n = len(ids) // 4
-                    for at in range(0, len(ids), step):
-                        own = ids[at : at + step]
-                        rows.append((doc, at // 4, len(own) // 4, zlib.crc32(own), n))
-                names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
-                yield batches({c: (list(v), pa.int64()) for c, v in zip(names, zip(*rows))})
+                sizes, sums = [], []
+                for ids in encode_texts(vocabulary, part.column("text").to_pylist()):
+                    sizes.append(len(ids))
+                    if len(ids) <= step:
+                        sums.append(zlib.crc32(ids))
+                    else:
+                        sums += [zlib.crc32(ids[at : at + step]) for at in range(0, len(ids), step)]
+                tokens = np.array(sizes, "int64") // 4
+                pieces = -(-tokens // max_length)
+                doc = np.repeat(np.arange(len(tokens)), pieces)
+                start = (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * max_length
+                yield batches({
+                    "doc_id": (part.column("doc_id").take(pa.array(doc)), None),
+                    "start": (start, pa.int64()),
+                    "length": (np.minimum(max_length, tokens[doc] - start), pa.int64()),
+                    "ids_crc32": (sums, pa.int64()),
+                    "doc_tokens": (tokens[doc], pa.int64()),
+                })
 
     narrow = ground(docs, doc_id=F.col(id_column).cast("bigint"), text=F.col(text_column))
     return narrow.mapInArrow(cut, _PIECE_SCHEMA)

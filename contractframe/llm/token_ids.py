@@ -11,7 +11,8 @@ import re
 from collections.abc import Iterable, Iterator
 
 _N, _W = r"[\S\x1c-\x1f]", r"[^\S\x1c-\x1f]"
-_PIECES = re.compile(rf"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)(?![^.,\s])|({_W}+(?!{_N})| ?{_N}+|{_W}+)")
+_PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_PIECES = re.compile(rf"{_PLAIN.pattern}(?![^.,\s])|{_W}+(?!{_N})| ?{_N}+|{_W}+")
 _CACHE_ENTRIES = 400_000
 
 
@@ -58,22 +59,22 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.byte_level = '"type":"ByteLevel","add_prefix_space":false' in re.sub(r"\s", "", vocabulary)
-        self.letters = _Pieces(self._model_ids)
-        self.others = _Pieces(self._whole_ids)
+        self.pieces = _Pieces(self._piece_ids)
 
     def _whole_ids(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _model_ids(self, word: str) -> bytes:
-        mapped = word.encode().decode("latin-1").translate(_LETTERS)
+    def _piece_ids(self, piece: str) -> bytes:
+        if not _PLAIN.fullmatch(piece):
+            return self._whole_ids(piece)
+        mapped = piece.encode().decode("latin-1").translate(_LETTERS)
         return _packed([t.id for t in self.tokenizer.model.tokenize(mapped)])
 
     def ids(self, text: str) -> bytes:
         """All ids of a whole text, the same as encoding it in one call."""
         if not self.byte_level or any(s in text for s in self.special):
             return self._whole_ids(text)
-        letters, others = self.letters, self.others
-        return b"".join([letters[a] if a else others[b] for a, b in _PIECES.findall(text)])
+        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text)))
 
 
 def _packed(ids: list[int]) -> bytes:
