@@ -41,7 +41,7 @@ LONGEST = 5
 OVERLAP = LONGEST - 1  # words of a trigger: a longest phrase that starts before it ends inside it
 TRIGGER = 16  # one place in so many starts a chunk
 FILTER_BITS = 26  # three bit maps of 2 ** 26 bits, 8 MB each
-_BLOCK, _ROWS, _SLICE = 1 << 20, 100_000, 1 << 19
+_BLOCK, _ROWS, _SLICE, _HELD = 1 << 20, 100_000, 1 << 19, 250_000
 
 #: What ends a piece; words end at these or at spaces and tabs.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -288,6 +288,27 @@ def _dictionary_blocks(data: Iterator[pa.RecordBatch]) -> Iterator[Block]:
         yield block()
 
 
+def _combined(counts: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    """Phrase counts of a task's blocks added up, as long as that many distinct ones fit."""
+    held, rows = [], 0
+
+    def added_up():
+        table = pa.Table.from_batches(held).group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
+        return pa.table({"lang": table.column("lang"), "phrase": table.column("phrase"), "n": table.column("n_sum")})
+
+    for columns in counts:
+        held.append(batches(columns))
+        rows += held[-1].num_rows
+        if rows > 2 * _HELD:
+            table = added_up()
+            held, rows = table.to_batches(), table.num_rows
+            if rows > _HELD:
+                yield from table.to_batches(max_chunksize=20_000)
+                held, rows = [], 0
+    if rows:
+        yield from added_up().to_batches(max_chunksize=20_000)
+
+
 _PHRASES, _KEYS = "lang string, phrase string, n bigint", "key bigint, n bigint"
 
 
@@ -295,8 +316,7 @@ def phrase_counts(dictionary: DataFrame, min_count: int, filter_bits: int = FILT
     """Words per language, and lang, phrase, words and n of all words and phrases that occur ``min_count`` times."""
 
     def count_words(data):
-        for block in _dictionary_blocks(data):
-            yield from _pieces(block.phrases(1))
+        yield from _combined(block.phrases(1) for block in _dictionary_blocks(data))
 
     def word_keys(data):
         for batch in data:
@@ -320,15 +340,18 @@ def phrase_counts(dictionary: DataFrame, min_count: int, filter_bits: int = FILT
             good = pairs.holds(block.keys(2)) & block.inside(2)
             yield from keyed(block, 3, block.inside(3) & block.all_parts(good, 2, 3))
 
-    def count_phrases(data):
+    def phrases_of(data):
         pairs, triples = BitMap(frequent_pairs.value), BitMap(frequent_triples.value)
         for block in _dictionary_blocks(data):
             good = pairs.holds(block.keys(2)) & block.inside(2)
-            yield from _pieces(block.phrases(2, good))
+            yield block.phrases(2, good)
             good = block.inside(3) & block.all_parts(good, 2, 3)
             good[good] = triples.holds(block.keys(3)[good])
             for size in range(3, LONGEST + 1):
-                yield from _pieces(block.phrases(size, block.inside(size) & block.all_parts(good, 3, size)))
+                yield block.phrases(size, block.inside(size) & block.all_parts(good, 3, size))
+
+    def count_phrases(data):
+        yield from _combined(phrases_of(data))
 
     often = F.col("n") >= min_count
     total = lambda rows, *by: rows.groupBy(*by).agg(F.sum("n").alias("n"))

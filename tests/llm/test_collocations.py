@@ -105,6 +105,17 @@ def test_keys_that_collide(monkeypatch):
     assert got == {"a b": 7, "b c": 2, "c a": 5}
 
 
+@pytest.mark.parametrize("held", [0, 2, 1000])
+def test_counts_of_a_task_add_up(monkeypatch, held):
+    monkeypatch.setattr(collocations, "_HELD", held)
+    block = lambda: collocations.Block(pa.array(["en", "de"]), pa.array(["a b a b", "a"]), np.array([False, False]), np.array([2, 5]))
+    got = Counter()
+    for batch in collocations._combined(block().phrases(1) for _ in range(7)):
+        for r in batch.to_pylist():
+            got[r["lang"], r["phrase"]] += r["n"]
+    assert got == {("en", "a"): 28, ("en", "b"): 28, ("de", "a"): 35}
+
+
 def test_keys_of_words_are_those_of_blocks():
     block = collocations.Block(pa.array(["x", "de", "en"])[1:], pa.array(["q q", "ä bc d", "e"])[1:], np.array([False, False]), np.array([1, 1]))
     langs, words = pa.array(["de", "de", "de", "en"]), pa.array(["ä", "bc", "d", "e"])
