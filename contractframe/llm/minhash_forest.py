@@ -254,10 +254,12 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, most: int | None = None) -> DataFrame:
+def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, most: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pairs of different components that share a region and whose signatures agree enough.
 
     With ``most``, only the best that many for each class outside a region's main component, order and block.
+    Also gives the members of regions that are still open, all that later rounds need, and the stored shapes of
+    these regions; both can be discarded once the pairs are stored.
     """
     import pyarrow as pa
 
@@ -266,6 +268,7 @@ def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, most:
     mixed_regions = told.groupBy("p").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select(F.col("p").alias("_p"))
     mixed_regions = materialize(mixed_regions, "mixed-regions")
     open_ = materialize(told.join(mixed_regions, F.col("p") == F.col("_p")).select("p", "node", "label"), "open-regions")
+    discard(told, mixed_regions)
     by_label = open_.groupBy("p", "label").agg(F.count("*").alias("c"))
     shape = by_label.groupBy(F.col("p").alias("_p")).agg(F.max(F.struct("c", "label")).alias("main"), F.sum("c").alias("m"))
     shape = shape.select(
@@ -307,7 +310,7 @@ def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, most:
 
     met = plain.groupBy("p", "i", "j").applyInArrow(meet, "xd bigint, xk bigint, yd bigint, yk bigint")
     x, y = F.struct(F.col("xd").alias("d"), F.col("xk").alias("k")), F.struct(F.col("yd").alias("d"), F.col("yk").alias("k"))
-    return met.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct()
+    return met.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct(), open_, shape
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -334,20 +337,27 @@ def assign(narrow: DataFrame, percent: int = 75) -> DataFrame:
     tried = materialize(_first_pairs(neighbours), "first-pairs")
     links = materialize(_links(tried, texts, percent), "links")
     labels = components(links)  # and the label before the last step
-    tested = tried
+    tested, open_ = tried, members
     while True:  # join whole components by their likeliest pairs, until that links nothing more
-        near = materialize(_rest_pairs(members, labels, classes, 1).join(tested, ["x", "y"], "left_anti"), "near-pairs")
+        likely, still_open, shape = _rest_pairs(members, labels, classes, 1)
+        near = materialize(likely.join(tested, ["x", "y"], "left_anti"), "near-pairs")
         found = materialize(_links(near, texts, percent), "near-links")
-        tested = materialize(tested.unionByName(near), "tested-pairs")
+        before, tested = tested, materialize(tested.unionByName(near), "tested-pairs")
+        discard(before, near, shape, open_)
+        open_, members = still_open, still_open.select("p", "node")  # a region that is one component stays one
         if found.isEmpty():
+            discard(found)
             break
         labels = _merged(labels, found)
-    rest = _rest_pairs(members, labels, classes).join(tested, ["x", "y"], "left_anti")
-    labels = _merged(labels, materialize(_links(rest, texts, percent), "more-links"))
+        discard(found)
+    rest, still_open, shape = _rest_pairs(members, labels, classes)
+    more = materialize(_links(rest.join(tested, ["x", "y"], "left_anti"), texts, percent), "more-links")
+    labels = _merged(labels, more)
+    discard(more, still_open, shape, open_, tested, texts, neighbours, links)
     final = classes.select("n", "s1", "s2", "node").join(labels, "node", "left")
     final = final.select(F.col("n").alias("_n"), F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), "node", F.coalesce("label", "node").alias("label"))
     final = materialize(final, "class-labels")
-    discard(classes, neighbours, texts, tried, links, labels, near, found, tested)
+    discard(classes, labels)
     same = (F.col("n") == F.col("_n")) & (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2"))
     return signed.select("doc_id", "_k", "n", "s1", "s2").join(final, same, "left").select("doc_id", "_k", "n", "node", "label")
 
@@ -367,10 +377,19 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_column: str = "doc_id
 def keep_one(docs: DataFrame, percent: int = 75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One document of each component, all its columns; of equal rows one; documents without words all stay."""
     own = assign(_narrow(docs, id_column, text_column), percent)
-    first = own.where(F.col("n") > 0).where(_name("doc_id", "_k") == F.col("label")).select(F.col("doc_id").alias("_own_id"), F.col("_k").alias("_own_text"))
-    key = docs.select("*", docs[id_column].cast("bigint").alias("_row_id_"), row_key(F.coalesce(docs[text_column], F.lit(""))).alias("_row_text_"))
+    first = own.where(F.col("n") > 0).where(_name("doc_id", "_k") == F.col("label"))
+    taken = {c.lower() for c in docs.columns}
+
+    def free(name: str) -> str:  # a column name that the input does not have
+        while name.lower() in taken:
+            name += "_"
+        return name
+
+    row_id, row_text, own_id, own_text = map(free, ("_row_id_", "_row_text_", "_own_id", "_own_text"))
+    first = first.select(F.col("doc_id").alias(own_id), F.col("_k").alias(own_text))
+    key = docs.select("*", docs[id_column].cast("bigint").alias(row_id), row_key(F.coalesce(docs[text_column], F.lit(""))).alias(row_text))
     wordless = F.coalesce(~docs[text_column].rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
     kept = key.where(~wordless).join(
-        first.distinct(), F.col("_row_id_").eqNullSafe(F.col("_own_id")) & (F.col("_row_text_") == F.col("_own_text")), "left_semi"
-    ).dropDuplicates(["_row_id_", "_row_text_"])
-    return kept.unionByName(key.where(wordless)).drop("_row_id_", "_row_text_")
+        first.distinct(), F.col(row_id).eqNullSafe(F.col(own_id)) & (F.col(row_text) == F.col(own_text)), "left_semi"
+    ).dropDuplicates([row_id, row_text])
+    return kept.unionByName(key.where(wordless)).drop(row_id, row_text)

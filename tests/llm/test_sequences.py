@@ -7,6 +7,7 @@ from collections import Counter
 
 import pytest
 
+from contractframe import storage
 from contractframe.llm import decontaminate, minhash_forest, substring_dedup
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -148,6 +149,22 @@ def test_keep_one(docs, rows):
         assert sum(r in own for r in kept) == (1 if worded else len(own))
 
 
+def test_keep_one_beside_columns_of_any_name(docs):
+    odd = docs.selectExpr("*", "1 AS _row_id_", "2 AS _ROW_TEXT_", "3 AS _own_id", "4 AS label")
+    kept = minhash_forest.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert sorted(kept.select(docs.columns).collect(), key=repr) == sorted(minhash_forest.keep_one(docs).collect(), key=repr)
+
+
+def test_rounds_leave_nothing_behind(spark, docs, monkeypatch, tmp_path):
+    """Only what the result itself reads is left in the shared folder."""
+    monkeypatch.setattr(minhash_forest, "PARTNERS", 1)
+    monkeypatch.setattr(storage, "shared_dir", lambda spark: str(tmp_path))
+    assert minhash_forest.near_duplicates(docs).count() == docs.count()
+    left = Counter(re.sub(r"contractframe-(.*)-[0-9a-f]+$", r"\1", p.name) for p in tmp_path.iterdir())
+    assert left == {"signatures": 1, "class-labels": 1}
+
+
 def test_near_duplicates_of_nothing(docs):
     assert minhash_forest.near_duplicates(docs.limit(0)).collect() == []
     assert minhash_forest.keep_one(docs.limit(0)).collect() == []
