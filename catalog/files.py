@@ -8,10 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.registry import query, table
+from catalog.registry import query, run_sql, table
 from catalog.privacy import findings_sql
-from catalog.views import ORDERS
-from contractframe.operators import privacy
+from catalog.views import ORDERS, TYPED_ORDERS
+from contractframe.operators import privacy, profile
 from contractframe.sources import changelog, deliver, intake
 from contractframe.storage import ROW_ID, materialize, scratch_path
 
@@ -242,13 +242,22 @@ SELECT * FROM (VALUES
 """
 
 
+_FIELDS = ("order_id", "customer_id", "status", "total", "placed", "priority")
+
+
 @query("dictionary_table", f"""
-SELECT d.*, n AS rows_described FROM ({_DICTIONARY}) d, (SELECT count(*) AS n FROM orders)
+WITH t AS ({TYPED_ORDERS}), n AS ({" UNION ALL ".join(
+    f"SELECT '{c}' AS field_name, count(*) AS row_count, count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(DISTINCT {c}) AS distinct_count FROM t"
+    for c in _FIELDS)})
+SELECT d.*, row_count, null_count, distinct_count FROM ({_DICTIONARY}) d LEFT JOIN n USING (field_name)
 """)
 def dictionary_table(spark, sf_dir):
-    """The dictionary beside the number of rows it describes."""
-    n = table(spark, sf_dir, "orders").count()
-    return deliver.dictionary_table(spark, ORDERS).withColumn("rows_described", F.lit(n).cast("bigint"))
+    """The dictionary beside figures of the columns it describes; none for derived ones."""
+    typed = run_sql(spark, sf_dir, TYPED_ORDERS.replace("FROM orders", "FROM {orders}")).select(ROW_ID, *_FIELDS)
+    counts = typed.agg(*[F.count("*").alias(c) for c in _FIELDS]).unpivot([], list(_FIELDS), "column", "row_count")
+    figures = profile.profile_stats(typed).join(profile.profile_distinct(typed), "column").join(counts, "column")
+    figures = figures.select(F.col("column").alias("field_name"), "row_count", "null_count", "distinct_count")
+    return deliver.dictionary_table(spark, ORDERS).join(figures, "field_name", "left")
 
 
 @query("deliver_bundle", f"""
