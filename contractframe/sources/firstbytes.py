@@ -2,8 +2,8 @@
 
 Spark lists the files; each task opens the ones it is given through pyarrow's file systems, reads ranges of 64 KB
 from the start until it has the lines it wants, and leaves the rest unread, however long the file.
-Compressed files are inflated as far. File systems or codecs that pyarrow lacks are read by Spark's own text
-reader instead, which goes through the whole file.
+Compressed files (gz, bz2, zst, xz, deflate) are inflated as far. File systems that pyarrow lacks are read by Spark's
+own text reader instead, which goes through the whole file.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import io
 import sys
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractframe.sources.quotes import Machine
@@ -24,9 +24,7 @@ RANGE = 1 << 16
 # Byte-order marks and the encodings they tell.
 MARKS = {b"\xef\xbb\xbf": "utf-8-sig", b"\xff\xfe": "utf-16-le", b"\xfe\xff": "utf-16-be"}
 
-# Endings of compressed files, and those that pyarrow's or Python's own codecs read.
-COMPRESSED = r"\.(gz|bz2|zst|lz4|snappy|deflate|xz)$"
-READABLE = (".gz", ".bz2", ".zst", ".xz", ".deflate")
+# Schemes of the file systems that pyarrow opens.
 SYSTEMS = ("", "file", "s3", "s3a", "gs", "gcs", "hdfs", "abfs", "abfss")
 
 
@@ -46,6 +44,8 @@ def opened(file: str):
     import pyarrow as pa
     from pyarrow import fs
 
+    if file.lower().endswith((".lz4", ".snappy")):
+        raise ValueError(f"{file}: lz4 and snappy files are not read")
     parts = urlsplit(file)
     if parts.scheme in ("", "file"):
         system, path = fs.LocalFileSystem(), unquote(parts.path)
@@ -228,8 +228,3 @@ def capped_lines(spark: SparkSession, paths: list[str], sep: str, records: int)
 
     lines = files_of(spark, paths).select("file").mapInArrow(read_lines, "file string, block bigint, pos bigint, value binary")
     return lines.withColumn("value", F.col("value").cast("string"))
-
-
-def marked(mark: Column) -> Column:
-    """Whether the file has a byte-order mark."""
-    return mark.isNotNull()

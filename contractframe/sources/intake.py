@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from contractframe.functions.text import CASTABLE_INTEGER, CASTABLE_NUMBER, looks_numeric, strip_text
 from contractframe.sources import firstbytes, quotes
-from contractframe.sources.firstbytes import COMPRESSED
 from contractframe.storage import ROW_ID, materialize, named, scratch_path, stored_bytes
 
 HEADER_SCAN = 10
@@ -280,6 +279,8 @@ def land(
     if not schemas:
         return Landing(path, heads, heads, None, [], encoding)
     if nrows is not None:
+        if not firstbytes.can_open(paths):
+            raise ValueError("a row cap needs a file system that tasks can open")
         lines = firstbytes.capped_lines(spark, paths, sep or ",", nrows + (HEADER_SCAN if auto else int(header_row)) + 1)
     else:
         lines = _decoded_lines(spark, paths, encoding, heads if any(g["wide"] for g in found) else None)
