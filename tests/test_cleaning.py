@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
@@ -249,3 +250,36 @@ def test_near_duplicate_plan_has_no_single_task_and_no_pair_join(spark):
     df = spark.range(3000).select(F.col("id").alias("_row_id"), F.col("id").cast("string").alias("t"))
     plan = plan_of(neardup.near_duplicates(df, ["t"]))
     assert "SinglePartition" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_equal_texts_are_compared_once_and_candidates_together(monkeypatch):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefghij klmnop") for _ in range(700)) for _ in range(30)]
+    texts += [t[:350] + "Z" + t[350:] for t in texts]
+    held = [t for t in texts for _ in range(4)]
+    rng.shuffle(held)
+    chunk = pd.DataFrame({"_row_id": range(240), "_rank": range(240), "c0": held, "_text": held, "_end": 200})
+    sizes, calls = [], []
+    prepared, parts = neardup.TextBatch.__init__, neardup.TextBatch.possible_by_parts
+    monkeypatch.setattr(neardup, "_PAIRS", 500)
+    monkeypatch.setattr(neardup.TextBatch, "__init__", lambda self, given: (sizes.append(len(given)), prepared(self, given))[1])
+    monkeypatch.setattr(neardup.TextBatch, "possible_by_parts", lambda self, *given: (calls.append(given), parts(self, *given))[1])
+    got = neardup._compare(chunk, ["c0"], 100, 85.0)
+    stem = [t.replace("Z", "") for t in held]
+    want = [(i, j) for i in range(200) for j in range(i + 1, min(i + 101, 240)) if held[i] != held[j] and stem[i] == stem[j]]
+    assert sorted(zip(got["rank_a"], got["rank_b"])) == want
+    assert sizes[0] == 60 and len(calls) == 1
+
+
+def test_pairs_side_by_side_against_one_by_one(monkeypatch):
+    rng = random.Random(10)
+    texts = ["".join(rng.choice("ab" if i % 3 else "abcdefgh") for _ in range(rng.choice([63, 64, 65, 128, 190, 256, 300]))) for i in range(60)]
+    texts += [t[: len(t) // 2] + "c" + t[len(t) // 2 :] for t in texts]
+    a, b = (np.array(x) for x in zip(*[(i, j) for i in range(120) for j in range(i + 1, 120)]))
+    got = []
+    for many in (16, 1 << 30):
+        monkeypatch.setattr(similarity, "_MANY", many)
+        for cutoff in (0.0, 85.0):
+            s = similarity.TextBatch(texts).similarity(a, b, cutoff)
+            got.append(np.where(s >= cutoff, s, 0.0))
+    assert np.array_equal(got[0], got[2]) and np.array_equal(got[1], got[3])
