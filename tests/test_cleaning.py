@@ -283,3 +283,31 @@ def test_pairs_side_by_side_against_one_by_one(monkeypatch):
             s = similarity.TextBatch(texts).similarity(a, b, cutoff)
             got.append(np.where(s >= cutoff, s, 0.0))
     assert np.array_equal(got[0], got[2]) and np.array_equal(got[1], got[3])
+
+
+def test_marks_of_counts_drop_no_pair_and_spare_the_counts(monkeypatch):
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("aabbccddeeé0123456789xyzXYZ ÄÖÜäöü!?-+*/()[]") for _ in range(rng.randrange(0, 40))) for _ in range(60)]
+    texts += [t[:5] + "aaaaaa" + t[9:] for t in texts]
+    a, b = (np.array(x) for x in zip(*[(i, j) for i in range(120) for j in range(i + 1, 120)]))
+    batch = TextBatch(texts)
+    exact = batch.similarity(a, b)
+    for cutoff in (30.0, 60.0, 85.0):
+        assert not (exact[~batch.possible(a, b, cutoff)] >= cutoff).any()
+    counted = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, at):
+            counted.append(np.size(at))
+            return np.asarray(self)[at]
+
+    batch.counts = batch.counts.view(Counted)
+    batch.possible_by_counts(a, b, 85.0)
+    assert max(counted) < len(a) / 10
+
+
+def test_cells_of_pairs_stay_arrow(spark, monkeypatch):
+    df = spark.createDataFrame([(0, "abcdefgh", None), (1, "abcdefgx", "y"), (2, "zzz", "y")], "_row_id bigint, p string, q string")
+    got = neardup.near_duplicates(df, ["p", "q"], 70.0)
+    assert "FlatMapGroupsInArrow" in plan_of(got)
+    assert [(r["column"], r["value_a"], r["value_b"]) for r in got.first()["diffs"]] == [("p", "abcdefgh", "abcdefgx"), ("q", None, "y")]
