@@ -35,13 +35,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contractframe.llm.common import batches, discard, ground, materialize, ship_package, slices
-from contractframe.llm.words import HIGH, LOW, RangeHash, mixed, rolling
+from contractframe.llm.words import HIGH, LOW, mixed, range_hashes, rolling
 
 LONGEST = 5
 OVERLAP = LONGEST - 1  # words of a trigger: a longest phrase that starts before it ends inside it
 TRIGGER = 16  # one place in so many starts a chunk
 FILTER_BITS = 26  # three bit maps of 2 ** 26 bits, 8 MB each
-_BLOCK, _ROWS, _SLICE, _HELD = 1 << 20, 100_000, 1 << 19, 250_000
+_BLOCK, _ROWS, _HELD = 1 << 20, 100_000, 250_000
 
 #: What ends a piece; words end at these or at spaces and tabs.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -52,22 +52,6 @@ _TABLE = bytes.maketrans(_ENDS + bytes(range(65, 91)), _MARK * len(_ENDS) + byte
 # -- words as ranges of bytes --------------------------------------------------------------
 
 _SPACE = 32
-#: Random values of bytes, one row for each of two independent hashes.
-_BYTES = mixed(np.arange(1, 513, dtype="uint64") * LOW).reshape(2, 256)
-
-
-def _ranges(data: np.ndarray, first: np.ndarray, length: np.ndarray, lane: int) -> np.ndarray:
-    """A hash of every range of bytes; ranges follow each other and are worked on half a megabyte at a time."""
-    out = np.zeros(len(first), "uint64")
-    cuts = np.searchsorted(first, np.arange(_SLICE, len(data) + _SLICE, _SLICE))
-    low = 0
-    for high in np.unique(np.append(cuts, len(first))).tolist():
-        if high > low:
-            begin, end = int(first[low]), int(first[high - 1] + length[high - 1])
-            hashes = RangeHash(_BYTES[lane][data[begin:end]], LOW if lane else HIGH)
-            out[low:high] = mixed(hashes.of(first[low:high] - begin, length[low:high]) + length[low:high].astype("uint64"))
-            low = high
-    return out
 
 
 # -- the parse ---------------------------------------------------------------------------
@@ -101,7 +85,7 @@ def chunks_of(block: bytes) -> Counter:
     ends = np.append(np.flatnonzero(data == _SPACE), len(data))
     first = np.concatenate([[0], ends[:-1] + 1])
     mark = data[first] == 0xFF
-    hashes = _ranges(data, first, ends - first, 0)
+    hashes = range_hashes(data, first, ends - first, 0)
     n = len(first)
     before = np.concatenate([[0], np.cumsum(mark)])  # marks before each place
     begins = np.concatenate([[True], mark[:-1]]) & ~mark  # first words of pieces
@@ -200,7 +184,7 @@ class Block:
         self.own = place < self.end - OVERLAP * np.repeat(closed, count)
         self.weight = np.repeat(n, count)
         length = self.stop - self.first
-        self.low, self.high = _ranges(data, self.first, length, 0), _ranges(data, self.first, length, 1)
+        self.low, self.high = range_hashes(data, self.first, length, 0), range_hashes(data, self.first, length, 1)
         coded = langs.dictionary_encode()
         self.names, self.lang = coded.dictionary, np.repeat(coded.indices.to_numpy(), count)
         self.salt = lang_salts(self.names.to_pylist())[self.lang]

@@ -11,8 +11,9 @@ linked when their sets overlap by 75 of 100, and documents linked by any chain s
 - The rest, exactly: a region whose classes are already one component needs no more pairs. In every other one
   each class outside its largest component meets all classes of the region, in blocks of bounded size, and pairs
   of different components whose whole signatures agree enough (four standard errors below the threshold) count.
-  The likeliest of each class are decided first, round by round while that joins components, and then all
-  that are left. So nothing is lost to the choice of partners, and a region of n linked copies costs about n pairs.
+  One pass keeps the best few of each class and place; the likeliest are decided first, round by round while that
+  joins components, and then all that are left. Passes go on only where a class had more pairs than were kept, at last
+  without that bound. So nothing is lost to the choice of partners, and a region of n linked copies costs about n pairs.
 
 Links, components and signatures stay in tables; the driver sees counts alone.
 
@@ -29,22 +30,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contractframe.llm.common import batches, discard, ground, materialize, row_key, ship_package, slices
-from contractframe.llm.words import LOW, mixed, rolling, word_hashes
+from contractframe.llm.words import LOW, mixed, range_hashes, rolling
 
 HASHES, TREES, DEPTH, RUN = 96, 24, 3, 5
 PARTNERS = 3  # tried first; the rest is done exactly
 LIKELY = 0.57  # agreement of signatures; four standard errors below 0.75
 _OUTSIDE, _CHUNK = 512, 2048  # classes of a region that meet in one block
 _LAST = (1 << 63) - 1  # stands for a null id in class names
+_SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _FACTORS = np.random.default_rng(41).integers(0, 1 << 63, HASHES, dtype="uint64") * np.uint64(2) + np.uint64(1)
 
 
 def _sets(texts: list[str | None]):
     """All sets in a row, each sorted: (hashes, the text each belongs to)."""
-    lists = [t.encode().lower().split() if t else [] for t in texts]
-    sizes = np.array([*map(len, lists)], "int64")
-    owner = np.repeat(np.arange(len(lists)), sizes)
-    values = word_hashes([w for words in lists for w in words])[0]
+    raw = [t.encode().lower() if t else b"" for t in texts]
+    data = np.frombuffer(b" ".join([*raw, b""]), "uint8")  # a space after each text
+    space = _SPACES[data]
+    turns = np.flatnonzero(space[1:] != space[:-1]) + 1
+    turns = turns if not len(space) or space[0] else np.concatenate([[0], turns])
+    first, stop = turns[::2], turns[1::2]
+    limits = np.cumsum([len(r) + 1 for r in raw])
+    owner = np.searchsorted(limits, first, side="right")
+    sizes = np.bincount(owner, minlength=len(raw))
+    values = range_hashes(data, first, stop - first, 0)
     found, own = np.zeros(0, "uint64"), np.zeros(0, "int64")
     if len(values) >= RUN:
         inside = owner[: len(owner) - RUN + 1] == owner[RUN - 1 :]
@@ -54,8 +62,11 @@ def _sets(texts: list[str | None]):
         at = np.cumsum(sizes) - sizes
         whole = [mixed(rolling(values[at[i] : at[i] + sizes[i]], int(sizes[i]), LOW) + np.uint64(sizes[i]))[0] for i in short]
         found, own = np.concatenate([found, np.array(whole, "uint64")]), np.concatenate([own, short])
-    order = np.lexsort((found, own))
-    found, own = found[order], own[order]
+        order = np.argsort(own, kind="stable")
+        found, own = found[order], own[order]
+    ends = np.cumsum(np.bincount(own, minlength=len(raw))).tolist()
+    for a, b in zip([0, *ends], ends):
+        found[a:b].sort()
     new = np.ones(len(found), bool)
     new[1:] = (found[1:] != found[:-1]) | (own[1:] != own[:-1])
     return found[new], own[new]
@@ -254,12 +265,12 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, most: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pairs of different components that share a region and whose signatures agree enough.
+def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, percent: int, most: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs of different components that share a region and whose signatures agree in ``alike`` places, enough of them.
 
-    With ``most``, only the best that many for each class outside a region's main component, order and block.
-    Also gives the members of regions that are still open, all that later rounds need, and the stored shapes of
-    these regions; both can be discarded once the pairs are stored.
+    With ``most``, only the best that many for each class outside a region's main component, order and block;
+    ``cut`` says that such a class has more. Also gives the members of regions that are still open, all that later
+    passes need, and the stored shapes of these regions; both can be discarded once the pairs are stored.
     """
     import pyarrow as pa
 
@@ -276,41 +287,64 @@ def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, most:
         F.ceil(F.col("m") / _CHUNK).cast("int").alias("_j"),
     )
     shape = materialize(shape, "region-shapes")
-    sig = classes.select("node", "sig")
+    sig = classes.select("node", "sig", F.col("n").alias("size"))
     rows = open_.join(sig, "node").join(shape, F.col("p") == F.col("_p"))
     hash_ = F.xxhash64("node")
     outside = rows.where("label <> main").select(
-        "p", F.pmod(hash_, "_i").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("_j") - 1)).alias("j"), F.lit(True).alias("out"), "node", "label", "sig"
+        "p", F.pmod(hash_, "_i").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("_j") - 1)).alias("j"), F.lit(True).alias("out"), "node", "label", "sig", "size"
     )
     all_ = rows.select(
-        "p", F.explode(F.sequence(F.lit(0), F.col("_i") - 1)).alias("i"), F.pmod(F.shiftright(hash_, 20), "_j").cast("int").alias("j"), F.lit(False).alias("out"), "node", "label", "sig"
+        "p", F.explode(F.sequence(F.lit(0), F.col("_i") - 1)).alias("i"), F.pmod(F.shiftright(hash_, 20), "_j").cast("int").alias("j"), F.lit(False).alias("out"), "node", "label", "sig", "size"
     )
-    plain = outside.unionByName(all_).select("p", "i", "j", "out", F.col("node.d").alias("d"), F.col("node.k").alias("k"), F.col("label.d").alias("ld"), F.col("label.k").alias("lk"), "sig")
+    plain = outside.unionByName(all_).select("p", "i", "j", "out", F.col("node.d").alias("d"), F.col("node.k").alias("k"), F.col("label.d").alias("ld"), F.col("label.k").alias("lk"), "sig", "size")
 
     def meet(group):
         out = group.column("out").to_numpy()
         names = np.stack([group.column(c).to_numpy() for c in ("d", "k", "ld", "lk")])
+        size = group.column("size").to_numpy()
         sigs = _matrix(group.column("sig"))
         tree = group.column("p")[0].as_py() >> 16 * DEPTH if group.num_rows else 0
         leading = (sigs & 0xFFFF)[:, [t * (HASHES // TREES) + i for t in range(TREES) for i in range(DEPTH)]]
         x, y = np.flatnonzero(out), np.flatnonzero(~out)
+        low, labels, size_y = (sigs & 0xFF).astype("uint8")[y], names[2:, y], size[y]
         found = []
         for i in x:
-            alike = (sigs[y] == sigs[i]).mean(axis=1) >= LIKELY
-            other = (names[2:, y] != names[2:, [i]]).any(axis=0)
-            at = y[alike & other]
+            # Sizes alone rule a pair out, or its last bytes: where whole minima agree, these do.
+            near = (100 * np.minimum(size_y, size[i]) >= percent * np.maximum(size_y, size[i])) & (labels != names[2:, [i]]).any(axis=0)
+            at = np.flatnonzero(near)
+            at = y[at[_agreeing(low[at], (sigs[i] & 0xFF).astype("uint8")) >= LIKELY * HASHES]]
+            alike = (sigs[at] == sigs[i]).sum(axis=1)
+            at, alike = at[alike >= LIKELY * HASHES], alike[alike >= LIKELY * HASHES]
             # A pair is named in the first order where both share a region.
-            shared = (leading[at] == leading[i]).reshape(len(at), TREES, DEPTH).all(axis=2)
-            at = at[shared.argmax(axis=1) == tree] if len(at) else at
-            if most and len(at) > most:
-                at = at[np.argsort(-(sigs[at] == sigs[i]).sum(axis=1), kind="stable")[:most]]
-            found.append(np.concatenate([np.repeat(names[:2, [i]], len(at), axis=1), names[:2, at]]))
-        found = np.concatenate(found, axis=1) if found else np.zeros((4, 0), "int64")
-        return pa.Table.from_arrays([pa.array(v) for v in found], names=["xd", "xk", "yd", "yk"])
-
-    met = plain.groupBy("p", "i", "j").applyInArrow(meet, "xd bigint, xk bigint, yd bigint, yk bigint")
+            first = (leading[at] == leading[i]).reshape(len(at), TREES, DEPTH).all(axis=2).argmax(axis=1) == tree
+            at, alike = at[first], alike[first]
+            cut = most is not None and len(at) > most
+            if cut:
+                best = np.argsort(-alike, kind="stable")[:most]
+                at, alike = at[best], alike[best]
+            found.append(np.concatenate([np.repeat(names[:2, [i]], len(at), axis=1), names[:2, at], alike[None], np.full((1, len(at)), cut)]))
+        found = np.concatenate(found, axis=1) if found else np.zeros((6, 0), "int64")
+        return pa.Table.from_arrays([pa.array(v) for v in found], names=["xd", "xk", "yd", "yk", "alike", "cut"])
+
+    met = plain.groupBy("p", "i", "j").applyInArrow(meet, "xd bigint, xk bigint, yd bigint, yk bigint, alike bigint, cut bigint")
     x, y = F.struct(F.col("xd").alias("d"), F.col("xk").alias("k")), F.struct(F.col("yd").alias("d"), F.col("yk").alias("k"))
-    return met.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct(), open_, shape
+    named = met.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"), "alike", "cut")
+    return named.groupBy("x", "y").agg(F.max("alike").alias("alike"), (F.max("cut") > 0).alias("cut")), open_, shape
+
+
+def _agreeing(rows: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """In how many of the ``HASHES`` bytes each row agrees with this one; eight are compared and added up at a time."""
+    eights = (rows == one).view("uint64").sum(axis=1)
+    return (eights * np.uint64(0x0101010101010101)) >> np.uint64(56)
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose classes are not in one component."""
+    own = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
+    told = pairs
+    for end in "xy":
+        told = told.join(own.withColumnsRenamed({"_node": f"_n{end}", "_label": f"_l{end}"}), F.col(end) == F.col(f"_n{end}"), "left")
+    return told.where(F.coalesce("_lx", "x") != F.coalesce("_ly", "y")).select(*pairs.columns)
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -338,22 +372,38 @@ def assign(narrow: DataFrame, percent: int = 75) -> DataFrame:
     links = materialize(_links(tried, texts, percent), "links")
     labels = components(links)  # and the label before the last step
     tested, open_ = tried, members
-    while True:  # join whole components by their likeliest pairs, until that links nothing more
-        likely, still_open, shape = _rest_pairs(members, labels, classes, 1)
-        near = materialize(likely.join(tested, ["x", "y"], "left_anti"), "near-pairs")
-        found = materialize(_links(near, texts, percent), "near-links")
-        before, tested = tested, materialize(tested.unionByName(near), "tested-pairs")
-        discard(before, near, shape, open_)
+    while True:
+        likely, still_open, shape = _rest_pairs(members, labels, classes, percent, PARTNERS)
+        likely = materialize(likely.join(tested, ["x", "y"], "left_anti"), "likely-pairs")
+        discard(shape, open_)
         open_, members = still_open, still_open.select("p", "node")  # a region that is one component stays one
-        if found.isEmpty():
-            discard(found)
+        cut, joined = not likely.where("cut").isEmpty(), False
+        # The likeliest of each class first, for as long as that joins components; then what is left of the pairs.
+        for best in (True, False):
+            while True:
+                apart = _apart(likely, labels).join(tested, ["x", "y"], "left_anti")
+                if best:
+                    apart = apart.withColumn("_r", F.row_number().over(Window.partitionBy("x").orderBy(F.desc("alike"), "y"))).where("_r = 1")
+                near = materialize(apart.select("x", "y"), "near-pairs")
+                found = materialize(_links(near, texts, percent), "near-links")
+                before, tested = tested, materialize(tested.unionByName(near), "tested-pairs")
+                none = found.isEmpty()
+                if not none:
+                    labels, joined = _merged(labels, found), True
+                discard(before, near, found)
+                if none or not best:
+                    break
+            if cut and joined:
+                break  # what is left is looked for again, among the components there are now
+        discard(likely)
+        if not (cut and joined):
             break
-        labels = _merged(labels, found)
-        discard(found)
-    rest, still_open, shape = _rest_pairs(members, labels, classes)
-    more = materialize(_links(rest.join(tested, ["x", "y"], "left_anti"), texts, percent), "more-links")
-    labels = _merged(labels, more)
-    discard(more, still_open, shape, open_, tested, texts, neighbours, links)
+    if cut:  # some classes have more pairs than were looked at
+        rest, still_open, shape = _rest_pairs(members, labels, classes, percent)
+        more = materialize(_links(rest.join(tested, ["x", "y"], "left_anti").select("x", "y"), texts, percent), "more-links")
+        labels = _merged(labels, more)
+        discard(more, still_open, shape)
+    discard(open_, tested, texts, neighbours, links)
     final = classes.select("n", "s1", "s2", "node").join(labels, "node", "left")
     final = final.select(F.col("n").alias("_n"), F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), "node", F.coalesce("label", "node").alias("label"))
     final = materialize(final, "class-labels")

@@ -227,3 +227,29 @@ def test_contamination_of_nothing(spark, docs, rows):
 def test_decontamination_plan_has_no_python(spark, docs):
     plan = decontaminate.contamination(docs, spark.createDataFrame([(1, "one two")], "item_id bigint, text string"))
     assert not re.search("Python|Pandas|Arrow", plan._jdf.queryExecution().executedPlan().toString())
+
+
+def test_one_pass_where_no_class_has_more_pairs(docs, rows, monkeypatch):
+    passes, own = [], minhash_forest._rest_pairs
+    monkeypatch.setattr(minhash_forest, "_rest_pairs", lambda *given: passes.append(given) or own(*given))
+    monkeypatch.setattr(minhash_forest, "PARTNERS", 1000)
+    minhash_forest.near_duplicates(docs).collect()
+    assert len(passes) == 1
+
+
+def test_sets_of_odd_white_space():
+    texts = ["", None, " a", "A b\tC d\x0be\x0c", "x\x1cy \xa0 z q r\r\n", "a b c d e a b c d e a", "  ", "é É"]
+    found, own = minhash_forest._sets(texts)
+    for i, text in enumerate(texts):
+        words = (text or "").encode().lower().split()
+        runs = {tuple(words[j : j + 5]) for j in range(max(1, len(words) - 4))} if words else ()
+        assert (own == i).sum() == len(runs)
+        assert (found[own == i] == sorted(found[own == i])).all()
+
+
+def test_agreeing_bytes():
+    import numpy as np
+
+    rows = np.random.default_rng(5).integers(0, 3, (50, minhash_forest.HASHES), "uint8")
+    rows[7] = rows[3]
+    assert (minhash_forest._agreeing(rows, rows[3]) == (rows == rows[3]).sum(axis=1)).all()
