@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from contractframe.llm.common import batches, discard, ground, materialize, ship_package, slices
 from contractframe.llm.toxicity import held_out
+from contractframe.storage import shuffles_discarded
 
 LABELLED, ROUNDS, SHARE = 6000, 6, 1 / 30
 STEPS, CLOSE = 25, 0.05  # Newton steps a round at most; a step that ends them
@@ -63,7 +64,8 @@ def metadata_features(lang: str | None, source: str | None, text: str | None) ->
     out[zlib.crc32(f"l{lang}".encode()) % NAMES] = 1
     out[NAMES + zlib.crc32(f"s{source}".encode()) % NAMES] = 1
     raw = np.frombuffer(text.encode(), "uint8")
-    kinds = np.bincount(_KINDS[raw], minlength=6) / max(1, len(raw))
+    counts = np.bincount(raw, minlength=256)
+    kinds = np.bincount(_KINDS, counts, minlength=6) / max(1, len(raw))
     words, lines = text.split(), [x for x in text.split("\n") if x]
     shape = out[2 * NAMES :]
     shape[:6] = kinds
@@ -73,8 +75,8 @@ def metadata_features(lang: str | None, source: str | None, text: str | None) ->
     shape[9] = len(set(words)) / max(1, len(words))
     shape[10] = len(set(lines)) / max(1, len(lines))
     shape[11] = len(raw) / max(1, len(words)) / 10
-    shape[12] = np.mean(raw[1:] == raw[:-1]) if len(raw) > 1 else 0
-    shape[13] = len(np.unique(raw)) / 256
+    shape[12] = np.count_nonzero(raw[1:] == raw[:-1]) / (len(raw) - 1) if len(raw) > 1 else 0
+    shape[13] = np.count_nonzero(counts) / 256
     return out
 
 
@@ -100,7 +102,8 @@ class Logistic:
         """Gradient and Hessian of the loss over these rows."""
         design = np.column_stack([np.ones(len(x)), (x - self.center) / self.spread])
         p = 1 / (1 + np.exp(-np.clip(design @ self.weights, -30, 30)))
-        return design.T @ (p - y), (design.T * (p * (1 - p) + 1e-6)) @ design
+        half = design * np.sqrt(p * (1 - p) + 1e-6)[:, None]
+        return design.T @ (p - y), half.T @ half
 
     def moved(self, gradient: np.ndarray, hessian: np.ndarray, penalty: float = 1.0) -> tuple[Logistic, float]:
         """The model after a Newton step, and the size of the step."""
@@ -142,11 +145,18 @@ def _bins(odds: np.ndarray) -> np.ndarray:
     return np.clip(((odds + MOST) * FINE).astype("int64"), 0, _BINS - 1)
 
 
+def _odds(models: list[Logistic], x: np.ndarray) -> np.ndarray:
+    """The log-odds by each model, a row for each; the features are not standardised for every model anew."""
+    weights = np.stack([m.weights[1:] / m.spread for m in models])
+    starts = np.array([m.weights[0] for m in models]) - (np.stack([m.center for m in models]) * weights).sum(axis=1)
+    return np.clip(x @ weights.T + starts, -30, 30).T
+
+
 def _labels(history: list[Handed], x: np.ndarray) -> np.ndarray:
     """The label each document was handed first; NaN if none."""
     out = np.full(len(x), np.nan)
-    for h in history:
-        at, free = _bins(h.teacher.log_odds(x)), np.isnan(out)
+    for h, odds in zip(history, _odds([h.teacher for h in history], x) if history else ()):
+        at, free = _bins(odds), np.isnan(out)
         out[free & (at >= h.high)] = 1
         out[free & (at <= h.low)] = 0
     return out
@@ -160,7 +170,7 @@ def _moments(views: Views) -> np.ndarray:
 
 def _counts(history: tuple[list[Handed], list[Handed]], models: tuple[Logistic, Logistic], views: Views) -> np.ndarray:
     """Documents that each view has not handed on yet, by bins of its log-odds."""
-    return np.concatenate([np.bincount(_bins(m.log_odds(x[np.isnan(_labels(h, x))])), minlength=_BINS) for h, m, x in zip(history, models, views)])
+    return np.concatenate([np.bincount(_bins(_odds([m], x)[0][np.isnan(_labels(h, x))]), minlength=_BINS) for h, m, x in zip(history, models, views)])
 
 
 def _slopes(history: tuple[list[Handed], list[Handed]], models: tuple[Logistic, Logistic], views: Views) -> np.ndarray:
@@ -208,7 +218,8 @@ class Stored:
         # A vector for each task: a few tasks a core hold down what is sent.
         few = self.features.select("x").coalesce(2 * context.defaultParallelism)
         told = few.mapInArrow(add, "row bigint, " + ", ".join(f"c{i} double" for i in range(width)))
-        got = told.groupBy("row").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(width)]).toArrow().sort_by("row")
+        with shuffles_discarded(self.features.sparkSession):  # there are many such sums
+            got = told.groupBy("row").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(width)]).toArrow().sort_by("row")
         none = work(_views([]))
         return np.column_stack([got.column(f"c{i}").to_numpy() for i in range(width)]).ravel()[: len(none)] if got.num_rows else none
 

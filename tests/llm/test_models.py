@@ -193,3 +193,34 @@ def test_network_gradients_and_probabilities():
     for _ in range(30):
         net.train(ids, at)
     assert net.log_probs(ids, at).sum() > before + 1
+
+
+def test_labels_by_all_teachers_at_once():
+    r = np.random.default_rng(2)
+    x = r.random((200, 6))
+    models = [cotraining.Logistic(r.normal(0, 3, 7), r.random(6), r.random(6) + 0.1) for _ in range(3)]
+    assert np.allclose(cotraining._odds(models, x), [m.log_odds(x) for m in models])
+    history = [cotraining.Handed(m, 2900, 3100) for m in models]
+    labels = cotraining._labels(history, x)
+    for i, label in enumerate(labels):
+        each = [cotraining._bins(m.log_odds(x[i : i + 1]))[0] for m in models]
+        told = [1 if b >= 3100 else 0 for b in each if b >= 3100 or b <= 2900]
+        assert label == told[0] if told else np.isnan(label)
+
+
+def test_sums_leave_no_shuffle_files(spark):
+    import time
+
+    from contractframe.storage import discard, materialize
+
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: disk.getAllFiles().mkString(" ").count("shuffle_")
+    before = files()
+    features = spark.createDataFrame([(bytes(2 * (cotraining.BUCKETS + 2 * cotraining.NAMES + cotraining._SHAPES)),)] * 20, "x binary")
+    assert cotraining.Stored(features).sums(cotraining._moments)[0] == 20
+    discard(materialize(spark.range(1000).repartition(3, "id"), "ids"))
+    for _ in range(50):  # files go a moment after the query
+        if files() <= before:
+            return
+        time.sleep(0.2)
+    assert files() <= before
