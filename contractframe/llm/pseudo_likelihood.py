@@ -104,48 +104,52 @@ class Network:
         z = np.tile(self.w[HIDDEN], (len(context), 1))
         for p, place in enumerate(self.w[PLACES]):
             z += np.take(self.w[EMBED] * place, context[:, p], axis=0)
-        h = np.tanh(z)
+        h = np.tanh(z, out=z)
         h[:, -1] = 1
         return h
 
+    def in_classes(self, h: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, slice]]]:
+        """What each word of its target's class gets, a column for each place, and the run of places of each class.
+
+        Targets are in order of their classes.
+        """
+        cuts = np.searchsorted(target // PER_CLASS, np.arange(CLASSES + 1)).tolist()
+        runs = [(a, b, slice(WORD_OUT.start + c * PER_CLASS, WORD_OUT.start + (c + 1) * PER_CLASS)) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+        x = np.empty((PER_CLASS, len(h)), "float32")
+        for a, b, block in runs:
+            x[:, a:b] = self.w[block] @ h[a:b].T
+        return x, runs
+
     def log_probs(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         """log P of the words at these places."""
         out = np.empty(len(at), "float64")
         for i in range(0, len(at), 8192):
-            place = at[i : i + 8192]
+            order = _by_class(ids[at[i : i + 8192]])
+            place = at[i : i + 8192][order]
             h, target = self.hidden(ids[place[:, None] + _AROUND]), ids[place]
-            group = target // PER_CLASS
-            out[i : i + len(place)] = _log_softmax_at(h @ self.w[CLASS_OUT].T, group)
-            order = np.argsort(group.astype("uint8"), kind="stable")
-            cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
-            for c in range(CLASSES):
-                rows = order[cuts[c] : cuts[c + 1]]
-                if len(rows):
-                    out[i + rows] += _log_softmax_at(h[rows] @ self.w[WORD_OUT][c * PER_CLASS : (c + 1) * PER_CLASS].T, target[rows] % PER_CLASS)
+            told = _log_softmax_at(self.w[CLASS_OUT] @ h.T, target // PER_CLASS)
+            out[i + order] = told + _log_softmax_at(self.in_classes(h, target)[0], target % PER_CLASS).astype("float64")
         return out
 
     def train(self, ids: np.ndarray, at: np.ndarray) -> None:
         """One pass over these places, in batches, with step sizes by coordinate."""
         for i in range(0, len(at), BATCH):
             place = at[i : i + BATCH]
+            place = place[_by_class(ids[place])]
             context, target = ids[place[:, None] + _AROUND], ids[place]
-            h, group = self.hidden(context), target // PER_CLASS
-            back = np.zeros_like(h)
+            h = self.hidden(context)
             step = np.zeros_like(self.w)
             rows = np.arange(len(place))
-            p = _softmax(h @ self.w[CLASS_OUT].T)
-            p[rows, group] -= 1
-            step[CLASS_OUT] = p.T @ h
-            back += p @ self.w[CLASS_OUT]
-            order = np.argsort(group.astype("uint8"), kind="stable")
-            cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
-            for c in np.flatnonzero(np.diff(cuts)):
-                own = order[cuts[c] : cuts[c + 1]]
-                block = slice(WORD_OUT.start + c * PER_CLASS, WORD_OUT.start + (c + 1) * PER_CLASS)
-                q = _softmax(h[own] @ self.w[block].T)
-                q[np.arange(len(own)), target[own] % PER_CLASS] -= 1
-                step[block] = q.T @ h[own]
-                back[own] += q @ self.w[block]
+            p = _softmax(self.w[CLASS_OUT] @ h.T)
+            p[target // PER_CLASS, rows] -= 1
+            step[CLASS_OUT] = p @ h
+            back = p.T @ self.w[CLASS_OUT]
+            x, runs = self.in_classes(h, target)
+            q = _softmax(x)
+            q[target % PER_CLASS, rows] -= 1
+            for a, b, block in runs:
+                step[block] = q[:, a:b] @ h[a:b]
+                back[a:b] += q[:, a:b].T @ self.w[block]
             back *= 1 - h * h  # zero for the unit that is always 1
             step[HIDDEN] = back.sum(axis=0)
             for p, scale in enumerate(self.w[PLACES]):
@@ -167,14 +171,24 @@ def _sum_rows(ids: np.ndarray, values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
+def _by_class(target: np.ndarray) -> np.ndarray:
+    """An order of these ids by their classes."""
+    return np.argsort((target // PER_CLASS).astype("uint8"), kind="stable")
 
 
-def _log_softmax_at(x: np.ndarray, column: np.ndarray) -> np.ndarray:
-    top = x.max(axis=1)
-    return x[np.arange(len(x)), column] - top - np.log(np.exp(x - top[:, None]).sum(axis=1))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Of each column, in place."""
+    x -= x.max(axis=0)
+    np.exp(x, out=x)
+    x /= x.sum(axis=0)
+    return x
+
+
+def _log_softmax_at(x: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The log-softmax of each column at one of its rows; changes ``x``."""
+    x -= x.max(axis=0)
+    own = x[row, np.arange(len(row))]
+    return own - np.log(np.exp(x, out=x).sum(axis=0))
 
 
 def vocabulary(narrow: DataFrame) -> tuple[DataFrame, list[str]]:

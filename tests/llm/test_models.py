@@ -224,3 +224,16 @@ def test_sums_leave_no_shuffle_files(spark):
             return
         time.sleep(0.2)
     assert files() <= before
+
+
+def test_words_in_the_classes_of_their_places():
+    r = np.random.default_rng(3)
+    net = pseudo_likelihood.Network(pseudo_likelihood.start_weights() + r.normal(0, 0.1, (pseudo_likelihood.ROWS, pseudo_likelihood.WIDTH)).astype("float32"))
+    target = r.integers(0, pseudo_likelihood.SIZE, 300)
+    target = target[pseudo_likelihood._by_class(target)]
+    h = r.random((300, pseudo_likelihood.WIDTH)).astype("float32")
+    x, runs = net.in_classes(h, target)
+    for i, t in enumerate(target):
+        first = pseudo_likelihood.WORD_OUT.start + t // pseudo_likelihood.PER_CLASS * pseudo_likelihood.PER_CLASS
+        assert np.allclose(x[:, i], net.w[first : first + pseudo_likelihood.PER_CLASS] @ h[i], atol=1e-5)
+    assert sum(b - a for a, b, _ in runs) == 300
