@@ -2,18 +2,22 @@
 
 A byte-level BPE never merges across the borders of its pre-tokenizer, so a text can be cut at
 borders that certainly are such borders, each distinct piece encoded once, and the ids joined.
-Pieces of plain letters go straight to the BPE model; everything else through the whole tokenizer.
+Pieces of plain letters go straight to the BPE model, other ASCII ones after the cuts that the pre-tokenizer
+makes in them; everything else goes through the whole tokenizer.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Iterator
 
 _N, _W = r"[\S\x1c-\x1f]", r"[^\S\x1c-\x1f]"
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _PIECES = re.compile(rf"{_PLAIN.pattern}(?![^.,\s])|{_W}+(?!{_N})| ?{_N}+|{_W}+")
-_CACHE_ENTRIES = 400_000
+#: What the pre-tokenizer cuts ASCII text into.
+_ASCII = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^ \t-\rA-Za-z0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
+_CACHE_ENTRIES = 600_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -37,16 +41,20 @@ def encoder(vocabulary: str) -> TextEncoder:
 
 
 class _Pieces(dict):
-    """piece -> its ids as little-endian 32-bit bytes; forgets everything when full."""
+    """piece -> its ids as little-endian 32-bit bytes; when half full, forgets what was not met since it last was."""
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.before = encode, {}
 
     def __missing__(self, piece):
-        if len(self) >= _CACHE_ENTRIES:
+        if len(self) >= _CACHE_ENTRIES // 2:
+            self.before = dict(self)
             self.clear()
-        ids = self[piece] = self.encode(piece)
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        self[piece] = ids
         return ids
 
 
@@ -58,17 +66,29 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.byte_level = '"type":"ByteLevel","add_prefix_space":false' in re.sub(r"\s", "", vocabulary)
+        told = json.loads(vocabulary)
+        before = told.get("pre_tokenizer") or {}
+        self.byte_level = before.get("type") == "ByteLevel" and before.get("add_prefix_space") is False
+        # Where nothing else changes a text, ASCII is cut here as the pre-tokenizer would.
+        self.own_cuts = self.byte_level and before.get("use_regex", True) and told.get("normalizer") is None
+        self.model = self.tokenizer.model
+        self.packed = [i.to_bytes(4, "little") for i in range(1 + max(self.tokenizer.get_vocab().values(), default=0))]
         self.pieces = _Pieces(self._piece_ids)
 
     def _whole_ids(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece_ids(self, piece: str) -> bytes:
-        if not _PLAIN.fullmatch(piece):
+        if self.own_cuts and piece.isascii():
+            parts = [piece] if piece.strip(" ").isalpha() else _ASCII.findall(piece)
+        elif _PLAIN.fullmatch(piece):
+            parts = [piece]
+        else:
             return self._whole_ids(piece)
-        mapped = piece.encode().decode("latin-1").translate(_LETTERS)
-        return _packed([t.id for t in self.tokenizer.model.tokenize(mapped)])
+        found, tokenize, packed = [], self.model.tokenize, self.packed
+        for part in parts:
+            found += [packed[t.id] for t in tokenize(part.encode().decode("latin-1").translate(_LETTERS))]
+        return b"".join(found)
 
     def ids(self, text: str) -> bytes:
         """All ids of a whole text, the same as encoding it in one call."""

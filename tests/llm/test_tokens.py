@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from contractframe.llm import packing, token_store
+from contractframe.llm import packing, token_ids, token_store
 from contractframe.llm.catalog import vocabulary
 from contractframe.llm.token_ids import encoder
 
@@ -118,3 +118,20 @@ def test_one_document_from_its_file(spark, docs, tmp_path):
 def test_token_store_of_nothing(spark, docs, tmp_path):
     manifest = token_store.write_tokens(docs.limit(0), f"file://{tmp_path}", vocabulary())
     assert token_store.read_tokens(spark, manifest).collect() == []
+
+
+def test_ascii_text_is_cut_without_the_whole_tokenizer(monkeypatch):
+    text = "it's 12d(d** x'll ... 'S\tq\x1c9\x1f?\r\n ,,7"
+    own = token_ids.TextEncoder(vocabulary())
+    whole = own._whole_ids(text)
+    monkeypatch.setattr(token_ids.TextEncoder, "_whole_ids", None)
+    assert own.ids(text) == whole
+
+
+def test_pieces_met_again_are_not_forgotten(monkeypatch):
+    monkeypatch.setattr(token_ids, "_CACHE_ENTRIES", 4)
+    asked = []
+    pieces = token_ids._Pieces(lambda piece: asked.append(piece) or piece.encode())
+    for new in "abcdef":
+        assert pieces["x"] == b"x" and pieces[new] == new.encode()
+    assert asked.count("x") == 1 and len(pieces) + len(pieces.before) <= 4
