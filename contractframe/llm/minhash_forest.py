@@ -8,12 +8,11 @@ linked when their sets overlap by 75 of 100, and documents linked by any chain s
   ``DEPTH`` minima are a region; two of similarity 0.75 share none in 2 of a million cases.
 - Neighbours: in each sorted order the rows next to each other share the longest prefix, however deep the
   region is; each class tries the ``PARTNERS`` neighbours met most often and deepest. Their full sets decide.
-- The rest, exactly: a region whose classes are already one component needs no more pairs. In every other one
-  each class outside its largest component meets all classes of the region, in blocks of bounded size, and pairs
-  of different components whose whole signatures agree enough (four standard errors below the threshold) count.
-  One pass keeps the best few of each class and place; the likeliest are decided first, round by round while that
-  joins components, and then all that are left. Passes go on only where a class had more pairs than were kept, at last
-  without that bound. So nothing is lost to the choice of partners, and a region of n linked copies costs about n pairs.
+- The rest, exactly, in one pass: a region whose classes are already one component needs no more pairs. In every other
+  one each class outside its largest component meets all classes of the region, in blocks of bounded size. A block
+  first finds its classes that have a partner in another component by whole signatures (four standard errors below
+  the threshold); only these bring their texts to it, all their full sets meet there, and the block reports no more links
+  than join its components. Nothing is lost to the choice of partners, and no pair becomes a row before it is a link.
 
 Links, components and signatures stay in tables; the driver sees counts alone.
 
@@ -35,7 +34,8 @@ from contractframe.llm.words import LOW, mixed, range_hashes, rolling
 HASHES, TREES, DEPTH, RUN = 96, 24, 3, 5
 PARTNERS = 3  # tried first; the rest is done exactly
 LIKELY = 0.57  # agreement of signatures; four standard errors below 0.75
-_OUTSIDE, _CHUNK = 512, 2048  # classes of a region that meet in one block
+_OUTSIDE, _CHUNK = 512, 2048  # classes of a region that meet in one block; each ``_LONG`` runs of a longer one count as a class
+_LONG = 500
 _LAST = (1 << 63) - 1  # stands for a null id in class names
 _SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _FACTORS = np.random.default_rng(41).integers(0, 1 << 63, HASHES, dtype="uint64") * np.uint64(2) + np.uint64(1)
@@ -73,7 +73,7 @@ def _sets(texts: list[str | None]):
 
 
 def signatures(narrow: DataFrame) -> DataFrame:
-    """doc_id, _k, n (size of the set), s1 and s2 (hash of the set), sig (its minima)."""
+    """doc_id, _k, n (size of the set), s1 and s2 (hash of the set), sig (16 bits of each of its minima)."""
     import pyarrow as pa
 
     ship_package(narrow.sparkSession)
@@ -86,14 +86,14 @@ def signatures(narrow: DataFrame) -> DataFrame:
                 n = np.bincount(own, minlength=rows)
                 some = np.flatnonzero(n)
                 starts = (np.cumsum(n) - n)[some]
-                sums, least = np.zeros((2, rows), "uint64"), np.zeros((rows, HASHES), "uint32")
+                sums, least = np.zeros((2, rows), "uint64"), np.zeros((rows, HASHES), "uint16")
                 if len(some):
                     sums[0, some] = np.add.reduceat(mixed(found), starts)
                     sums[1, some] = np.add.reduceat(mixed(found ^ np.uint64(0x5851F42D4C957F2D)), starts)
                     turned = np.empty_like(found)
                     for j, factor in enumerate(_FACTORS):
                         np.multiply(found, factor, out=turned)
-                        least[some, j] = np.minimum.reduceat(turned, starts) >> np.uint64(32)
+                        least[some, j] = np.minimum.reduceat(turned, starts) >> np.uint64(32) & np.uint64(0xFFFF)
                 yield batches({
                     "doc_id": (part.column("doc_id"), None), "_k": (part.column("_k"), None), "n": (pa.array(n.astype("int64")), None),
                     "s1": (pa.array(sums[0].view("int64")), None), "s2": (pa.array(sums[1].view("int64")), None),
@@ -112,7 +112,7 @@ def _binary(rows: np.ndarray):
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
 
 
-def _matrix(column, kind: str = "uint32") -> np.ndarray:
+def _matrix(column, kind: str = "uint16") -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
 
@@ -139,7 +139,7 @@ def _neighbours(classes: DataFrame) -> DataFrame:
         for batch in stream:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                least = _matrix(part.column("sig")).astype("uint64") & np.uint64(0xFFFF)
+                least = _matrix(part.column("sig")).astype("uint64")
                 for tree in range(TREES):
                     p, q = np.full(part.num_rows, tree, "uint64"), np.zeros(part.num_rows, "uint64")
                     for i in range(DEPTH):
@@ -186,9 +186,10 @@ def _neighbours(classes: DataFrame) -> DataFrame:
 
 
 def _first_pairs(neighbours: DataFrame) -> DataFrame:
-    """Of each class the neighbours met most often and deepest, as pairs x < y."""
+    """Of each class the neighbours met most often and deepest, as pairs x < y; those met once and not deep are left to the rest."""
     met = neighbours.where("yd IS NOT NULL").select(F.struct(F.col("xd").alias("d"), F.col("xk").alias("k")).alias("x"), F.struct(F.col("yd").alias("d"), F.col("yk").alias("k")).alias("y"), "depth")
     strength = met.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.sum("depth").alias("strength"))
+    strength = strength.where(F.col("strength") >= 2 * DEPTH)
     both = strength.unionByName(strength.select(F.col("y").alias("x"), F.col("x").alias("y"), "strength"))
     # A class has at most two neighbours in each order, so the window is small for every class.
     best = both.withColumn("_r", F.row_number().over(Window.partitionBy("x").orderBy(F.desc("strength"), "y"))).where(F.col("_r") <= PARTNERS)
@@ -265,71 +266,170 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, percent: int, most: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pairs of different components that share a region and whose signatures agree in ``alike`` places, enough of them.
-
-    With ``most``, only the best that many for each class outside a region's main component, order and block;
-    ``cut`` says that such a class has more. Also gives the members of regions that are still open, all that later
-    passes need, and the stored shapes of these regions; both can be discarded once the pairs are stored.
-    """
-    import pyarrow as pa
-
+def _rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links x, y between different components that share a region, stored: in each block as many as join its components."""
     told = members.join(labels.select("node", "label"), "node", "left").select("p", "node", F.coalesce("label", "node").alias("label"))
     told = materialize(told, "regions")
     mixed_regions = told.groupBy("p").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select(F.col("p").alias("_p"))
-    mixed_regions = materialize(mixed_regions, "mixed-regions")
-    open_ = materialize(told.join(mixed_regions, F.col("p") == F.col("_p")).select("p", "node", "label"), "open-regions")
-    discard(told, mixed_regions)
-    by_label = open_.groupBy("p", "label").agg(F.count("*").alias("c"))
-    shape = by_label.groupBy(F.col("p").alias("_p")).agg(F.max(F.struct("c", "label")).alias("main"), F.sum("c").alias("m"))
+    open_ = told.join(mixed_regions, F.col("p") == F.col("_p")).select("p", "node", "label")
+    open_ = materialize(open_.join(classes.select("node", "sig", F.col("n").alias("size")), "node"), "open-regions")
+    discard(told)
+    rows = materialize(_blocks(open_).mapInArrow(_with_partners(percent), _PLACED), "partners")
+    discard(open_)
+    worded = rows.join(texts.select(F.col("node.d").alias("_d"), F.col("node.k").alias("_k"), "z"), (F.col("d") == F.col("_d")) & (F.col("k") == F.col("_k"))).drop("_d", "_k")
+    met = _together(worded).mapInArrow(_joining(percent), "xd bigint, xk bigint, yd bigint, yk bigint")
+    x, y = F.struct(F.col("xd").alias("d"), F.col("xk").alias("k")), F.struct(F.col("yd").alias("d"), F.col("yk").alias("k"))
+    links = materialize(met.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct(), "near-links")
+    discard(rows)
+    return links
+
+
+_PLACED = "p bigint, i int, j int, role int, d bigint, k bigint, ld bigint, lk bigint"
+#: Roles in a block: of the main component; outside it, to meet the others; both, where one block is the whole region; outside, to be met.
+_MAIN, _OUT, _ALONE, _MET = range(4)
+_MEET, _MEET_ONCE = 1, 2  # _MEET_ONCE: these two meet in a second block too, so the smaller name decides
+_PAIRS = np.zeros((4, 4), "int8")
+_PAIRS[_ALONE, [_MAIN, _ALONE]] = _PAIRS[_MAIN, _ALONE] = _PAIRS[_OUT, _MAIN] = _PAIRS[_MAIN, _OUT] = _MEET
+_PAIRS[_OUT, _MET] = _PAIRS[_MET, _OUT] = _MEET_ONCE
+
+
+def _blocks(open_: DataFrame) -> DataFrame:
+    """The classes of open regions, dealt to blocks (p, i, j) where each meets the ones it has to; rows of a block follow each other."""
+    weight = F.greatest(F.lit(1.0), F.col("size") / _LONG)
+    by_label = open_.groupBy("p", "label").agg(F.count("*").alias("c"), F.sum(weight).alias("w"))
+    shape = by_label.groupBy(F.col("p").alias("_p")).agg(F.max(F.struct("c", "label", "w")).alias("main"), F.sum("c").alias("m"), F.sum("w").alias("w"))
+    parts = lambda w, c, most: F.greatest(F.lit(1), F.least(F.ceil(w / most), c)).cast("int")
     shape = shape.select(
-        "_p", F.col("main.label").alias("main"), F.ceil((F.col("m") - F.col("main.c")) / _OUTSIDE).cast("int").alias("_i"),
-        F.ceil(F.col("m") / _CHUNK).cast("int").alias("_j"),
+        "_p", F.col("main.label").alias("main"), parts(F.col("w") - F.col("main.w"), F.col("m") - F.col("main.c"), _OUTSIDE).alias("_i"),
+        parts(F.col("w"), F.col("m"), _CHUNK).alias("_j"),
     )
-    shape = materialize(shape, "region-shapes")
-    sig = classes.select("node", "sig", F.col("n").alias("size"))
-    rows = open_.join(sig, "node").join(shape, F.col("p") == F.col("_p"))
-    hash_ = F.xxhash64("node")
-    outside = rows.where("label <> main").select(
-        "p", F.pmod(hash_, "_i").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("_j") - 1)).alias("j"), F.lit(True).alias("out"), "node", "label", "sig", "size"
-    )
-    all_ = rows.select(
-        "p", F.explode(F.sequence(F.lit(0), F.col("_i") - 1)).alias("i"), F.pmod(F.shiftright(hash_, 20), "_j").cast("int").alias("j"), F.lit(False).alias("out"), "node", "label", "sig", "size"
-    )
-    plain = outside.unionByName(all_).select("p", "i", "j", "out", F.col("node.d").alias("d"), F.col("node.k").alias("k"), F.col("label.d").alias("ld"), F.col("label.k").alias("lk"), "sig", "size")
-
-    def meet(group):
-        out = group.column("out").to_numpy()
-        names = np.stack([group.column(c).to_numpy() for c in ("d", "k", "ld", "lk")])
-        size = group.column("size").to_numpy()
-        sigs = _matrix(group.column("sig"))
-        tree = group.column("p")[0].as_py() >> 16 * DEPTH if group.num_rows else 0
-        leading = (sigs & 0xFFFF)[:, [t * (HASHES // TREES) + i for t in range(TREES) for i in range(DEPTH)]]
-        x, y = np.flatnonzero(out), np.flatnonzero(~out)
-        low, labels, size_y = (sigs & 0xFF).astype("uint8")[y], names[2:, y], size[y]
-        found = []
-        for i in x:
-            # Sizes alone rule a pair out, or its last bytes: where whole minima agree, these do.
-            near = (100 * np.minimum(size_y, size[i]) >= percent * np.maximum(size_y, size[i])) & (labels != names[2:, [i]]).any(axis=0)
-            at = np.flatnonzero(near)
-            at = y[at[_agreeing(low[at], (sigs[i] & 0xFF).astype("uint8")) >= LIKELY * HASHES]]
-            alike = (sigs[at] == sigs[i]).sum(axis=1)
-            at, alike = at[alike >= LIKELY * HASHES], alike[alike >= LIKELY * HASHES]
-            # A pair is named in the first order where both share a region.
-            first = (leading[at] == leading[i]).reshape(len(at), TREES, DEPTH).all(axis=2).argmax(axis=1) == tree
-            at, alike = at[first], alike[first]
-            cut = most is not None and len(at) > most
-            if cut:
-                best = np.argsort(-alike, kind="stable")[:most]
-                at, alike = at[best], alike[best]
-            found.append(np.concatenate([np.repeat(names[:2, [i]], len(at), axis=1), names[:2, at], alike[None], np.full((1, len(at)), cut)]))
-        found = np.concatenate(found, axis=1) if found else np.zeros((6, 0), "int64")
-        return pa.Table.from_arrays([pa.array(v) for v in found], names=["xd", "xk", "yd", "yk", "alike", "cut"])
-
-    met = plain.groupBy("p", "i", "j").applyInArrow(meet, "xd bigint, xk bigint, yd bigint, yk bigint, alike bigint, cut bigint")
-    x, y = F.struct(F.col("xd").alias("d"), F.col("xk").alias("k")), F.struct(F.col("yd").alias("d"), F.col("yk").alias("k"))
-    named = met.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"), "alike", "cut")
-    return named.groupBy("x", "y").agg(F.max("alike").alias("alike"), (F.max("cut") > 0).alias("cut")), open_, shape
+    rows = open_.join(shape, F.col("p") == F.col("_p"))
+    out, hash_ = F.col("label") != F.col("main"), F.xxhash64("node")
+    i, j = F.pmod(hash_, "_i").cast("int"), F.pmod(F.shiftright(hash_, 20), "_j").cast("int")
+    place = lambda i, j, role: F.struct(i.alias("i"), j.alias("j"), role.cast("int").alias("role"))
+    zero, role = F.lit(0), lambda other: F.when(out, F.lit(other)).otherwise(F.lit(_MAIN))
+    meets = F.transform(F.sequence(zero, F.col("_j") - 1), lambda b: place(i, b, F.lit(_OUT)))
+    met = F.transform(F.sequence(zero, F.col("_i") - 1), lambda b: place(b, j, role(_MET)))
+    places = F.when((F.col("_i") == 1) & (F.col("_j") == 1), F.array(place(zero, zero, role(_ALONE)))).otherwise(F.when(out, F.concat(meets, met)).otherwise(met))
+    placed = rows.select("p", F.explode(places).alias("at"), "node", "label", "size", "sig")
+    return _together(placed.select(
+        "p", "at.i", "at.j", "at.role", F.col("node.d").alias("d"), F.col("node.k").alias("k"), F.col("label.d").alias("ld"), F.col("label.k").alias("lk"), "size", "sig"
+    ))
+
+
+def _together(placed: DataFrame) -> DataFrame:
+    return placed.repartition("p", "i", "j").sortWithinPartitions("p", "i", "j")
+
+
+def _whole_blocks(stream):
+    """Batches cut where blocks end, and the number of the block in its batch for every row."""
+    import pyarrow as pa
+
+    held = None
+    for batch in stream:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        keys = [batch.column(c).to_numpy() for c in ("p", "i", "j")]
+        turns = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+        last = int(turns[-1]) if len(turns) else 0
+        if last:
+            yield batch.slice(0, last), np.searchsorted(turns, np.arange(last), side="right")
+        held = batch.slice(last)
+    if held is not None:
+        yield held, np.zeros(held.num_rows, "int64")
+
+
+def _meeting(role: np.ndarray, names: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of these rows of a block meet: pairs of different components, each in one block of a region."""
+    kind = _PAIRS[role[a], role[b]]
+    good = (kind > 0) & (names[2:, a] != names[2:, b]).any(axis=0)
+    once = np.flatnonzero(good & (kind == _MEET_ONCE))
+    if len(once):
+        first = role[a[once]] == _OUT
+        x, y = np.where(first, a[once], b[once]), np.where(first, b[once], a[once])
+        good[once] = (names[0, x] < names[0, y]) | (names[0, x] == names[0, y]) & (names[1, x] < names[1, y])
+    return good
+
+
+def _with_partners(percent: int):
+    """Rows of a block that have a partner in it, as far as signatures tell."""
+    lead = [t * (HASHES // TREES) + i for t in range(TREES) for i in range(DEPTH)]
+
+    def find(stream):
+        for batch, block in _whole_blocks(stream):
+            names = np.stack([batch.column(c).to_numpy() for c in ("d", "k", "ld", "lk")])
+            role, size, sigs = batch.column("role").to_numpy(), batch.column("size").to_numpy(), _matrix(batch.column("sig"))
+            low, tree = np.ascontiguousarray((sigs & 0xFF).astype("uint8")), batch.column("p").to_numpy() >> 16 * DEPTH
+            found = np.zeros(batch.num_rows, bool)
+            for step in range(1, batch.num_rows):
+                a = np.flatnonzero(block[step:] == block[:-step])
+                if not len(a):
+                    break
+                b = a + step
+                good = (100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])) & _meeting(role, names, a, b)
+                a, b = a[good], b[good]
+                # The last bytes of minima agree wherever whole ones do.
+                good = _agreeing(low[a], low[b]) >= LIKELY * HASHES
+                a, b = a[good], b[good]
+                if not len(a):
+                    continue
+                good = (sigs[a] == sigs[b]).sum(axis=1) >= LIKELY * HASHES
+                # A pair belongs to the first order where both share a region.
+                shared = (sigs[a][:, lead] == sigs[b][:, lead]).reshape(len(a), TREES, DEPTH).all(axis=2)
+                good &= shared.argmax(axis=1) == tree[a]
+                found[a[good]] = found[b[good]] = True
+            at = np.flatnonzero(found)
+            if len(at):
+                yield batch.select(_PLACED.replace(" bigint", "").replace(" int", "").split(", ")).take(at)
+
+    return find
+
+
+def _joining(percent: int):
+    """Links between the full sets of a block that join its components, a tree of them."""
+    import pyarrow as pa
+
+    def join(stream):
+        import zstandard
+
+        open_ = zstandard.ZstdDecompressor()
+        for batch, block in _whole_blocks(stream):
+            names = np.stack([batch.column(c).to_numpy() for c in ("d", "k", "ld", "lk")])
+            role, z = batch.column("role").to_numpy(), batch.column("z")
+            ends = np.append(np.flatnonzero(np.diff(block)) + 1, batch.num_rows).tolist()
+            links = []
+            for start, end in zip([0, *ends], ends):
+                for x, y in _tree(names[:, start:end], role[start:end], [open_.decompress(v).decode() for v in z.slice(start, end - start).to_pylist()], percent):
+                    links.append((start + x, start + y))
+            if links:
+                x, y = np.array(links).T
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (names[0, x], names[1, x], names[0, y], names[1, y])], names=["xd", "xk", "yd", "yk"])
+
+    return join
+
+
+def _tree(names: np.ndarray, role: np.ndarray, texts: list[str], percent: int) -> list[tuple[int, int]]:
+    """Of one block: pairs of rows whose sets overlap by ``percent`` of their union, as many as join components."""
+    found, own = _sets(texts)
+    runs, code = np.unique(found, return_inverse=True)
+    size = np.bincount(own, minlength=len(texts))
+    starts = np.cumsum(size) - size
+    _, label = np.unique(names[2:], axis=1, return_inverse=True)
+    label = label.reshape(-1)  # components of this block; two become one when a link is found
+    links, marked, every = [], np.zeros(len(runs), bool), np.arange(len(texts))
+    for x in np.flatnonzero((role == _OUT) | (role == _ALONE)):
+        mine = code[starts[x] : starts[x] + size[x]]
+        marked[mine] = True
+        both = np.bincount(own[marked[code]], minlength=len(texts))
+        marked[mine] = False
+        good = 100 * both >= percent * (size + size[x] - both)
+        for y in np.flatnonzero(good & _meeting(role, names, np.full(len(texts), x), every)):
+            if label[x] != label[y]:
+                label[label == label[y]] = label[x]
+                links.append((int(x), int(y)))
+    return links
 
 
 def _agreeing(rows: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -338,15 +438,6 @@ def _agreeing(rows: np.ndarray, one: np.ndarray) -> np.ndarray:
     return (eights * np.uint64(0x0101010101010101)) >> np.uint64(56)
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose classes are not in one component."""
-    own = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
-    told = pairs
-    for end in "xy":
-        told = told.join(own.withColumnsRenamed({"_node": f"_n{end}", "_label": f"_l{end}"}), F.col(end) == F.col(f"_n{end}"), "left")
-    return told.where(F.coalesce("_lx", "x") != F.coalesce("_ly", "y")).select(*pairs.columns)
-
-
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after more links; they join whole components."""
     ends = links.select(F.col("x").alias("node")).unionByName(links.select(F.col("y").alias("node"))).distinct()
@@ -370,40 +461,11 @@ def assign(narrow: DataFrame, percent: int = 75) -> DataFrame:
     texts = materialize(_packed_texts(narrow, members.select("node").distinct()), "class-texts")
     tried = materialize(_first_pairs(neighbours), "first-pairs")
     links = materialize(_links(tried, texts, percent), "links")
-    labels = components(links)  # and the label before the last step
-    tested, open_ = tried, members
-    while True:
-        likely, still_open, shape = _rest_pairs(members, labels, classes, percent, PARTNERS)
-        likely = materialize(likely.join(tested, ["x", "y"], "left_anti"), "likely-pairs")
-        discard(shape, open_)
-        open_, members = still_open, still_open.select("p", "node")  # a region that is one component stays one
-        cut, joined = not likely.where("cut").isEmpty(), False
-        # The likeliest of each class first, for as long as that joins components; then what is left of the pairs.
-        for best in (True, False):
-            while True:
-                apart = _apart(likely, labels).join(tested, ["x", "y"], "left_anti")
-                if best:
-                    apart = apart.withColumn("_r", F.row_number().over(Window.partitionBy("x").orderBy(F.desc("alike"), "y"))).where("_r = 1")
-                near = materialize(apart.select("x", "y"), "near-pairs")
-                found = materialize(_links(near, texts, percent), "near-links")
-                before, tested = tested, materialize(tested.unionByName(near), "tested-pairs")
-                none = found.isEmpty()
-                if not none:
-                    labels, joined = _merged(labels, found), True
-                discard(before, near, found)
-                if none or not best:
-                    break
-            if cut and joined:
-                break  # what is left is looked for again, among the components there are now
-        discard(likely)
-        if not (cut and joined):
-            break
-    if cut:  # some classes have more pairs than were looked at
-        rest, still_open, shape = _rest_pairs(members, labels, classes, percent)
-        more = materialize(_links(rest.join(tested, ["x", "y"], "left_anti").select("x", "y"), texts, percent), "more-links")
+    labels = components(links)
+    more = _rest_pairs(members, labels, classes, texts, percent)
+    if not more.isEmpty():
         labels = _merged(labels, more)
-        discard(more, still_open, shape)
-    discard(open_, tested, texts, neighbours, links)
+    discard(tried, texts, neighbours, links, more)
     final = classes.select("n", "s1", "s2", "node").join(labels, "node", "left")
     final = final.select(F.col("n").alias("_n"), F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), "node", F.coalesce("label", "node").alias("label"))
     final = materialize(final, "class-labels")

@@ -253,3 +253,23 @@ def test_agreeing_bytes():
     rows = np.random.default_rng(5).integers(0, 3, (50, minhash_forest.HASHES), "uint8")
     rows[7] = rows[3]
     assert (minhash_forest._agreeing(rows, rows[3]) == (rows == rows[3]).sum(axis=1)).all()
+
+
+def test_one_pass_whatever_partners_were_tried(docs, rows, monkeypatch):
+    passes, own = [], minhash_forest._rest_pairs
+    monkeypatch.setattr(minhash_forest, "_rest_pairs", lambda *given: passes.append(own(*given)) or passes[-1])
+    monkeypatch.setattr(minhash_forest, "PARTNERS", 1)
+    got = Counter(tuple(r)[:3] for r in minhash_forest.near_duplicates(docs).collect())
+    assert len(passes) == 1 and passes[0].columns == ["x", "y"] and got == Counter(near(rows))
+
+
+def test_a_block_reports_a_tree_of_links():
+    import numpy as np
+
+    words = [f"w{i}" for i in range(60)]
+    copies = [" ".join([*words[:i], f"x{i}", *words[i + 1 :]]) for i in (5, 6, 7, 8)]
+    texts = [*copies, " ".join(words[::-1]), "other"]
+    label = np.array([0, 1, 0, 2, 4, 5])
+    names = np.stack([np.arange(6), np.zeros(6, "int64"), label, np.zeros(6, "int64")])
+    links = minhash_forest._tree(names, np.array([0, 2, 0, 2, 2, 2]), texts, 75)
+    assert len(links) == 2 and {frozenset((label[x], label[y])) for x, y in links} <= {frozenset(p) for p in ((0, 1), (0, 2), (1, 2))}
