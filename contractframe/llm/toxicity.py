@@ -11,7 +11,8 @@ words, and of all words that lean to toxic, by the number of words (see ``eviden
 hide a few expressions and no single odd word decides. A logistic curve fitted on labelled texts turns these into
 a score; each of those texts is judged by models counted without its fold.
 
-Learning takes at most ``SAMPLE_ROWS`` labelled documents (those of smallest hash). Everything the driver and the broadcast hold follows from them: their n-grams and their few features.
+Learning takes at most ``SAMPLE_ROWS`` labelled documents (those of smallest hash). Everything the driver and the broadcast hold follows from them: their n-grams, as a table,
+the ratios of one fold at a time, and their few features.
 
 Defined results: null and empty texts and texts without letters score as texts without any evidence; a null
 id is never held out and has no label; a document labelled more than once counts as toxic if any label says
@@ -24,14 +25,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contractframe.llm.common import batches, ground, ship_package, slices
+from contractframe.llm.common import batches, discard, ground, materialize, ship_package, slices
 
 ORDER, DISCOUNT = 5, 0.75
 SAMPLE_ROWS, FOLDS = 20_000, 4
@@ -108,6 +109,9 @@ class LetterRatios:
             h: sum(sign * math.log(c.weight(h)) for sign, c in zip((1, -1), classes) if h in c.total)
             for h in {g[:-1] for g in grams}
         }
+        # The functions above refer to themselves; what they hold is large and goes now, not with the next collection.
+        shared.clear()
+        known.clear()
 
     def word(self, word: str) -> float:
         """Log-likelihood ratio of a word."""
@@ -189,18 +193,26 @@ class ToxicityModel:
         return self.curve(np.array([evidence(self._cache, t) for t in texts]))
 
 
+def _sums(counted) -> Iterator[tuple[str, int]]:
+    """Each n-gram of a table of counts and the sum of its counts."""
+    added = counted.group_by("gram", use_threads=False).aggregate([("c", "sum")])
+    for part in added.to_batches(max_chunksize=10_000):
+        yield from zip(part.column("gram").to_pylist(), part.column("c_sum").to_pylist())
+
+
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_id: str = "doc_id", label: str = "toxic") -> ToxicityModel:
     """Learn from labelled documents that are not held out."""
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     ship_package(docs.sparkSession)
     told = labels.where(F.col(label).isNotNull() & F.col(label_id).isNotNull() & ~held_out(F.col(label_id)))
     own = told.groupBy(F.col(label_id).cast("bigint").alias("_id")).agg(F.max(F.col(label).cast("int")).alias("y"))
     sample = own.withColumn("_h", F.xxhash64("_id", F.lit(17))).orderBy("_h", "_id").limit(SAMPLE_ROWS)
     sample = sample.select("_id", "y", F.pmod("_h", F.lit(FOLDS)).cast("int").alias("fold"))
-    rows = ground(docs, doc_id=F.col(id_column).cast("bigint"), text=F.col(text_column)).join(
+    rows = materialize(ground(docs, doc_id=F.col(id_column).cast("bigint"), text=F.col(text_column)).join(
         F.broadcast(sample), F.col("doc_id") == F.col("_id")  # at most SAMPLE_ROWS rows of 13 bytes
-    ).where("y IN (0, 1)").select("y", "fold", "text")
+    ).where("y IN (0, 1)").select("y", "fold", "text"), "labelled-texts")
 
     def count(stream):
         for batch in stream:
@@ -215,30 +227,44 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
                 })
 
     counted = rows.mapInArrow(count, "gram string, y int, fold int, c bigint").groupBy("gram", "y", "fold").agg(F.sum("c").alias("c")).toArrow()
-    every = list(zip(*(counted.column(c).to_pylist() for c in ("gram", "y", "fold", "c"))))
 
-    def without(left_out: int | None) -> LetterRatios | None:
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
-        for gram, y, fold, c in every:
-            if fold != left_out:
-                counts[y][gram] += c
-        return LetterRatios(counts[1], counts[0]) if counts[0] and counts[1] else None
+    def without(left_out: int) -> LetterRatios | None:
+        """Ratios of all folds but one; -1 leaves none out."""
+        pa.default_memory_pool().release_unused()
+        own = counted.filter(pc.not_equal(counted.column("fold"), left_out))
+        toxic, ordinary = (dict(_sums(own.filter(pc.equal(own.column("y"), y)))) for y in (1, 0))
+        return LetterRatios(toxic, ordinary) if toxic and ordinary else None
 
-    ratios, folds = without(None), [without(k) for k in range(FOLDS)]
+    names = [f"x{i}" for i in range(EVIDENCE)]
+
+    def judged(fold: int):
+        """The evidence of a fold's texts by ratios that do not know them."""
+        ratios = without(fold)
+        if ratios is None:
+            return None
+        shared = docs.sparkSession.sparkContext.broadcast(ratios)
+        del ratios
+
+        def look(stream):
+            words = _WordRatios(shared.value)
+            for batch in stream:
+                x = np.array([evidence(words, t) for t in batch.column("text").to_pylist()]).reshape(-1, EVIDENCE)
+                yield batches({"y": (batch.column("y"), None), **{c: (pa.array(x[:, i]), None) for i, c in enumerate(names)}})
+
+        told = rows.where(F.col("fold") == fold).select("y", "text").mapInArrow(look, "y int, " + ", ".join(f"{c} double" for c in names)).toArrow()
+        shared.destroy()
+        return told
+
+    ratios = without(-1)
     if ratios is None:
+        discard(rows)
         return ToxicityModel(None, None)
-    shared = docs.sparkSession.sparkContext.broadcast(folds)
-
-    def look(stream):
-        caches = [_WordRatios(r) if r else None for r in shared.value]
-        for batch in stream:
-            y, fold, texts = (batch.column(c).to_pylist() for c in ("y", "fold", "text"))
-            seen = [(v, evidence(caches[k], t)) for v, k, t in zip(y, fold, texts) if caches[k] is not None]
-            x = np.array([e for _, e in seen]).reshape(-1, EVIDENCE)
-            yield batches({"y": ([v for v, _ in seen], pa.int32()), **{f"x{i}": (pa.array(x[:, i]), None) for i in range(EVIDENCE)}})
-
-    names = [f"x{i}" for i in range(EVIDENCE)]
-    seen = rows.mapInArrow(look, "y int, " + ", ".join(f"{c} double" for c in names)).toArrow()
+    judgements = [told for told in map(judged, range(FOLDS)) if told is not None]
+    discard(rows)
+    if not judgements:
+        return ToxicityModel(None, None)
+    seen = pa.concat_tables(judgements)
+    pa.default_memory_pool().release_unused()
     y = seen.column("y").to_numpy()
     if len(set(y.tolist())) < 2:
         return ToxicityModel(None, None)

@@ -237,3 +237,22 @@ def test_words_in_the_classes_of_their_places():
         first = pseudo_likelihood.WORD_OUT.start + t // pseudo_likelihood.PER_CLASS * pseudo_likelihood.PER_CLASS
         assert np.allclose(x[:, i], net.w[first : first + pseudo_likelihood.PER_CLASS] @ h[i], atol=1e-5)
     assert sum(b - a for a, b, _ in runs) == 300
+
+
+def test_toxicity_holds_the_ratios_of_one_fold_at_a_time(spark, monkeypatch):
+    import weakref
+
+    held, most, own = weakref.WeakSet(), [], toxicity.LetterRatios.__init__
+
+    def counted(self, *given):
+        own(self, *given)
+        held.add(self)
+        most.append(len(held))
+
+    monkeypatch.setattr(toxicity.LetterRatios, "__init__", counted)
+    docs = spark.createDataFrame([(i, "vile idiot" if i % 4 == 0 else "the of and") for i in range(80)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)], "doc_id bigint, toxic int")
+    model = toxicity.train(docs, labels)
+    assert list(model.scores(["vile idiot", "the of and"]) > 0.5) == [True, False]
+    # The whole model, that of a fold, and the one before it until its name is taken.
+    assert len(most) == 1 + toxicity.FOLDS and max(most) <= 3
