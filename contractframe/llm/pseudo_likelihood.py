@@ -6,8 +6,10 @@ document's score is the sum of the log-probabilities of all its words, each give
 
 The vocabulary is counted over the whole corpus: the ``TOP`` most frequent words, and ``RARE`` ids that the
 other words share by hash. The network predicts ids; a word that shares its id has the probability
-count(word) / count(id) within it, by the counts of all words, which stay a Spark table that each document's
-words are joined to (``own_words``; else the score is that of the ids). Training is data-parallel over all
+count(word) / count(id) within it, by the counts of all words, which stay a Spark table that each block's
+distinct words are joined to (``own_words``; else the score is that of the ids). Texts are cut to words once, and
+stored as blocks of documents: the distinct words of a block, and every word's number among them, which is what
+counting, training and scoring read. Training is data-parallel over all
 documents: the words of every document are dealt over the rounds, so that together they train on every word
 once. In each round every task starts from the shared weights, trains on that round's words, and the weights are
 averaged by the words they saw. A table of fixed size goes out and comes back, whatever the corpus.
@@ -20,7 +22,7 @@ corpus without words leaves the weights as they began; other input columns are i
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -33,7 +35,7 @@ TOP, RARE, CLASSES = 896, 128, 32
 SIZE = TOP + RARE  # ids; SIZE itself marks what lies past an end
 PER_CLASS = SIZE // CLASSES
 ROUNDS, RATE, BATCH = 2, 0.08, 4096
-_ARRAYS = "words array<string>, counts array<int>"
+_BLOCK = 24 << 20  # bytes of text in a block of documents
 _MARKS = ".,;:!?"
 _CACHE_WORDS = 200_000
 
@@ -64,14 +66,24 @@ class WordIds(dict):
         value = self[word] = TOP + zlib.crc32(word.encode()) % RARE
         return value
 
-    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, with marks around each, and the place of every word's text."""
-        found, lengths = [], []
+    def of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), "int64", len(words))
+
+
+class Codes(dict):
+    """word -> its number among the distinct words met so far."""
+
+    def __missing__(self, word):
+        code = self[word] = len(self)
+        return code
+
+    def of(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The numbers of each text's words."""
+        found = []
         for text in texts:
-            ids = list(map(self.__getitem__, words_of(text)))
-            found += [SIZE] * SIDE + ids + [SIZE] * SIDE
-            lengths.append(len(ids))
-        return np.array(found, "int64"), np.array(lengths, "int64")
+            words = words_of(text)
+            found.append(np.fromiter(map(self.__getitem__, words), "int32", len(words)))
+        return found
 
 
 def start_weights(seed: int = 7) -> np.ndarray:
@@ -167,7 +179,7 @@ def _sum_rows(ids: np.ndarray, values: np.ndarray) -> np.ndarray:
     order = np.argsort(ids.astype("uint16"), kind="stable")
     found = ids[order]
     starts = np.flatnonzero(np.diff(found, prepend=-1))
-    out[found[starts]] = np.add.reduceat(values[order], starts, axis=0)
+    out[found[starts]] = np.add.reduceat(np.take(values, order, axis=0), starts, axis=0)
     return out
 
 
@@ -191,29 +203,71 @@ def _log_softmax_at(x: np.ndarray, row: np.ndarray) -> np.ndarray:
     return own - np.log(np.exp(x, out=x).sum(axis=0))
 
 
-def vocabulary(narrow: DataFrame) -> tuple[DataFrame, list[str]]:
-    """How often each word occurs in all documents, stored, and the TOP most frequent ones; ties by the word itself."""
+def blocks_of(narrow: DataFrame, most_bytes: int = _BLOCK) -> DataFrame:
+    """The documents in blocks, stored: their ids and numbers of words, how many of them train together, the distinct
+    words of the block with their counts, and the number among these of each word, as bytes of 32-bit integers."""
     import pyarrow as pa
 
-    def count(stream):
+    kind = narrow.schema["doc_id"].dataType.simpleString()
+
+    def parse(stream):
+        ids, codes, cuts, known, size = [], [], [], Codes(), 0
+
+        def block():
+            each = np.concatenate([*codes, np.zeros(0, "int32")])
+            listed = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            counts = pa.array(np.bincount(each, minlength=len(known)), pa.int64())
+            return batches({
+                "doc_ids": (listed(pa.concat_arrays(ids)), None),
+                "lengths": (listed(pa.array([len(c) for c in codes], pa.int32())), None),
+                "cuts": (listed(pa.array(cuts, pa.int32())), None),
+                "words": (listed(pa.StructArray.from_arrays([pa.array(list(known), pa.string()), counts], ["word", "c"])), None),
+                "codes": ([each.tobytes()], pa.binary()),
+            })
+
         for batch in stream:
-            for part in slices(batch, "text", 4 << 20):
-                found: Counter = Counter()
-                for text in part.column("text").to_pylist():
-                    found.update(words_of(text))
-                yield batches({"word": (list(found), pa.string()), "c": (list(found.values()), pa.int64())})
-
-    counted = narrow.select("text").mapInArrow(count, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
-    counted = materialize(counted, "words")
+            for part in slices(batch, "text", min(most_bytes, 1 << 20)):
+                ids.append(part.column("doc_id"))
+                codes += known.of(part.column("text").to_pylist())
+                cuts.append(part.num_rows)
+                size += part.column("text").nbytes
+                if size >= most_bytes:
+                    yield block()
+                    ids, codes, cuts, known, size = [], [], [], Codes(), 0
+        if ids:
+            yield block()
+
+    columns = f"doc_ids array<{kind}>, lengths array<int>, cuts array<int>, words array<struct<word: string, c: bigint>>, codes binary"
+    return materialize(narrow.mapInArrow(parse, columns).withColumn("block", F.monotonically_increasing_id()), "blocks")
+
+
+def _parts(block: dict, ids: np.ndarray):
+    """Of each slice of a block: ids of all texts in a row with marks around each, numbers of words, and first and last word."""
+    codes, lengths = np.frombuffer(block["codes"], "int32"), np.array(block["lengths"], "int64")
+    document = word = 0
+    for n in block["cuts"]:
+        of = lengths[document : document + n]
+        end = word + int(of.sum())
+        marked = np.full(end - word + 2 * SIDE * n, SIZE, "int64")
+        marked[_places(marked, of)] = ids[codes[word:end]]
+        yield marked, of, word, end
+        document, word = document + n, end
+
+
+def vocabulary(blocks: DataFrame) -> tuple[DataFrame, list[str]]:
+    """How often each word occurs in all documents, stored, and the TOP most frequent ones; ties by the word itself."""
+    counted = materialize(blocks.select(F.inline("words")).groupBy("word").agg(F.sum("c").alias("c")), "words")
     return counted, [r["word"] for r in counted.orderBy(F.desc("c"), "word").limit(TOP).collect()]
 
 
-def own_probabilities(counted: DataFrame, top: list[str]) -> DataFrame:
-    """log P(word | id), as ``own``, of every word that shares its id; the most frequent words have ids of their own."""
+def word_ids(counted: DataFrame, top: list[str]) -> DataFrame:
+    """id and log P(word | id), as ``own``, of every word; the most frequent words have ids of their own."""
     rare = counted.where(~F.col("word").isin(top)) if top else counted
-    rare = rare.withColumn("id", F.crc32(F.col("word").cast("binary")) % RARE)
+    rare = rare.withColumn("id", (TOP + F.crc32(F.col("word").cast("binary")) % RARE).cast("int"))
     ids = rare.groupBy("id").agg(F.sum("c").alias("all"))
-    return rare.join(F.broadcast(ids), "id").select("word", F.log(F.col("c") / F.col("all")).alias("own"))  # RARE rows
+    rare = rare.join(F.broadcast(ids), "id").select("word", "id", F.log(F.col("c") / F.col("all")).alias("own"))  # RARE rows
+    known = counted.sparkSession.createDataFrame([(w, i, 0.0) for i, w in enumerate(top)], "word string, id int, own double")
+    return rare.unionByName(known)
 
 
 def _places(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -228,11 +282,23 @@ def _dealt(lengths: np.ndarray, turn: int, rounds: int) -> np.ndarray:
     return (place + np.repeat(lengths, lengths)) % rounds == turn
 
 
-def train(narrow: DataFrame, top: list[str], rounds: int = ROUNDS) -> np.ndarray:
+def _rows(stream) -> Iterator[dict]:
+    for batch in stream:
+        yield from batch.to_pylist()
+
+
+def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The values of each document, summed."""
+    ends = np.cumsum(lengths)
+    sums = np.concatenate([[0.0], np.cumsum(values)])
+    return sums[ends] - sums[ends - lengths]
+
+
+def train(blocks: DataFrame, top: list[str], rounds: int = ROUNDS) -> np.ndarray:
     """Weights after rounds of training in all tasks and averaging; ROWS rows come to the driver each round."""
     import pyarrow as pa
 
-    spark = narrow.sparkSession
+    spark = blocks.sparkSession
     weights = start_weights()
     columns = [f"c{i}" for i in range(WIDTH)]
     for turn in range(rounds):
@@ -241,9 +307,8 @@ def train(narrow: DataFrame, top: list[str], rounds: int = ROUNDS) -> np.ndarray
         def learn(stream, turn=turn, shared=shared):
             own, start = shared.value
             words, network, seen = WordIds(own), Network(start), 0
-            for batch in stream:
-                for part in slices(batch, "text"):
-                    ids, lengths = words.of(part.column("text").to_pylist())
+            for block in _rows(stream):
+                for ids, lengths, _, _ in _parts(block, words.of(block["words"])):
                     at = _places(ids, lengths)[_dealt(lengths, turn, rounds)]
                     if len(at):
                         network.train(ids, np.random.default_rng(turn).permutation(at))
@@ -254,7 +319,7 @@ def train(narrow: DataFrame, top: list[str], rounds: int = ROUNDS) -> np.ndarray
                     **{c: (pa.array(network.w[:, i].astype("float64") * seen), None) for i, c in enumerate(columns)},
                 })
 
-        told = narrow.select("text").mapInArrow(learn, "row bigint, seen bigint, " + ", ".join(f"{c} double" for c in columns))
+        told = blocks.select("lengths", "cuts", "codes", F.col("words.word").alias("words")).mapInArrow(learn, "row bigint, seen bigint, " + ", ".join(f"{c} double" for c in columns))
         mean = told.groupBy("row").agg(*[(F.sum(c) / F.sum("seen")).alias(c) for c in columns]).toArrow()
         if mean.num_rows:
             weights = np.zeros_like(weights)
@@ -273,36 +338,47 @@ def score_documents(
 
     spark = docs.sparkSession
     ship_package(spark)
-    narrow = ground(docs, doc_id=F.col(id_column), text=F.col(text_column))
-    counted, top = vocabulary(narrow)
-    shared = spark.sparkContext.broadcast((top, train(narrow, top, rounds)))
+    blocks = blocks_of(ground(docs, doc_id=F.col(id_column), text=F.col(text_column)))
+    counted, top = vocabulary(blocks)
+    shared = spark.sparkContext.broadcast((top, train(blocks, top, rounds)))
+
+    def likelihood(block, doc_ids, network, ids, own=None):
+        """Rows of a block, by the ids of its words and what each adds."""
+        sums = []
+        for marked, lengths, word, end in _parts(block, ids):
+            at = _places(marked, lengths)
+            sums.append(_sums(network.log_probs(marked, at), lengths))
+            if own is not None:
+                sums[-1] += _sums(own[np.frombuffer(block["codes"], "int32")[word:end]], lengths)
+        return batches({
+            "doc_id": (doc_ids, None), "n_words": (pa.array(block["lengths"], pa.int64()), None),
+            "log_prob": (pa.array(np.concatenate(sums)), None),
+        })
 
     def score(stream):
         top, weights = shared.value
         words, network = WordIds(top), Network(weights)
         for batch in stream:
-            for part in slices(batch, "text"):
-                ids, lengths = words.of(part.column("text").to_pylist())
-                each = network.log_probs(ids, _places(ids, lengths))
-                ends = np.cumsum(lengths)
-                sums = np.concatenate([[0.0], np.cumsum(each)])
-                total = sums[ends] - sums[ends - lengths]
-                row = {"doc_id": (part.column("doc_id"), None), "n_words": (pa.array(lengths), None), "log_prob": (pa.array(total), None)}
-                if own_words:
-                    rare = [Counter(w for w in words_of(t) if words[w] >= TOP) for t in part.column("text").to_pylist()]
-                    row |= {"words": ([list(r) for r in rare], pa.list_(pa.string())), "counts": ([list(r.values()) for r in rare], pa.list_(pa.int32()))}
-                yield batches(row)
-
-    kind = narrow.schema["doc_id"].dataType.simpleString()
-    scored = narrow.mapInArrow(score, f"doc_id {kind}, n_words bigint, log_prob double" + f", {_ARRAYS}" * own_words)
+            for i, block in enumerate(_rows([batch.drop_columns("doc_ids")])):
+                yield likelihood(block, batch.column("doc_ids").slice(i, 1).flatten(), network, words.of(block["words"]))
+
+    def score_own(left, right):
+        block = left.drop_columns("doc_ids").to_pylist()[0]
+        size = right.num_rows
+        code, ids, own = right.column("code").to_numpy(), np.zeros(size, "int64"), np.zeros(size)
+        ids[code], own[code] = right.column("id").to_numpy(), right.column("own").to_numpy()
+        doc_ids = left.column("doc_ids").combine_chunks().flatten()
+        return pa.Table.from_batches([likelihood(block, doc_ids, Network(shared.value[1]), ids, own)])
+
+    kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
+    columns, parts = f"doc_id {kind}, n_words bigint, log_prob double", ["doc_ids", "lengths", "cuts", "codes"]
+    if own_words:
+        told = blocks.select(F.col("block").alias("of"), F.posexplode("words.word").alias("code", "word"))
+        told = told.join(word_ids(counted, top), "word").select("of", "code", "id", "own")
+        scored = blocks.select("block", *parts).groupBy("block").cogroup(told.groupBy("of")).applyInArrow(score_own, columns)
+    else:
+        scored = blocks.select(*parts, F.col("words.word").alias("words")).mapInArrow(score, columns)
     mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("mean_log_prob")
-    if not own_words:
-        discard(counted)
-        return scored.select("*", mean)
-    scored = materialize(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
-    told = scored.select("_row", F.inline(F.arrays_zip("words", "counts"))).withColumnRenamed("words", "word")
-    own = told.join(own_probabilities(counted, top), "word").groupBy("_row").agg(F.sum(F.col("counts") * F.col("own")).alias("own"))
-    whole = (F.col("log_prob") + F.coalesce("own", F.lit(0.0))).alias("log_prob")
-    done = materialize(scored.join(own, "_row", "left").select("doc_id", "n_words", whole).select("*", mean), "likelihood")
-    discard(counted, scored)
+    done = materialize(scored.select("*", mean), "likelihood")
+    discard(blocks, counted)
     return done

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from contractframe.llm import cotraining, pseudo_likelihood, toxicity
 from contractframe.llm.common import table
@@ -179,6 +180,55 @@ def test_pseudo_likelihood_of_words_that_share_an_id(spark):
     assert {r["doc_id"]: r for r in words}[2]["log_prob"] != pytest.approx(places[2]["log_prob"], abs=0.1)
 
 
+def test_pseudo_likelihood_cuts_each_text_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(text):
+        read.add(1)
+        return text
+
+    docs = spark.createDataFrame([(i, f"a{i} b c, {'d' * (i % 7)}") for i in range(60)], "doc_id int, text string")
+    assert pseudo_likelihood.score_documents(docs.withColumn("text", noted("text")), own_words=True).count() == 60
+    assert read.value == 60
+
+
+def test_pseudo_likelihood_of_blocks_is_that_of_their_texts(spark):
+    r = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in r.zipf(1.3, n) if i < 5000) for n in r.integers(0, 90, 70)] + [None, "", "É é, İ.", "x" * 3000]
+    docs = spark.createDataFrame([(None if i == 3 else f"d{i}", t) for i, t in enumerate(texts)], "doc_id string, text string").coalesce(1)
+    cut = [pseudo_likelihood.words_of(t) for t in texts]
+    seen = Counter(w for ws in cut for w in ws)
+    top = [w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[: pseudo_likelihood.TOP]]
+    known = pseudo_likelihood.WordIds(top)
+    shared = Counter()
+    for w, n in seen.items():
+        shared[known[w]] += n
+    edge = [pseudo_likelihood.SIZE] * pseudo_likelihood.SIDE
+    ids = np.array([i for ws in cut for i in edge + [known[w] for w in ws] + edge])
+    lengths = np.array([len(ws) for ws in cut])
+    places = pseudo_likelihood._places(ids, lengths)
+    weights = pseudo_likelihood.start_weights()
+    for turn in range(pseudo_likelihood.ROUNDS):
+        net = pseudo_likelihood.Network(weights)
+        net.train(ids, np.random.default_rng(turn).permutation(places[pseudo_likelihood._dealt(lengths, turn, pseudo_likelihood.ROUNDS)]))
+        weights = net.w
+    each = iter(pseudo_likelihood.Network(weights).log_probs(ids, places))
+    want = [sum(next(each) + math.log(seen[w] / shared[known[w]]) for w in ws) for ws in cut]
+    got = pseudo_likelihood.score_documents(docs, own_words=True).collect()
+    told = {r["doc_id"]: r for r in got}
+    assert len(got) == len(told) == len(texts)
+    for i, ws in enumerate(cut):
+        row = told[None if i == 3 else f"d{i}"]
+        assert row["n_words"] == len(ws) and row["log_prob"] == pytest.approx(want[i], rel=1e-5)
+    # Small blocks hold the same words and documents.
+    blocks = pseudo_likelihood.blocks_of(docs, 1000).collect()
+    assert len(blocks) > 1 and len({b["block"] for b in blocks}) == len(blocks)
+    assert [d for b in blocks for d in b["doc_ids"]] == [r["doc_id"] for r in docs.collect()]
+    assert [b["words"][c]["word"] for b in blocks for c in np.frombuffer(b["codes"], "int32")] == [w for ws in cut for w in ws]
+    assert sum((Counter({w["word"]: w["c"] for w in b["words"]}) for b in blocks), Counter()) == seen
+
+
 def test_network_gradients_and_probabilities():
     r = np.random.default_rng(2)
     net = pseudo_likelihood.Network(pseudo_likelihood.start_weights() + r.normal(0, 0.1, (pseudo_likelihood.ROWS, pseudo_likelihood.WIDTH)).astype("float32"))
