@@ -35,7 +35,7 @@ TOP, RARE, CLASSES = 896, 128, 32
 SIZE = TOP + RARE  # ids; SIZE itself marks what lies past an end
 PER_CLASS = SIZE // CLASSES
 ROUNDS, RATE, BATCH = 2, 0.08, 4096
-_BLOCK = 24 << 20  # bytes of text in a block of documents
+_BLOCK = 12 << 20  # bytes of text in a block of documents
 _MARKS = ".,;:!?"
 _CACHE_WORDS = 200_000
 
@@ -51,6 +51,11 @@ def words_of(text: str | None) -> list[str]:
     return text.split()
 
 
+def _shared(word: str) -> int:
+    """Which of the shared ids the word has."""
+    return zlib.crc32(word.encode()) % RARE
+
+
 class WordIds(dict):
     """word -> id: its frequency rank, or one of the shared ids."""
 
@@ -63,12 +68,9 @@ class WordIds(dict):
             self.clear()
             self.update((w, i) for i, w in enumerate(self.top))
         # Frequent words fill the first classes; ids of one class are neighbours in rank.
-        value = self[word] = TOP + zlib.crc32(word.encode()) % RARE
+        value = self[word] = TOP + _shared(word)
         return value
 
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), "int64", len(words))
-
 
 class Codes(dict):
     """word -> its number among the distinct words met so far."""
@@ -102,7 +104,7 @@ HIDDEN = PLACES.stop
 CLASS_OUT = slice(HIDDEN + 1, HIDDEN + 1 + CLASSES)
 WORD_OUT = slice(CLASS_OUT.stop, CLASS_OUT.stop + SIZE)
 ROWS = WORD_OUT.stop
-_AROUND = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])
+_AROUND = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])[:, None]
 
 
 class Network:
@@ -113,9 +115,11 @@ class Network:
         self.grad = np.zeros_like(self.w)  # sums of squares, for step sizes
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        z = np.tile(self.w[HIDDEN], (len(context), 1))
-        for p, place in enumerate(self.w[PLACES]):
-            z += np.take(self.w[EMBED] * place, context[:, p], axis=0)
+        """Of each column of ``context``, the words around a place."""
+        z = None
+        for around, place in zip(context, self.w[PLACES]):
+            told = np.take(self.w[EMBED] * place, around, axis=0)
+            z = np.add(told, self.w[HIDDEN], out=told) if z is None else np.add(z, told, out=z)
         h = np.tanh(z, out=z)
         h[:, -1] = 1
         return h
@@ -138,7 +142,7 @@ class Network:
         for i in range(0, len(at), 8192):
             order = _by_class(ids[at[i : i + 8192]])
             place = at[i : i + 8192][order]
-            h, target = self.hidden(ids[place[:, None] + _AROUND]), ids[place]
+            h, target = self.hidden(ids[place + _AROUND]), ids[place]
             told = _log_softmax_at(self.w[CLASS_OUT] @ h.T, target // PER_CLASS)
             out[i + order] = told + _log_softmax_at(self.in_classes(h, target)[0], target % PER_CLASS).astype("float64")
         return out
@@ -148,7 +152,7 @@ class Network:
         for i in range(0, len(at), BATCH):
             place = at[i : i + BATCH]
             place = place[_by_class(ids[place])]
-            context, target = ids[place[:, None] + _AROUND], ids[place]
+            context, target = ids[place + _AROUND], ids[place]
             h = self.hidden(context)
             step = np.zeros_like(self.w)
             rows = np.arange(len(place))
@@ -165,7 +169,7 @@ class Network:
             back *= 1 - h * h  # zero for the unit that is always 1
             step[HIDDEN] = back.sum(axis=0)
             for p, scale in enumerate(self.w[PLACES]):
-                told = _sum_rows(context[:, p], back)
+                told = _sum_rows(context[p], back)
                 step[PLACES][p] = (told * self.w[EMBED]).sum(axis=0)
                 step[EMBED] += told * scale
             step /= len(place) ** 0.5
@@ -173,13 +177,24 @@ class Network:
             self.w -= RATE * step / np.sqrt(self.grad + 1e-6)
 
 
-def _sum_rows(ids: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """The values of each id, summed."""
+def _sum_rows(ids: np.ndarray, values: np.ndarray, few: int = 4) -> np.ndarray:
+    """The values of each id, summed; those of up to ``few`` places for all such ids at once."""
     out = np.zeros((SIZE + 1, values.shape[1]), values.dtype)
     order = np.argsort(ids.astype("uint16"), kind="stable")
-    found = ids[order]
-    starts = np.flatnonzero(np.diff(found, prepend=-1))
-    out[found[starts]] = np.add.reduceat(np.take(values, order, axis=0), starts, axis=0)
+    count = np.bincount(ids, minlength=SIZE + 1)
+    first = np.cumsum(count) - count
+    for n in range(1, few + 1):
+        at = np.flatnonzero(count == n)
+        if len(at):
+            # Added up as reduceat does, so that the sums are the same to the last bit.
+            each = [np.take(values, order[first[at] + k], axis=0) for k in (*range(1, n), 0)]
+            for more in each[1:]:
+                each[0] += more
+            out[at] = each[0]
+    often = np.flatnonzero(count > few)
+    if len(often):
+        places = order[np.repeat(count > few, count)]
+        out[often] = np.add.reduceat(np.take(values, places, axis=0), np.cumsum(count[often]) - count[often], axis=0)
     return out
 
 
@@ -205,7 +220,8 @@ def _log_softmax_at(x: np.ndarray, row: np.ndarray) -> np.ndarray:
 
 def blocks_of(narrow: DataFrame, most_bytes: int = _BLOCK) -> DataFrame:
     """The documents in blocks, stored: their ids and numbers of words, how many of them train together, the distinct
-    words of the block with their counts, and the number among these of each word, as bytes of 32-bit integers."""
+    words of the block with their counts, the number among these of each word, as bytes of 32-bit integers, and a byte
+    for each of them, the shared id that it has unless it is frequent."""
     import pyarrow as pa
 
     kind = narrow.schema["doc_id"].dataType.simpleString()
@@ -223,6 +239,7 @@ def blocks_of(narrow: DataFrame, most_bytes: int = _BLOCK) -> DataFrame:
                 "cuts": (listed(pa.array(cuts, pa.int32())), None),
                 "words": (listed(pa.StructArray.from_arrays([pa.array(list(known), pa.string()), counts], ["word", "c"])), None),
                 "codes": ([each.tobytes()], pa.binary()),
+                "shared": ([bytes(map(_shared, known))], pa.binary()),
             })
 
         for batch in stream:
@@ -237,21 +254,37 @@ def blocks_of(narrow: DataFrame, most_bytes: int = _BLOCK) -> DataFrame:
         if ids:
             yield block()
 
-    columns = f"doc_ids array<{kind}>, lengths array<int>, cuts array<int>, words array<struct<word: string, c: bigint>>, codes binary"
+    columns = f"doc_ids array<{kind}>, lengths array<int>, cuts array<int>, words array<struct<word: string, c: bigint>>, codes binary, shared binary"
     return materialize(narrow.mapInArrow(parse, columns).withColumn("block", F.monotonically_increasing_id()), "blocks")
 
 
+def _blocks(stream, top: list[str] | None = None) -> Iterator[dict]:
+    """The columns of each block; ``ids`` of its distinct words if the most frequent ones are given."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for batch in stream:
+        for i in range(batch.num_rows):
+            row = {name: batch.column(name).slice(i, 1) for name in batch.schema.names}
+            block = {name: row[name].flatten().to_numpy().astype("int64") for name in ("lengths", "cuts")}
+            block |= {"codes": np.frombuffer(row["codes"][0].as_py(), "int32"), "doc_ids": row["doc_ids"].flatten() if "doc_ids" in row else None}
+            if top is not None:
+                words = row["words"].flatten()
+                rank = pc.fill_null(pc.index_in(words, value_set=pa.array(top, words.type)), -1).to_numpy()
+                block["ids"] = np.where(rank < 0, TOP + np.frombuffer(row["shared"][0].as_py(), "uint8").astype("int64"), rank)
+            yield block
+
+
 def _parts(block: dict, ids: np.ndarray):
-    """Of each slice of a block: ids of all texts in a row with marks around each, numbers of words, and first and last word."""
-    codes, lengths = np.frombuffer(block["codes"], "int32"), np.array(block["lengths"], "int64")
+    """Of each slice of a block: ids of all texts in a row with marks around each, numbers of words, and numbers of its words."""
     document = word = 0
-    for n in block["cuts"]:
-        of = lengths[document : document + n]
-        end = word + int(of.sum())
-        marked = np.full(end - word + 2 * SIDE * n, SIZE, "int64")
-        marked[_places(marked, of)] = ids[codes[word:end]]
-        yield marked, of, word, end
-        document, word = document + n, end
+    for n in block["cuts"].tolist():
+        lengths = block["lengths"][document : document + n]
+        codes = block["codes"][word : word + int(lengths.sum())]
+        marked = np.full(len(codes) + 2 * SIDE * n, SIZE, "int64")
+        marked[_places(marked, lengths)] = ids[codes]
+        yield marked, lengths, codes
+        document, word = document + n, word + len(codes)
 
 
 def vocabulary(blocks: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -282,11 +315,6 @@ def _dealt(lengths: np.ndarray, turn: int, rounds: int) -> np.ndarray:
     return (place + np.repeat(lengths, lengths)) % rounds == turn
 
 
-def _rows(stream) -> Iterator[dict]:
-    for batch in stream:
-        yield from batch.to_pylist()
-
-
 def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The values of each document, summed."""
     ends = np.cumsum(lengths)
@@ -305,10 +333,10 @@ def train(blocks: DataFrame, top: list[str], rounds: int = ROUNDS) -> np.ndarray
         shared = spark.sparkContext.broadcast((top, weights))
 
         def learn(stream, turn=turn, shared=shared):
-            own, start = shared.value
-            words, network, seen = WordIds(own), Network(start), 0
-            for block in _rows(stream):
-                for ids, lengths, _, _ in _parts(block, words.of(block["words"])):
+            top, start = shared.value
+            network, seen = Network(start), 0
+            for block in _blocks(stream, top):
+                for ids, lengths, _ in _parts(block, block["ids"]):
                     at = _places(ids, lengths)[_dealt(lengths, turn, rounds)]
                     if len(at):
                         network.train(ids, np.random.default_rng(turn).permutation(at))
@@ -319,7 +347,7 @@ def train(blocks: DataFrame, top: list[str], rounds: int = ROUNDS) -> np.ndarray
                     **{c: (pa.array(network.w[:, i].astype("float64") * seen), None) for i, c in enumerate(columns)},
                 })
 
-        told = blocks.select("lengths", "cuts", "codes", F.col("words.word").alias("words")).mapInArrow(learn, "row bigint, seen bigint, " + ", ".join(f"{c} double" for c in columns))
+        told = blocks.select("lengths", "cuts", "codes", "shared", F.col("words.word").alias("words")).mapInArrow(learn, "row bigint, seen bigint, " + ", ".join(f"{c} double" for c in columns))
         mean = told.groupBy("row").agg(*[(F.sum(c) / F.sum("seen")).alias(c) for c in columns]).toArrow()
         if mean.num_rows:
             weights = np.zeros_like(weights)
@@ -342,33 +370,30 @@ def score_documents(
     counted, top = vocabulary(blocks)
     shared = spark.sparkContext.broadcast((top, train(blocks, top, rounds)))
 
-    def likelihood(block, doc_ids, network, ids, own=None):
+    def likelihood(block, network, ids, own=None):
         """Rows of a block, by the ids of its words and what each adds."""
         sums = []
-        for marked, lengths, word, end in _parts(block, ids):
-            at = _places(marked, lengths)
-            sums.append(_sums(network.log_probs(marked, at), lengths))
+        for marked, lengths, codes in _parts(block, ids):
+            sums.append(_sums(network.log_probs(marked, _places(marked, lengths)), lengths))
             if own is not None:
-                sums[-1] += _sums(own[np.frombuffer(block["codes"], "int32")[word:end]], lengths)
+                sums[-1] += _sums(own[codes], lengths)
         return batches({
-            "doc_id": (doc_ids, None), "n_words": (pa.array(block["lengths"], pa.int64()), None),
+            "doc_id": (block["doc_ids"], None), "n_words": (pa.array(block["lengths"]), None),
             "log_prob": (pa.array(np.concatenate(sums)), None),
         })
 
     def score(stream):
         top, weights = shared.value
-        words, network = WordIds(top), Network(weights)
-        for batch in stream:
-            for i, block in enumerate(_rows([batch.drop_columns("doc_ids")])):
-                yield likelihood(block, batch.column("doc_ids").slice(i, 1).flatten(), network, words.of(block["words"]))
+        network = Network(weights)
+        for block in _blocks(stream, top):
+            yield likelihood(block, network, block["ids"])
 
     def score_own(left, right):
-        block = left.drop_columns("doc_ids").to_pylist()[0]
         size = right.num_rows
         code, ids, own = right.column("code").to_numpy(), np.zeros(size, "int64"), np.zeros(size)
         ids[code], own[code] = right.column("id").to_numpy(), right.column("own").to_numpy()
-        doc_ids = left.column("doc_ids").combine_chunks().flatten()
-        return pa.Table.from_batches([likelihood(block, doc_ids, Network(shared.value[1]), ids, own)])
+        network = Network(shared.value[1])
+        return pa.Table.from_batches([likelihood(block, network, ids, own) for block in _blocks(left.to_batches())])
 
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     columns, parts = f"doc_id {kind}, n_words bigint, log_prob double", ["doc_ids", "lengths", "cuts", "codes"]
@@ -377,7 +402,7 @@ def score_documents(
         told = told.join(word_ids(counted, top), "word").select("of", "code", "id", "own")
         scored = blocks.select("block", *parts).groupBy("block").cogroup(told.groupBy("of")).applyInArrow(score_own, columns)
     else:
-        scored = blocks.select(*parts, F.col("words.word").alias("words")).mapInArrow(score, columns)
+        scored = blocks.select(*parts, "shared", F.col("words.word").alias("words")).mapInArrow(score, columns)
     mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("mean_log_prob")
     done = materialize(scored.select("*", mean), "likelihood")
     discard(blocks, counted)

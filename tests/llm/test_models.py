@@ -245,6 +245,15 @@ def test_network_gradients_and_probabilities():
     assert net.log_probs(ids, at).sum() > before + 1
 
 
+@pytest.mark.parametrize("few", [0, 1, 4])
+def test_sums_of_rows_by_id(few):
+    r = np.random.default_rng(4)
+    for ids in (r.zipf(1.2, 3000) % (pseudo_likelihood.SIZE + 1), np.arange(5), np.full(9, pseudo_likelihood.SIZE), np.zeros(0, "int64")):
+        values, want = r.normal(size=(len(ids), 7)), np.zeros((pseudo_likelihood.SIZE + 1, 7))
+        np.add.at(want, ids, values)
+        assert np.allclose(pseudo_likelihood._sum_rows(ids, values, few), want)
+
+
 def test_labels_by_all_teachers_at_once():
     r = np.random.default_rng(2)
     x = r.random((200, 6))
