@@ -255,7 +255,7 @@ def blocks_of(narrow: DataFrame, most_bytes: int = _BLOCK) -> DataFrame:
             yield block()
 
     columns = f"doc_ids array<{kind}>, lengths array<int>, cuts array<int>, words array<struct<word: string, c: bigint>>, codes binary, shared binary"
-    return materialize(narrow.mapInArrow(parse, columns).withColumn("block", F.monotonically_increasing_id()), "blocks")
+    return materialize(narrow.mapInArrow(parse, columns).withColumn("block", F.monotonically_increasing_id()), "blocks", rows_at_once=1)
 
 
 def _blocks(stream, top: list[str] | None = None) -> Iterator[dict]:

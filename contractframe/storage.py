@@ -56,16 +56,21 @@ def shuffles_discarded(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_CLEANUP, before)
 
 
-def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, label: str, path: str | None = None, rows_at_once: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet and read it back.
 
     Cuts the lineage: the result survives lost executors, and later stages read
-    only the columns they need, with real size statistics.
+    only the columns they need, with real size statistics.  Tasks hold a row group
+    of all rows they write, and of those they read, up to 4,096 rows; ``rows_at_once``
+    makes the groups smaller, for rows of megabytes.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, label)
+    writer = df.write.mode("overwrite")
+    if rows_at_once:
+        writer = writer.option("parquet.block.row.count.limit", rows_at_once)
     with shuffles_discarded(spark):
-        df.write.mode("overwrite").parquet(path)
+        writer.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

@@ -1,9 +1,11 @@
 """Models: held-out accuracy, and the exact parts against plain computations."""
 
+import glob
 import math
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -229,6 +231,14 @@ def test_pseudo_likelihood_of_blocks_is_that_of_their_texts(spark):
     assert sum((Counter({w["word"]: w["c"] for w in b["words"]}) for b in blocks), Counter()) == seen
 
 
+def test_pseudo_likelihood_tasks_hold_one_block_at_a_time(spark):
+    docs = spark.createDataFrame([(i, f"a{i} b c " * 50) for i in range(40)], "doc_id int, text string").coalesce(1)
+    blocks = pseudo_likelihood.blocks_of(docs, 1000)
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{blocks._stored_at}/*.parquet")]
+    groups = [f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+    assert len(groups) == blocks.count() > 1 and set(groups) == {1}
+
+
 def test_network_gradients_and_probabilities():
     r = np.random.default_rng(2)
     net = pseudo_likelihood.Network(pseudo_likelihood.start_weights() + r.normal(0, 0.1, (pseudo_likelihood.ROWS, pseudo_likelihood.WIDTH)).astype("float32"))
