@@ -285,6 +285,33 @@ def test_pairs_side_by_side_against_one_by_one(monkeypatch):
     assert np.array_equal(got[0], got[2]) and np.array_equal(got[1], got[3])
 
 
+@pytest.mark.parametrize("table", [1, 1 << 22])
+def test_pairs_side_by_side_stay_in_a_band_and_are_left_early(monkeypatch, table):
+    rng = random.Random(12)
+    alone = ["".join(rng.choices("abcdefgh ijklé", k=rng.randrange(1500, 1700))) for _ in range(24)]
+    copies = [t[:200] + "x" * (5 * i) + t[300 + 7 * i :] for i, t in enumerate(alone)]
+    monkeypatch.setattr(similarity, "_TABLE", table)
+    batch = TextBatch(alone + copies)
+    a, b = (np.array(x) for x in zip(*[(i, j) for i in range(48) for j in range(i + 1, 48)]))
+    related = b == a + 24
+    worked, go_on = [], TextBatch._go_on
+
+    def noted(self, state, x, y, first, end, low, high):
+        worked.append((high, end - first, set(zip(x.tolist(), y.tolist()))))
+        go_on(self, state, x, y, first, end, low, high)
+
+    monkeypatch.setattr(TextBatch, "_go_on", noted)
+    got = batch.similarity(a, b, 85.0)
+    assert max(words for _, words, _ in worked) < 14  # of 27
+    near = {(i, i + 24) for i in range(24)} | {(i + 24, i) for i in range(24)}
+    assert worked and not any(pairs - near for high, _, pairs in worked if high > 900)
+    exact = np.array([ratio((alone + copies)[i], (alone + copies)[j]) for i, j in zip(a[related], b[related])])
+    assert ((got >= 85) == (related & (got >= 85))).all() and (exact >= 85).sum() == (got >= 85).sum() > 8
+    assert (got[related][exact >= 85] == exact[exact >= 85]).all()
+    monkeypatch.setattr(similarity, "_PARTED", 256)
+    assert batch.possible_by_parts(a, b, 85.0)[got >= 85].all()
+
+
 def test_marks_of_counts_drop_no_pair_and_spare_the_counts(monkeypatch):
     rng = random.Random(11)
     texts = ["".join(rng.choice("aabbccddeeé0123456789xyzXYZ ÄÖÜäöü!?-+*/()[]") for _ in range(rng.randrange(0, 40))) for _ in range(60)]
